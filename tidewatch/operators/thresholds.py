@@ -67,3 +67,42 @@ def detect_anomalies(readings: DataFrame, limits=None) -> DataFrame:
     with_prev = kept.select("*", *[F.lag(f"exc_{s}", 1, False).over(w).alias(f"prev_{s}")
                                    for s in SENSORS])
     return _edges_to_alerts(with_prev, lambda s: F.col(f"prev_{s}"))
+
+
+EDGE_STATE_COLUMNS = ("device", *[f"exc_{s}" for s in SENSORS])
+
+
+def empty_edge_state(spark) -> DataFrame:
+    return spark.createDataFrame(
+        [], "device string, " + ", ".join(f"exc_{s} boolean" for s in SENSORS))
+
+
+def detect_anomalies_incremental(readings: DataFrame, prior_state: DataFrame,
+                                 limits=None) -> tuple[DataFrame, DataFrame]:
+    """W4 for one slice of an unbounded input (a micro-batch).
+
+    ``prior_state`` (device, exc_<sensor>...) holds the verdicts as they were
+    taken when each device's last reading was checked, under the limits of
+    that time; the first reading of a device in this slice compares against
+    it (``false`` when the device is new). Returns the alerts and the new
+    state (prior state overwritten by the last verdicts of this slice).
+    """
+    exc = exceeded_columns(limits)
+    kept = (readings.filter(~F.col("rejected"))
+            .select("seq", "device", "ts", "suspicious", *SENSORS,
+                    *[exc[s].alias(f"exc_{s}") for s in SENSORS]))
+    w = Window.partitionBy("device").orderBy("seq")
+    with_prev = kept.select("*", *[F.lag(f"exc_{s}", 1).over(w).alias(f"prev_{s}")
+                                   for s in SENSORS])
+    prior = prior_state.select("device", *[F.col(f"exc_{s}").alias(f"st_{s}") for s in SENSORS])
+    joined = with_prev.join(prior, "device", "left")
+    alerts = _edges_to_alerts(
+        joined, lambda s: F.coalesce(F.col(f"prev_{s}"), F.col(f"st_{s}"), F.lit(False)))
+    last = (kept.groupBy("device")
+            .agg(F.max_by(F.struct(*[F.col(f"exc_{s}") for s in SENSORS]), F.col("seq"))
+                 .alias("l"))
+            .select("device", *[F.col(f"l.exc_{s}").alias(f"n_{s}") for s in SENSORS]))
+    new_state = (prior_state.join(last, "device", "full_outer")
+                 .select("device", *[F.coalesce(F.col(f"n_{s}"), F.col(f"exc_{s}")).alias(f"exc_{s}")
+                                     for s in SENSORS]))
+    return alerts, new_state

@@ -35,41 +35,61 @@ def clean_readings_composed(readings: DataFrame, *, ts_window: int = TS_WINDOW,
     return flag_stuck_values(out, stuck_ms)
 
 
-def clean_readings(readings: DataFrame, *, ts_window: int = TS_WINDOW,
-                   ts_ratio: float = TS_RATIO, bounds=PHYSICAL_BOUNDS,
-                   spike_window: int = SPIKE_WINDOW,
-                   spike_threshold: float = SPIKE_THRESHOLD,
-                   stuck_ms: int = STUCK_DURATION_MS, stuck: str = "pass") -> DataFrame:
-    """Cleaned readings: timestamps repaired, ``rejected`` and ``suspicious``
-    set. Same columns as the input.
+class CleaningFold:
+    """W1 -> F1 -> W2 (-> W3) as one step over one device's readings.
 
-    ``stuck="pass"`` folds W3 into the Python pass (one exchange in total);
-    ``stuck="window"`` runs it as window aggregates after the pass.
+    Expects the input columns of a reading plus ``_outlier`` (F1's verdict,
+    computed JVM-side before the Python pass). Shared by the batch pass and
+    the streaming state processor.
     """
-    w1 = TimestampRepair(ts_window, ts_ratio)
-    w2 = SpikeFilter(spike_window, spike_threshold)
-    w3 = StuckDetector(stuck_ms) if stuck == "pass" else None
 
-    def init_state():
-        return (w1.init_state(), w2.init_state(), w3.init_state() if w3 else None)
+    def __init__(self, *, ts_window: int = TS_WINDOW, ts_ratio: float = TS_RATIO,
+                 spike_window: int = SPIKE_WINDOW, spike_threshold: float = SPIKE_THRESHOLD,
+                 stuck_ms: int | None = STUCK_DURATION_MS):
+        self.w1 = TimestampRepair(ts_window, ts_ratio)
+        self.w2 = SpikeFilter(spike_window, spike_threshold)
+        self.w3 = StuckDetector(stuck_ms) if stuck_ms is not None else None
 
-    def step(a, state):
+    def init_state(self):
+        return (self.w1.init_state(), self.w2.init_state(),
+                self.w3.init_state() if self.w3 else None)
+
+    def step(self, a, state):
         s1, s2, s3 = state
         rejected = a["rejected"].astype(bool)
         suspicious = a["suspicious"].astype(bool)
-        ts, s1 = w1.run(a["ts"], ~rejected, s1)
+        ts, s1 = self.w1.run(a["ts"], ~rejected, s1)
         rejected = rejected | a["_outlier"].astype(bool)
         values = {s: a[s] for s in SENSORS}
-        spike, s2 = w2.run(values, ~rejected & ~suspicious, s2)
+        spike, s2 = self.w2.run(values, ~rejected & ~suspicious, s2)
         suspicious = suspicious | spike
-        if w3 is not None:
-            stuck_rows, s3 = w3.run(ts, values, ~rejected & ~suspicious, s3)
+        if self.w3 is not None:
+            stuck_rows, s3 = self.w3.run(ts, values, ~rejected & ~suspicious, s3)
             suspicious = suspicious | stuck_rows
         return {"ts": ts, "rejected": rejected, "suspicious": suspicious}, (s1, s2, s3)
 
-    pre = readings.withColumn("_outlier", outlier_condition(bounds))
-    out = device_fold(pre, init_state, step, schema=readings.schema)
-    if w3 is None:
+
+def with_outlier_verdict(readings: DataFrame, bounds=PHYSICAL_BOUNDS) -> DataFrame:
+    return readings.withColumn("_outlier", outlier_condition(bounds))
+
+
+def clean_readings(readings: DataFrame, *, ts_window: int = TS_WINDOW,
+                   ts_ratio: float = TS_RATIO, bounds=PHYSICAL_BOUNDS,
+                   spike_window: int = SPIKE_WINDOW,
+                   spike_threshold: float = SPIKE_THRESHOLD,
+                   stuck_ms: int = STUCK_DURATION_MS, stuck: str = "pass") -> DataFrame:
+    """Cleaned readings: timestamps repaired, ``rejected`` and ``suspicious``
+    set. Same columns as the input.
+
+    ``stuck="pass"`` folds W3 into the Python pass (one exchange in total);
+    ``stuck="window"`` runs it as window aggregates after the pass.
+    """
+    fold = CleaningFold(ts_window=ts_window, ts_ratio=ts_ratio, spike_window=spike_window,
+                        spike_threshold=spike_threshold,
+                        stuck_ms=stuck_ms if stuck == "pass" else None)
+    out = device_fold(with_outlier_verdict(readings, bounds), fold.init_state, fold.step,
+                      schema=readings.schema)
+    if stuck != "pass":
         out = flag_stuck_values(out, stuck_ms)
     return out
 
