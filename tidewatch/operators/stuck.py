@@ -18,15 +18,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import any_of, java_equal
+from ..plans.skew import SkewPlan, assign_chunks, resolve
 from ..schema import SENSORS, STUCK_DURATION_MS
 
 
-def flag_stuck_values(readings: DataFrame, duration_ms: int = STUCK_DURATION_MS) -> DataFrame:
+def flag_stuck_values(readings: DataFrame, duration_ms: int = STUCK_DURATION_MS,
+                      skew=SkewPlan()) -> DataFrame:
     """Set ``suspicious`` on stuck readings; columns and order are kept.
 
     Plan: one exchange on ``device``, one sort on (device, seq), two Window
-    operators sharing them; everything else is codegen'd projection.
+    operators sharing them; everything else is codegen'd projection. Hot
+    devices are split into seq-range chunks (``plans.skew``) and the state at
+    a chunk border is carried exactly through a one-row-per-chunk summary.
     """
+    hot = resolve(readings, skew)
+    if hot.any:
+        return _flag_stuck_chunked(readings, duration_ms, hot)
     cols = readings.columns
     elig = ~F.col("rejected") & ~F.col("suspicious")
     order = Window.partitionBy("device").orderBy("seq")
@@ -49,3 +56,62 @@ def flag_stuck_values(readings: DataFrame, duration_ms: int = STUCK_DURATION_MS)
                    for s in SENSORS)
     flagged = F.col("suspicious") | (F.col("_elig") & stuck)
     return step2.select(*[flagged.alias(c) if c == "suspicious" else F.col(c) for c in cols])
+
+
+def _flag_stuck_chunked(readings: DataFrame, duration_ms: int, hot) -> DataFrame:
+    """W3 per (device, chunk). Inside a chunk the runs are found locally (the
+    first eligible reading of a chunk always opens a local run). Per chunk a
+    summary keeps, per sensor, the first and last eligible value, whether a
+    run opens after the first reading, and the local start of the last run.
+    Over the chunks of a device (a window on the summary) this gives the true
+    (value, start) state entering every chunk; the readings of a chunk's first
+    run take that start when their first value continues the previous run."""
+    cols = readings.columns
+    data = assign_chunks(readings, hot)
+    elig = ~F.col("rejected") & ~F.col("suspicious")
+    order = Window.partitionBy("device", "_chunk").orderBy("seq")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    step1 = data.select(
+        "*", elig.alias("_elig"),
+        *[F.last(F.when(elig, F.col(s)), ignorenulls=True).over(before).alias(f"_prev_{s}")
+          for s in SENSORS])
+    restart = {s: F.col("_elig") & ~(F.col(f"_prev_{s}").isNotNull()
+                                      & java_equal(s, f"_prev_{s}"))
+               for s in SENSORS}
+    step2 = step1.select(
+        "*",
+        *[F.last(F.when(restart[s], F.col("ts")), ignorenulls=True).over(upto).alias(f"_lstart_{s}")
+          for s in SENSORS],
+        *[F.sum(restart[s].cast("int")).over(upto).alias(f"_nrun_{s}") for s in SENSORS])
+
+    eligible = step2.where(F.col("_elig"))
+    summary = eligible.groupBy("device", "_chunk").agg(
+        *[F.min_by(F.col(s), F.col("seq")).alias(f"first_{s}") for s in SENSORS],
+        *[F.max_by(F.col(s), F.col("seq")).alias(f"last_{s}") for s in SENSORS],
+        *[(F.max(F.col(f"_nrun_{s}")) > 1).alias(f"inner_{s}") for s in SENSORS],
+        *[F.max_by(F.col(f"_lstart_{s}"), F.col("seq")).alias(f"lstart_{s}") for s in SENSORS])
+    over_chunks = Window.partitionBy("device").orderBy("_chunk")
+    upto_chunk = over_chunks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = summary.select(
+        "*", *[F.lag(f"last_{s}", 1).over(over_chunks).alias(f"cv_{s}") for s in SENSORS])
+    same_first = {s: F.col(f"cv_{s}").isNotNull() & java_equal(f"first_{s}", f"cv_{s}")
+                  for s in SENSORS}
+    # start of the run open at the end of each chunk
+    carried = carried.select(
+        "*", *[same_first[s].alias(f"same_{s}") for s in SENSORS],
+        *[F.last(F.when(F.col(f"inner_{s}") | ~same_first[s], F.col(f"lstart_{s}")),
+                 ignorenulls=True).over(upto_chunk).alias(f"end_start_{s}") for s in SENSORS])
+    carry = carried.select(
+        "device", "_chunk", *[F.col(f"same_{s}") for s in SENSORS],
+        *[F.lag(f"end_start_{s}", 1).over(over_chunks).alias(f"cs_{s}") for s in SENSORS])
+
+    joined = step2.join(carry, ["device", "_chunk"], "left")
+    start = {s: F.when((F.col(f"_nrun_{s}") <= 1) & F.coalesce(F.col(f"same_{s}"), F.lit(False)),
+                       F.col(f"cs_{s}")).otherwise(F.col(f"_lstart_{s}"))
+             for s in SENSORS}
+    stuck = any_of(~F.isnan(s) & ((F.col("ts") - start[s]) >= F.lit(duration_ms))
+                   for s in SENSORS)
+    flagged = F.col("suspicious") | (F.col("_elig") & stuck)
+    return joined.select(*[flagged.alias(c) if c == "suspicious" else F.col(c) for c in cols])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import java_outside
 from ..schema import ALERT_COLUMNS, EVENT_END, EVENT_START, SENSORS
+from ..plans.skew import SkewPlan, assign_chunks, resolve
 from ..sources.config import resolve_limits
 
 
@@ -51,22 +52,45 @@ def _edges_to_alerts(df: DataFrame, prev_of) -> DataFrame:
     return out.select(*ALERT_COLUMNS)
 
 
-def detect_anomalies(readings: DataFrame, limits=None) -> DataFrame:
+def detect_anomalies(readings: DataFrame, limits=None, skew=SkewPlan()) -> DataFrame:
     """Alerts (seq, deviceId, eventType, sensorType, timestamp, suspicious,
     value) from cleaned readings.
 
     Plan: one exchange on ``device`` and a sort on (device, seq) feeding five
     ``lag``s in a single Window operator; the explode is a narrow step after.
     Only the columns used are read from the input.
+
+    Hot devices (see ``plans.skew``) are split into seq-range chunks: the
+    window runs per (device, chunk), and the first reading of a chunk takes
+    its previous verdict from the last non-rejected reading of the nearest
+    earlier chunk, found on a one-row-per-chunk summary (partial aggregate,
+    then a window over chunks). Exact, and no task holds a whole device.
     """
     exc = exceeded_columns(limits)
     kept = (readings.filter(~F.col("rejected"))
             .select("seq", "device", "ts", "suspicious", *SENSORS,
                     *[exc[s].alias(f"exc_{s}") for s in SENSORS]))
-    w = Window.partitionBy("device").orderBy("seq")
-    with_prev = kept.select("*", *[F.lag(f"exc_{s}", 1, False).over(w).alias(f"prev_{s}")
-                                   for s in SENSORS])
-    return _edges_to_alerts(with_prev, lambda s: F.col(f"prev_{s}"))
+    hot = resolve(kept, skew)
+    if not hot.any:
+        w = Window.partitionBy("device").orderBy("seq")
+        with_prev = kept.select("*", *[F.lag(f"exc_{s}", 1, False).over(w).alias(f"prev_{s}")
+                                       for s in SENSORS])
+        return _edges_to_alerts(with_prev, lambda s: F.col(f"prev_{s}"))
+
+    chunked = assign_chunks(kept, hot)
+    w = Window.partitionBy("device", "_chunk").orderBy("seq")
+    with_prev = chunked.select("*", *[F.lag(f"exc_{s}", 1).over(w).alias(f"prev_{s}")
+                                      for s in SENSORS])
+    last = (chunked.groupBy("device", "_chunk")
+            .agg(F.max_by(F.struct(*[F.col(f"exc_{s}") for s in SENSORS]), F.col("seq"))
+                 .alias("l")))
+    over_chunks = Window.partitionBy("device").orderBy("_chunk")
+    carry = last.select("device", "_chunk",
+                        *[F.lag(F.col(f"l.exc_{s}"), 1).over(over_chunks).alias(f"carry_{s}")
+                          for s in SENSORS])
+    joined = with_prev.join(carry, ["device", "_chunk"], "left")
+    return _edges_to_alerts(
+        joined, lambda s: F.coalesce(F.col(f"prev_{s}"), F.col(f"carry_{s}"), F.lit(False)))
 
 
 EDGE_STATE_COLUMNS = ("device", *[f"exc_{s}" for s in SENSORS])
