@@ -22,7 +22,7 @@ def device_ordered(df: DataFrame, key: str = "device", order: str = "seq") -> Da
 
 
 def _fold_batches(batches: Iterator[pd.DataFrame], init_state: Callable, step: Callable,
-                  key: str, columns: list[str]) -> Iterator[pd.DataFrame]:
+                  key: str, columns: list[str], keyed_init: bool = False) -> Iterator[pd.DataFrame]:
     cur_key, state = None, None
     started = False
     for pdf in batches:
@@ -38,7 +38,8 @@ def _fold_batches(batches: Iterator[pd.DataFrame], init_state: Callable, step: C
         for s, e in zip(starts.tolist(), ends.tolist()):
             k = keys[s]
             if not started or k != cur_key:
-                cur_key, state, started = k, init_state(), True
+                cur_key, started = k, True
+                state = init_state(k) if keyed_init else init_state()
             result, state = step({c: a[s:e] for c, a in arrays.items()}, state)
             for c, a in result.items():
                 if c not in outs:
@@ -48,16 +49,17 @@ def _fold_batches(batches: Iterator[pd.DataFrame], init_state: Callable, step: C
 
 
 def device_fold(df: DataFrame, init_state: Callable, step: Callable, schema=None,
-                key: str = "device", order: str = "seq") -> DataFrame:
+                key: str = "device", order: str = "seq", keyed_init: bool = False) -> DataFrame:
     """Run ``step(arrays_of_one_key_run, state) -> (changed_columns, state)``
     over ``df`` in (key, order) order. ``changed_columns`` maps column names
     of ``schema`` (default: ``df.schema``) to numpy arrays of the run's length.
+    With ``keyed_init`` the initial state is ``init_state(key)``.
     """
     out_schema = schema if schema is not None else df.schema
 
     columns = list(out_schema.fieldNames())
 
     def fn(batches):
-        yield from _fold_batches(batches, init_state, step, key, columns)
+        yield from _fold_batches(batches, init_state, step, key, columns, keyed_init)
 
     return device_ordered(df, key, order).mapInPandas(fn, out_schema)

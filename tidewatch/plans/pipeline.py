@@ -20,7 +20,9 @@ from ..operators.thresholds import detect_anomalies
 from ..operators.timestamps import repair_timestamps
 from ..schema import (PHYSICAL_BOUNDS, SENSORS, SPIKE_THRESHOLD, SPIKE_WINDOW,
                       STUCK_DURATION_MS, TS_RATIO, TS_WINDOW)
+from .chunked_fold import chunked_device_fold
 from .device_pass import device_fold
+from .skew import SkewPlan, resolve
 
 
 def clean_readings_composed(readings: DataFrame, *, ts_window: int = TS_WINDOW,
@@ -77,13 +79,26 @@ def clean_readings(readings: DataFrame, *, ts_window: int = TS_WINDOW,
                    ts_ratio: float = TS_RATIO, bounds=PHYSICAL_BOUNDS,
                    spike_window: int = SPIKE_WINDOW,
                    spike_threshold: float = SPIKE_THRESHOLD,
-                   stuck_ms: int = STUCK_DURATION_MS, stuck: str = "pass") -> DataFrame:
+                   stuck_ms: int = STUCK_DURATION_MS, stuck: str = "pass",
+                   skew=SkewPlan()) -> DataFrame:
     """Cleaned readings: timestamps repaired, ``rejected`` and ``suspicious``
     set. Same columns as the input.
 
     ``stuck="pass"`` folds W3 into the Python pass (one exchange in total);
     ``stuck="window"`` runs it as window aggregates after the pass.
+
+    Hot devices (``skew``: a SkewPlan to detect them, a HotSet, or None) are
+    split into seq-range chunks: W1 and W2 run as a verified speculative
+    chunked fold (``plans.chunked_fold``) and W3 as chunked windows with an
+    exact carry; no task then holds a whole hot device.
     """
+    hot = resolve(readings, skew)
+    if hot.any:
+        fold = CleaningFold(ts_window=ts_window, ts_ratio=ts_ratio, spike_window=spike_window,
+                            spike_threshold=spike_threshold, stuck_ms=None)
+        out = chunked_device_fold(with_outlier_verdict(readings, bounds), fold.init_state,
+                                  fold.step, hot, schema=readings.schema)
+        return flag_stuck_values(out, stuck_ms, skew=hot)
     fold = CleaningFold(ts_window=ts_window, ts_ratio=ts_ratio, spike_window=spike_window,
                         spike_threshold=spike_threshold,
                         stuck_ms=stuck_ms if stuck == "pass" else None)
