@@ -18,42 +18,40 @@ from ..schema import READING_COLUMNS, SENSORS
 
 _MALFORMED = "malformed"
 _FIELD_ORDER = ("ts", "device", "co", "humidity", "light", "lpg", "motion", "smoke", "temp")
-_NOT_NUMERIC = ("BOOLEAN", "VOID", "OBJECT", "ARRAY")
+_NUMERIC = {"ts": "decimal(38,9)", **{s: "double" for s in SENSORS}}
 
 
-def _kind(v: Column, key: str) -> Column:
-    """Variant type name of a field ('STRING', 'BIGINT', 'DECIMAL(..)', ...);
-    null when the key is absent."""
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{key}", "variant"))
+def _text(v: Column, key: str) -> Column:
+    return F.try_variant_get(v, f"$.{key}", "string")
 
 
-def _numeric_ok(kind: Column) -> Column:
-    return kind.isNotNull() & ~kind.isin(*_NOT_NUMERIC) & ~kind.startswith("OBJECT") \
-        & ~kind.startswith("ARRAY")
-
-
-def _typed_fields(v: Column) -> dict[str, tuple[Column, Column]]:
-    """field -> (value, variant type name) expressions."""
-    out = {"ts": (F.try_variant_get(v, "$.ts", "decimal(38,9)").cast("bigint"), _kind(v, "ts")),
-           "device": (F.try_variant_get(v, "$.device", "string"), _kind(v, "device"))}
-    for name in SENSORS:
-        out[name] = (F.try_variant_get(v, f"$.{name}", "double"), _kind(v, name))
-    for name in ("light", "motion"):
-        out[name] = (F.try_variant_get(v, f"$.{name}", "string"), _kind(v, name))
+def _staged_fields(v: Column) -> list[Column]:
+    """Per field the typed value and its text form; ``device`` also its
+    variant type name (it must be a JSON string, not a number)."""
+    out = []
+    for name in _FIELD_ORDER:
+        if name in _NUMERIC:
+            out.append(F.try_variant_get(v, f"$.{name}", _NUMERIC[name]).alias(f"_x_{name}"))
+        out.append(_text(v, name).alias(f"_t_{name}"))
+    out.append(F.schema_of_variant(F.try_variant_get(v, "$.device", "variant")).alias("_k_device"))
     return out
 
 
 def _valid_value(name: str) -> tuple[Column, Column]:
-    """(value, valid) from the staged columns ``_x_<name>`` / ``_k_<name>``."""
-    val, kind = F.col(f"_x_{name}"), F.col(f"_k_{name}")
+    """(value, valid) from the staged columns."""
+    text = F.col(f"_t_{name}")
     if name == "device":
-        return val, kind == F.lit("STRING")
+        return text, F.col("_k_device") == F.lit("STRING")
     if name in ("light", "motion"):
-        # a JSON boolean renders as true/false; a string must read true/false
-        text = F.lower(val)
-        ok = kind.isin("BOOLEAN", "STRING") & text.isin("true", "false")
-        return text == F.lit("true"), ok
-    return val, _numeric_ok(kind) & val.isNotNull()
+        # a JSON boolean reads as true/false; a string must read true/false
+        low = F.lower(text)
+        return low == F.lit("true"), low.isin("true", "false")
+    val = F.col(f"_x_{name}")
+    if name == "ts":
+        val = val.cast("bigint")
+    # numbers and numeric strings; a JSON boolean also casts to a number but
+    # reads as true/false
+    return val, val.isNotNull() & ~text.isin("true", "false")
 
 
 def _parsed(raw: DataFrame) -> DataFrame:
@@ -62,15 +60,14 @@ def _parsed(raw: DataFrame) -> DataFrame:
     cannot be pushed below it and re-inline the parse into the predicate
     (which would repeat the parse per reference and outgrow codegen)."""
     staged = raw.select("seq", "value", F.try_parse_json(F.col("value")).alias("_v"))
-    fields = _typed_fields(F.col("_v"))
-    staged = staged.select(
-        "seq", "value",
-        (F.col("_v").isNull() | ~F.schema_of_variant(F.col("_v")).startswith("OBJECT"))
-        .alias("_malformed"),
-        *[fields[n][0].alias(f"_x_{n}") for n in _FIELD_ORDER],
-        *[fields[n][1].alias(f"_k_{n}") for n in _FIELD_ORDER])
+    staged = staged.select("seq", "value", "_v", *_staged_fields(F.col("_v")))
     checked = {n: _valid_value(n) for n in _FIELD_ORDER}
-    reason = F.when(F.col("_malformed"), F.lit(_MALFORMED))
+    all_ok = checked[_FIELD_ORDER[0]][1]
+    for name in _FIELD_ORDER[1:]:
+        all_ok = all_ok & checked[name][1]
+    not_object = F.col("_v").isNull() | ~F.schema_of_variant(F.col("_v")).startswith("OBJECT")
+    # the whole-object check only runs for messages that already failed
+    reason = F.when(all_ok, F.lit(None).cast("string")).when(not_object, F.lit(_MALFORMED))
     for name in _FIELD_ORDER:
         reason = reason.when(~checked[name][1], F.lit(f"invalid field: {name}"))
     decided = F.struct(*[checked[n][0].alias(n) for n in _FIELD_ORDER], reason.alias("reason"))

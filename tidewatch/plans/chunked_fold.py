@@ -40,8 +40,8 @@ from .skew import HotSet
 KEY = "device"
 ORDER = "seq"
 
-# What the last call did: chunks checked and devices rerun from which chunk
-# (for tests and run reports).
+# What the last call did: the devices rerun and the chunk each rerun started
+# from (for tests and run reports).
 LAST_RUN: dict = {}
 
 
@@ -154,7 +154,7 @@ def chunked_device_fold(df: DataFrame, init_state, step, hot: HotSet,
     # one row per hot device at most: bounded by the (size-checked) hot set
     redo = bad.collect()
     LAST_RUN.clear()
-    LAST_RUN.update(chunks=summary.count(), rerun={r[KEY]: int(r["_from"]) for r in redo})
+    LAST_RUN.update(rerun={r[KEY]: int(r["_from"]) for r in redo})
     cols = out_schema.fieldNames()
     if not redo:
         return rows.select(*cols)

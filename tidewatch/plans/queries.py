@@ -19,6 +19,7 @@ from ..operators.timestamps import repair_timestamps
 from ..sources.config import limits_frame, limits_from_record
 from ..sources.tables import readings
 from .pipeline import clean_readings
+from .skew import SkewPlan, find_hot
 
 # A limits record with some fields absent (they read as 0.0) and others
 # tightened, so that every sensor produces alerts on the adapter's data.
@@ -36,6 +37,18 @@ RECIPIENTS = ["ops@example.com", "oncall@example.com", "ops@example.com"]
 # Every 50th message is damaged by the JSON rendering of the parse queries.
 DAMAGE_EVERY = 50
 
+# The hot-device variants: every 3rd event belongs to one device, which is
+# split into chunks of 2048 seq values once it holds 2000 readings or more.
+HOT_EVERY = 3
+HOT_PLAN = SkewPlan(min_rows=2000, span=2048)
+
+
+def _source(spark, sf, hot_every=None, plan=SkewPlan()):
+    """Source readings and their hot set, detected once per query on the
+    source (a one-column aggregate) and handed to every operator."""
+    r = readings(spark, sf, hot_every=hot_every)
+    return r, find_hot(r, plan)
+
 
 def _q_readings(spark, sf):
     return readings(spark, sf)
@@ -54,33 +67,49 @@ def _q_spikes(spark, sf):
 
 
 def _q_stuck(spark, sf):
-    return flag_stuck_values(flag_outliers(readings(spark, sf)))
+    r, hot = _source(spark, sf)
+    return flag_stuck_values(flag_outliers(r), skew=hot)
 
 
 def _q_clean(spark, sf):
-    return clean_readings(readings(spark, sf))
+    r, hot = _source(spark, sf)
+    return clean_readings(r, skew=hot)
+
+
+def _alerts(spark, sf, limits=None, hot_every=None, plan=SkewPlan()):
+    r, hot = _source(spark, sf, hot_every, plan)
+    return detect_anomalies(clean_readings(r, skew=hot), limits, skew=hot)
 
 
 def _q_alerts(spark, sf):
-    return detect_anomalies(clean_readings(readings(spark, sf)))
+    return _alerts(spark, sf)
 
 
 def _q_alerts_custom(spark, sf):
     limits = limits_frame(spark, CUSTOM_LIMITS).select(*CUSTOM_LIMITS_RECORD)
-    return detect_anomalies(clean_readings(readings(spark, sf)), limits)
+    return _alerts(spark, sf, limits)
 
 
 def _q_sensor_data(spark, sf):
-    return to_sensor_data(clean_readings(readings(spark, sf)))
+    r, hot = _source(spark, sf)
+    return to_sensor_data(clean_readings(r, skew=hot))
 
 
 def _q_event_alerts(spark, sf):
-    return to_event_alerts(detect_anomalies(clean_readings(readings(spark, sf))))
+    return to_event_alerts(_alerts(spark, sf))
 
 
 def _q_notifications(spark, sf):
-    alerts = detect_anomalies(clean_readings(readings(spark, sf)))
-    return build_notifications(alerts, RECIPIENTS)
+    return build_notifications(_alerts(spark, sf), RECIPIENTS)
+
+
+def _q_clean_hot(spark, sf):
+    r, hot = _source(spark, sf, HOT_EVERY, HOT_PLAN)
+    return clean_readings(r, skew=hot)
+
+
+def _q_alerts_hot(spark, sf):
+    return _alerts(spark, sf, hot_every=HOT_EVERY, plan=HOT_PLAN)
 
 
 def _q_parse(spark, sf):
@@ -105,6 +134,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sensor_data_rows": _q_sensor_data,
     "event_alert_rows": _q_event_alerts,
     "notifications": _q_notifications,
+    "clean_readings_hot_device": _q_clean_hot,
+    "detect_anomalies_hot_device": _q_alerts_hot,
 }
 
 
@@ -133,4 +164,8 @@ def oracle_queries() -> dict[str, str]:
             q, O.detect_anomalies(q, O.clean_readings(q, r(q))))),
         "notifications": _sql(lambda q: O.notifications(
             q, O.detect_anomalies(q, O.clean_readings(q, r(q))), RECIPIENTS)),
+        "clean_readings_hot_device": _sql(
+            lambda q: O.clean_readings(q, r(q, hot_every=HOT_EVERY))),
+        "detect_anomalies_hot_device": _sql(
+            lambda q: O.detect_anomalies(q, O.clean_readings(q, r(q, hot_every=HOT_EVERY)))),
     }

@@ -25,13 +25,16 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def readings_from_events(events: DataFrame, devices: int = DEVICES) -> DataFrame:
+def readings_from_events(events: DataFrame, devices: int = DEVICES,
+                         hot_every: int | None = None) -> DataFrame:
     """Map the ``events`` table onto sensor readings.
 
     ``seq`` is the event id (arrival order); ``ts`` is a near-regular cadence of
     3 s per event with a little jitter and rare one-hour jumps forward and back,
     so that timestamp repair has real work; ``device`` spreads events over
-    ``devices`` devices. Only the columns read here are scanned.
+    ``devices`` devices. With ``hot_every`` = k, every k-th event goes to one
+    device ``dev-hot`` instead (a device holding 1/k of all readings). Only
+    the columns read here are scanned.
     """
     eid = F.col("event_id")
     value = F.col("value")
@@ -42,10 +45,13 @@ def readings_from_events(events: DataFrame, devices: int = DEVICES) -> DataFrame
           + F.floor(value * F.lit(10.0)).cast("bigint") + jump)
     temp = (F.when((F.expr("event_id div 200") % 4) == 0, F.lit(21.5))
             .otherwise(F.lit(20.0) + (eid % 101).cast("double") / F.lit(10.0)))
+    device = F.concat(F.lit("dev-"), (eid % devices).cast("string"))
+    if hot_every:
+        device = F.when(eid % hot_every == 0, F.lit("dev-hot")).otherwise(device)
     out = events.select(
         eid.alias("seq"),
         ts.cast("bigint").alias("ts"),
-        F.concat(F.lit("dev-"), (eid % devices).cast("string")).alias("device"),
+        device.alias("device"),
         (F.lit(4.0) + value / F.lit(100.0)).alias("co"),
         (F.lit(40.0) + value / F.lit(4.0)).alias("humidity"),
         ((eid % 2) == 0).alias("light"),
@@ -59,6 +65,7 @@ def readings_from_events(events: DataFrame, devices: int = DEVICES) -> DataFrame
     return out.select(*READING_COLUMNS)
 
 
-def readings(spark: SparkSession, sf_dir: str, devices: int = DEVICES) -> DataFrame:
-    return readings_from_events(spread(load_table(spark, sf_dir, "events")), devices)
+def readings(spark: SparkSession, sf_dir: str, devices: int = DEVICES,
+             hot_every: int | None = None) -> DataFrame:
+    return readings_from_events(spread(load_table(spark, sf_dir, "events")), devices, hot_every)
 
