@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 from .device_pass import device_fold
-from .skew import HotSet
+from .skew import MAX_BROADCAST_KEYS, HotSet
 
 KEY = "device"
 ORDER = "seq"
@@ -113,20 +113,22 @@ def chunked_device_fold(df: DataFrame, init_state, step, hot: HotSet,
                         schema: T.StructType | None = None, warm: int | None = None,
                         to_state=_state_text, from_state=_state_from_text) -> DataFrame:
     """Exact result of ``device_fold(df, init_state, step)`` with hot devices
-    split into chunks (see the module doc). ``warm`` is the warm-up length in
-    seq values (default: a sixteenth of the chunk span)."""
+    split into chunks (see the module doc). The warm-up of each device is the
+    seq length the hot set computed for it (about ``warm_rows`` readings), or
+    ``warm`` seq values when given."""
     out_schema = schema if schema is not None else df.schema
     span = int(hot.plan.span)
-    warm = int(warm if warm is not None else max(span // 16, 1))
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
 
-    flagged = hot.devices.withColumn("_hot", F.lit(True))
-    flagged = F.broadcast(flagged) if hot.count <= 200_000 else flagged
+    flagged = hot.devices.select(KEY, F.lit(True).alias("_hot"),
+                                 (F.lit(int(warm)) if warm is not None else F.col("warm"))
+                                 .cast("long").alias("_warm_len"))
+    flagged = F.broadcast(flagged) if hot.count <= MAX_BROADCAST_KEYS else flagged
     base = df.join(flagged, KEY, "left").select(
-        *df.columns, F.coalesce(F.col("_hot"), F.lit(False)).alias("_hot"))
+        *df.columns, F.coalesce(F.col("_hot"), F.lit(False)).alias("_hot"), "_warm_len")
     chunk = F.when(F.col("_hot"), F.expr(f"{ORDER} div {span}")).otherwise(F.lit(0))
-    in_tail = F.col("_hot") & (F.expr(f"{ORDER} % {span}") >= F.lit(span - warm))
+    in_tail = F.col("_hot") & (F.expr(f"{ORDER} % {span}") >= F.lit(span) - F.col("_warm_len"))
     copies = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     data = (base.select(*df.columns, chunk.cast("long").alias("_c0"), F.explode(copies).alias("_copy"))
             .select(*df.columns, (F.col("_c0") + F.col("_copy")).alias("_chunk"),

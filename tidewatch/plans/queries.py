@@ -37,10 +37,11 @@ RECIPIENTS = ["ops@example.com", "oncall@example.com", "ops@example.com"]
 # Every 50th message is damaged by the JSON rendering of the parse queries.
 DAMAGE_EVERY = 50
 
-# The hot-device variants: every 3rd event belongs to one device, which is
-# split into chunks of 2048 seq values once it holds 2000 readings or more.
+# The hot-device variants: every 3rd event belongs to one device. A device
+# with at least 1000 readings and a fifth of all readings is split into
+# chunks of 2048 seq values.
 HOT_EVERY = 3
-HOT_PLAN = SkewPlan(min_rows=2000, span=2048)
+HOT_PLAN = SkewPlan(min_rows=1000, span=2048, min_share=0.2)
 
 
 def _source(spark, sf, hot_every=None, plan=SkewPlan()):

@@ -16,6 +16,7 @@ a pipeline so the detection runs once.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,18 +24,23 @@ from pyspark.sql import functions as F
 
 DEFAULT_MIN_ROWS = 4_000_000      # a device with more readings gets split
 DEFAULT_SPAN = 1 << 21            # seq values per chunk of a hot device
+DEFAULT_WARM_ROWS = 256           # readings a speculative chunk is warmed on
 MAX_BROADCAST_KEYS = 200_000      # hot sets above this are joined by shuffle
 
 
 @dataclass(frozen=True)
 class SkewPlan:
+    """A device is hot when it has at least ``min_rows`` readings and at
+    least ``min_share`` of all readings."""
     min_rows: int = DEFAULT_MIN_ROWS
     span: int = DEFAULT_SPAN
+    min_share: float = 0.0
+    warm_rows: int = DEFAULT_WARM_ROWS
 
 
 @dataclass(frozen=True)
 class HotSet:
-    devices: DataFrame | None     # one column ``device``; None when nothing is hot
+    devices: DataFrame | None     # (device, warm); None when nothing is hot
     count: int
     plan: SkewPlan
 
@@ -46,11 +52,41 @@ class HotSet:
 NO_SKEW = HotSet(None, 0, SkewPlan())
 
 
-def find_hot(df: DataFrame, plan: SkewPlan = SkewPlan(), key: str = "device") -> HotSet:
-    hot = (df.groupBy(key).count().where(F.col("count") >= F.lit(plan.min_rows))
-           .select(key))
-    n = hot.count()
-    return HotSet(hot if n else None, n, plan)
+def find_hot(df: DataFrame, plan: SkewPlan = SkewPlan(), key: str = "device",
+             order: str = "seq") -> HotSet:
+    """One aggregate (a rollup: per-device counts and seq extent plus the
+    grand total) over two columns. Each hot device also gets its warm-up
+    length in seq values, ``warm_rows`` readings at its average density."""
+    stats = (df.rollup(key)
+             .agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi"),
+                  F.grouping(key).alias("g"))
+             .where((F.col("g") == 1) | (F.col("n") >= F.lit(plan.min_rows))))
+    rows = stats.limit(MAX_BROADCAST_KEYS + 2).collect()
+    total = next((r["n"] for r in rows if r["g"] == 1), 0)
+    floor = max(plan.min_rows, plan.min_share * total)
+    hot = [r for r in rows if r["g"] == 0 and r["n"] >= floor]
+    if not hot:
+        return HotSet(None, 0, plan)
+    spark = df.sparkSession
+    if len(rows) > MAX_BROADCAST_KEYS + 1:
+        # very many hot devices: keep them distributed
+        devices = (stats.where((F.col("g") == 0) & (F.col("n") >= F.lit(floor)))
+                   .select(key, _warm_expr(plan).alias("warm")))
+        return HotSet(devices, devices.count(), plan)
+    data = [(r[key], _warm(plan, r["n"], r["lo"], r["hi"])) for r in hot]
+    devices = spark.createDataFrame(data, f"{key} string, warm long")
+    return HotSet(devices, len(data), plan)
+
+
+def _warm(plan: SkewPlan, n: int, lo: int, hi: int) -> int:
+    extent = max(hi - lo + 1, 1)
+    return int(min(plan.span, max(1, math.ceil(plan.warm_rows * extent / max(n, 1)))))
+
+
+def _warm_expr(plan: SkewPlan):
+    extent = F.greatest(F.col("hi") - F.col("lo") + 1, F.lit(1))
+    w = F.ceil(F.lit(plan.warm_rows) * extent / F.col("n"))
+    return F.least(F.lit(plan.span), F.greatest(F.lit(1), w)).cast("long")
 
 
 def resolve(df: DataFrame, skew) -> HotSet:
@@ -68,7 +104,7 @@ def assign_chunks(df: DataFrame, hot: HotSet, key: str = "device",
     """Add ``_chunk``: ``seq div span`` for hot devices, 0 for the others."""
     if not hot.any:
         return df.withColumn("_chunk", F.lit(0).cast("long"))
-    flagged = hot.devices.withColumn("_hot", F.lit(True))
+    flagged = hot.devices.select(key, F.lit(True).alias("_hot"))
     if hot.count <= MAX_BROADCAST_KEYS:
         flagged = F.broadcast(flagged)
     chunk = F.when(F.col("_hot"), F.expr(f"{order} div {int(hot.plan.span)}")).otherwise(F.lit(0))
