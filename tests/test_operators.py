@@ -184,3 +184,15 @@ def test_alerts_alternate_per_sensor(spark):
 def test_single_exchange_in_fused_plan(spark):
     plan = clean_readings(readings(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_fused_alerts_equal_composed(spark):
+    from tidewatch.plans.pipeline import pipeline_alerts
+    from tidewatch.plans.queries import CUSTOM_LIMITS
+    r = readings(spark, SF_SMALL)
+    for lim in (None, CUSTOM_LIMITS):
+        a = pipeline_alerts(r, lim)
+        b = detect_anomalies(clean_readings(r), lim)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = pipeline_alerts(r)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -146,3 +146,30 @@ class StuckDetector:
                     cur = (v, t)
             new_state.append(cur)
         return stuck, new_state
+
+
+class EdgeDetector:
+    """W4 as a step function: per sensor the verdict ``value < low or
+    value > high`` of the previous non-rejected reading (false at first).
+    Returns per row and sensor 1 (anomaly_start), 2 (anomaly_end) or 0."""
+
+    def __init__(self, limits: dict, sensors=SENSORS):
+        self.limits, self.sensors = limits, tuple(sensors)
+
+    def init_state(self) -> list[bool]:
+        return [False for _ in self.sensors]
+
+    def run(self, values: dict[str, np.ndarray], kept: np.ndarray, state):
+        idx = np.flatnonzero(kept)
+        out, new_state = {}, []
+        for k, sensor in enumerate(self.sensors):
+            lo, hi = self.limits[sensor]
+            v = values[sensor][idx]
+            with np.errstate(invalid="ignore"):
+                exc = (v < lo) | (v > hi)          # NaN compares false, as in Java
+            prev = np.concatenate(([state[k]], exc[:-1])) if len(exc) else exc
+            edge = np.zeros(len(kept), dtype=np.int8)
+            edge[idx] = np.where(exc != prev, np.where(exc, 1, 2), 0)
+            out[sensor] = edge
+            new_state.append(bool(exc[-1]) if len(exc) else state[k])
+        return out, new_state

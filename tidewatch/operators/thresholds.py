@@ -52,6 +52,25 @@ def _edges_to_alerts(df: DataFrame, prev_of) -> DataFrame:
     return out.select(*ALERT_COLUMNS)
 
 
+def alerts_from_edges(df: DataFrame) -> DataFrame:
+    """Alerts from readings that carry ``_edge_<sensor>`` (0 none, 1 start,
+    2 end), as produced by a fused pass; a narrow explode, no shuffle."""
+    entries = [
+        F.struct(F.lit(s).alias("sensorType"), F.col(s).alias("value"),
+                 F.col(f"_edge_{s}").alias("edge"))
+        for s in SENSORS
+    ]
+    changed = F.filter(F.array(*entries), lambda e: e["edge"] != 0)
+    return (df.where(F.greatest(*[F.col(f"_edge_{s}") for s in SENSORS]) > 0)
+            .select("seq", "device", "ts", "suspicious", F.explode(changed).alias("e"))
+            .select("seq", F.col("device").alias("deviceId"),
+                    F.when(F.col("e.edge") == 1, F.lit(EVENT_START))
+                    .otherwise(F.lit(EVENT_END)).alias("eventType"),
+                    F.col("e.sensorType").alias("sensorType"),
+                    F.col("ts").alias("timestamp"), "suspicious",
+                    F.col("e.value").alias("value")))
+
+
 def detect_anomalies(readings: DataFrame, limits=None, skew=SkewPlan()) -> DataFrame:
     """Alerts (seq, deviceId, eventType, sensorType, timestamp, suspicious,
     value) from cleaned readings.

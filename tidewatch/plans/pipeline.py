@@ -11,15 +11,17 @@ partitioning; the composed form stays available and is tested equal.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from ..functions.folds import SpikeFilter, StuckDetector, TimestampRepair
+from ..functions.folds import EdgeDetector, SpikeFilter, StuckDetector, TimestampRepair
 from ..operators.outliers import flag_outliers, outlier_condition
 from ..operators.spikes import flag_spikes
 from ..operators.stuck import flag_stuck_values
-from ..operators.thresholds import detect_anomalies
+from ..operators.thresholds import alerts_from_edges, detect_anomalies
 from ..operators.timestamps import repair_timestamps
 from ..schema import (PHYSICAL_BOUNDS, SENSORS, SPIKE_THRESHOLD, SPIKE_WINDOW,
                       STUCK_DURATION_MS, TS_RATIO, TS_WINDOW)
+from ..sources.config import resolve_limits
 from .chunked_fold import chunked_device_fold
 from .device_pass import device_fold
 from .skew import SkewPlan, resolve
@@ -47,17 +49,19 @@ class CleaningFold:
 
     def __init__(self, *, ts_window: int = TS_WINDOW, ts_ratio: float = TS_RATIO,
                  spike_window: int = SPIKE_WINDOW, spike_threshold: float = SPIKE_THRESHOLD,
-                 stuck_ms: int | None = STUCK_DURATION_MS):
+                 stuck_ms: int | None = STUCK_DURATION_MS, limits=None):
         self.w1 = TimestampRepair(ts_window, ts_ratio)
         self.w2 = SpikeFilter(spike_window, spike_threshold)
         self.w3 = StuckDetector(stuck_ms) if stuck_ms is not None else None
+        self.w4 = EdgeDetector(limits) if limits is not None else None
 
     def init_state(self):
         return (self.w1.init_state(), self.w2.init_state(),
-                self.w3.init_state() if self.w3 else None)
+                self.w3.init_state() if self.w3 else None,
+                self.w4.init_state() if self.w4 else None)
 
     def step(self, a, state):
-        s1, s2, s3 = state
+        s1, s2, s3, s4 = state
         rejected = a["rejected"].astype(bool)
         suspicious = a["suspicious"].astype(bool)
         ts, s1 = self.w1.run(a["ts"], ~rejected, s1)
@@ -68,7 +72,11 @@ class CleaningFold:
         if self.w3 is not None:
             stuck_rows, s3 = self.w3.run(ts, values, ~rejected & ~suspicious, s3)
             suspicious = suspicious | stuck_rows
-        return {"ts": ts, "rejected": rejected, "suspicious": suspicious}, (s1, s2, s3)
+        out = {"ts": ts, "rejected": rejected, "suspicious": suspicious}
+        if self.w4 is not None:
+            edges, s4 = self.w4.run(values, ~rejected, s4)
+            out.update({f"_edge_{s}": e for s, e in edges.items()})
+        return out, (s1, s2, s3, s4)
 
 
 def with_outlier_verdict(readings: DataFrame, bounds=PHYSICAL_BOUNDS) -> DataFrame:
@@ -109,6 +117,38 @@ def clean_readings(readings: DataFrame, *, ts_window: int = TS_WINDOW,
     return out
 
 
+EDGE_COLUMNS = tuple(f"_edge_{s}" for s in SENSORS)
+
+
+def clean_and_detect(readings: DataFrame, limits=None, *, bounds=PHYSICAL_BOUNDS,
+                     stuck_ms: int = STUCK_DURATION_MS, skew=SkewPlan(),
+                     **params) -> DataFrame:
+    """Cleaned readings plus ``_edge_<sensor>`` (0 none, 1 start, 2 end):
+    W1-W4 in ONE exchange and one Python pass. W4's limits are constants for a
+    batch, so its edge state (five booleans per device) rides along in the
+    same fold instead of needing a second shuffle for a window.
+
+    With hot devices the fold is split (``plans.chunked_fold``) and W3 runs as
+    chunked windows afterwards; the edges do not depend on W3."""
+    lim = resolve_limits(limits)
+    edge_fields = [T.StructField(c, T.ByteType(), False) for c in EDGE_COLUMNS]
+    schema = T.StructType(list(readings.schema.fields) + edge_fields)
+    pre = with_outlier_verdict(readings, bounds)
+    hot = resolve(readings, skew)
+    if hot.any:
+        fold = CleaningFold(stuck_ms=None, limits=lim, **params)
+        out = chunked_device_fold(pre, fold.init_state, fold.step, hot, schema=schema)
+        return flag_stuck_values(out, stuck_ms, skew=hot)
+    fold = CleaningFold(stuck_ms=stuck_ms, limits=lim, **params)
+    return device_fold(pre, fold.init_state, fold.step, schema=schema)
+
+
+def pipeline_alerts(readings: DataFrame, limits=None, **kwargs) -> DataFrame:
+    """Alerts of the whole chain (equal to
+    ``detect_anomalies(clean_readings(readings), limits)``) with one exchange."""
+    return alerts_from_edges(clean_and_detect(readings, limits, **kwargs))
+
+
 def run_batch(readings: DataFrame, limits=None, **params) -> tuple[DataFrame, DataFrame]:
     """Cleaned readings and their alerts. The caller persists or writes the
     cleaned frame once when both outputs are consumed (see sinks)."""

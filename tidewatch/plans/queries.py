@@ -18,7 +18,7 @@ from ..operators.thresholds import detect_anomalies
 from ..operators.timestamps import repair_timestamps
 from ..sources.config import limits_frame, limits_from_record
 from ..sources.tables import readings
-from .pipeline import clean_readings
+from .pipeline import clean_readings, pipeline_alerts
 from .skew import SkewPlan, find_hot
 
 # A limits record with some fields absent (they read as 0.0) and others
@@ -78,8 +78,9 @@ def _q_clean(spark, sf):
 
 
 def _alerts(spark, sf, limits=None, hot_every=None, plan=SkewPlan()):
+    """The whole chain W1-W4 fused in one pass (one exchange)."""
     r, hot = _source(spark, sf, hot_every, plan)
-    return detect_anomalies(clean_readings(r, skew=hot), limits, skew=hot)
+    return pipeline_alerts(r, limits, skew=hot)
 
 
 def _q_alerts(spark, sf):
@@ -87,8 +88,11 @@ def _q_alerts(spark, sf):
 
 
 def _q_alerts_custom(spark, sf):
+    """The composed form: the public cleaning and limit operators chained,
+    with a partial limits record."""
     limits = limits_frame(spark, CUSTOM_LIMITS).select(*CUSTOM_LIMITS_RECORD)
-    return _alerts(spark, sf, limits)
+    r, hot = _source(spark, sf)
+    return detect_anomalies(clean_readings(r, skew=hot), limits, skew=hot)
 
 
 def _q_sensor_data(spark, sf):

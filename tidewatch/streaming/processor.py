@@ -26,7 +26,7 @@ STATE = T.StructType([
 
 
 def encode_state(state) -> tuple:
-    ts_win, spikes, stuck = state
+    ts_win, spikes, stuck, _ = state
     return (
         [int(t) for t in ts_win],
         [[float(v) for v in w] for w in spikes],
@@ -38,7 +38,7 @@ def encode_state(state) -> tuple:
 def decode_state(row) -> tuple:
     ts_win, spikes, values, starts = row
     stuck = [None if st is None else (float(v), int(st)) for v, st in zip(values, starts)]
-    return (list(ts_win), [list(w) for w in spikes], stuck)
+    return (list(ts_win), [list(w) for w in spikes], stuck, None)
 
 
 def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataFrame:
