@@ -86,3 +86,34 @@ def test_limits_change_between_batches_and_replay(spark, scratch):
     assert again == got
     notes = spark.read.parquet(f"{scratch}/out/notifications").collect()
     assert len(notes) == 3 and all(n.recipients == "ops@example.com" for n in notes)
+
+
+def test_stream_from_raw_messages_with_quarantine(spark, scratch):
+    from tidewatch.operators.parse import parse_readings, readings_as_messages
+    from tidewatch.sources.streams import file_messages
+    r = readings(spark, SF_SMALL)
+    msgs = readings_as_messages(r, 50)
+    src, out, ck = f"{scratch}/raw", f"{scratch}/out", f"{scratch}/ck"
+    os.makedirs(src)
+    for i in range(2):
+        tmp = f"{scratch}/tmp{i}"
+        msgs.where((F.col("seq") / 500).cast("int") == i).coalesce(1).write.parquet(tmp)
+        f = [x for x in os.listdir(tmp) if x.endswith(".parquet")][0]
+        shutil.copy(f"{tmp}/{f}", f"{src}/m{i}.parquet")
+        os.utime(f"{src}/m{i}.parquet", (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    qs = start_pipeline(spark, file_messages(spark, src, max_files_per_trigger=1), out,
+                        checkpoint_dir=ck, available_now=True, parse=True)
+    for q in qs:
+        q.awaitTermination()
+    dead = spark.read.parquet(f"{out}/quarantine")
+    assert dead.count() == 12
+    assert {r.reason for r in dead.select("reason").distinct().collect()} == {
+        "invalid field: co", "invalid field: device", "malformed", "invalid field: light",
+        "invalid field: smoke"}
+    sd = spark.read.parquet(f"{out}/sensor_data")
+    expected = clean_readings(parse_readings(msgs))
+    b = expected.select("seq", "rejected", "suspicious",
+                        F.timestamp_millis("ts").cast("timestamp_ntz").alias("time"))
+    a = sd.select("seq", "rejected", "suspicious", "time")
+    assert sd.count() == 988
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
