@@ -19,6 +19,11 @@ import numpy as np
 from ..schema import (SENSORS, SPIKE_THRESHOLD, SPIKE_WINDOW, STUCK_DURATION_MS,
                       TS_RATIO, TS_WINDOW)
 
+# block sizes of the vectorised paths: start small after every state change,
+# grow while the rows keep agreeing with the "nothing happens" assumption
+_MIN_BLOCK = 32
+_MAX_BLOCK = 4096
+
 
 class TimestampRepair:
     """W1: a stamp whose distance to the last kept stamp exceeds
@@ -35,6 +40,54 @@ class TimestampRepair:
         return []
 
     def run(self, ts: np.ndarray, eligible: np.ndarray, state: list[int]):
+        """Vectorised. A stamp's verdict depends on the last ``window`` kept
+        stamps only, so verdicts computed for all rows at once on the raw
+        stamps (running sums of the gaps) are exact up to the first bad stamp
+        and again from ``window`` rows after the last repaired one; only the
+        rows in between are walked one by one. Same integer arithmetic."""
+        window, ratio = self.window, self.ratio
+        out = ts.astype(np.int64, copy=True)
+        idx = np.flatnonzero(eligible)
+        n = len(idx)
+        win = [int(x) for x in state][-window:]
+        if n == 0:
+            return out, win
+        t = out[idx]
+        size = len(win)
+        a = np.concatenate((np.asarray(win, dtype=np.int64), t))
+        cs = np.concatenate(([0], np.cumsum(np.abs(np.diff(a)))))
+        pos = size + np.arange(n)
+        full = pos >= window
+        hi = np.maximum(pos - 1, 0)
+        lo = np.maximum(pos - window, 0)
+        avg = np.where(full, cs[hi] - cs[lo], 0) // (window - 1)
+        bad = full & (np.abs(t - a[hi]) > ratio * avg)
+        cand = np.flatnonzero(bad).tolist()
+        res = t.copy()
+        clean_from = 0
+        for p in cand:
+            if p < clean_from:
+                continue
+            # rows before p agree with the raw-stamp assumption; p is bad
+            recent = deque(a[size + p - window:size + p].tolist(), maxlen=window)
+            gap_sum = sum(abs(y - x) for x, y in zip(list(recent)[:-1], list(recent)[1:]))
+            last_fix, k = p, p
+            while k < n and k <= last_fix + window:
+                x = int(t[k])
+                avg_k = gap_sum // (window - 1)
+                if abs(x - recent[-1]) > ratio * avg_k:
+                    x = recent[-1] + avg_k
+                    last_fix = k
+                res[k] = x
+                gap_sum += abs(x - recent[-1]) - abs(recent[1] - recent[0])
+                recent.append(x)
+                k += 1
+            clean_from = k
+        out[idx] = res
+        return out, (win + res.tolist())[-window:]
+
+    def run_scalar(self, ts: np.ndarray, eligible: np.ndarray, state: list[int]):
+        """Reference: one reading at a time."""
         window, ratio = self.window, self.ratio
         win = deque(state, maxlen=window)
         gaps = deque((abs(b - a) for a, b in zip(list(win)[:-1], list(win)[1:])), maxlen=window)
@@ -94,6 +147,75 @@ class SpikeFilter:
         return [[] for _ in self.sensors]
 
     def run(self, values: dict[str, np.ndarray], eligible: np.ndarray, state):
+        """Block-vectorised per sensor: assume no spike in a block, compute all
+        window means of the block at once (the same compensated sum, element by
+        element from the oldest, as a (rows x window) matrix; shorter windows
+        are left-padded with zeros, which leave the sum and its compensation
+        exactly at zero), accept the rows before the first spike, apply that
+        spike, and go on from the row after it."""
+        n = len(eligible)
+        spike = np.zeros(n, dtype=bool)
+        idx = np.flatnonzero(eligible)
+        new_state = []
+        for k, sensor in enumerate(self.sensors):
+            flags, win = self._run_sensor(values[sensor][idx].astype(np.float64), list(state[k]))
+            spike[idx[flags]] = True
+            new_state.append(win)
+        return spike, new_state
+
+    def _run_sensor(self, vals: np.ndarray, win: list[float]):
+        window, thr = self.window, self.threshold
+        n = len(vals)
+        flags = np.zeros(n, dtype=bool)
+        if n == 0:
+            return flags, win
+        size = len(win)
+        a = np.concatenate((np.asarray(win, dtype=np.float64), vals))
+        pos = size + np.arange(n)
+        # row r's window (oldest first, left-padded with zeros): a zero-copy view
+        padded = np.concatenate((np.zeros(window - 1), a))
+        mat = np.lib.stride_tricks.sliding_window_view(padded, window)[size:]
+        s = np.zeros(n)
+        c = np.zeros(n)
+        simple = np.zeros(n)
+        with np.errstate(invalid="ignore", over="ignore"):
+            for j in range(window):
+                x = mat[:, j]
+                y = x - c
+                t = s + y
+                c = (t - s) - y
+                s = t
+                simple = simple + x
+            total = s - c
+            total = np.where(np.isnan(total) & np.isinf(simple), simple, total)
+            mean = total / np.minimum(pos + 1, window)
+            hit = (vals >= mean + mean * thr) | (vals <= mean - mean * thr)
+        accepted = np.ones(n, dtype=bool)
+        clean_from = 0
+        for p in np.flatnonzero(hit).tolist():
+            if p < clean_from:
+                continue
+            # the window of p holds accepted values only: p is a spike
+            flags[p] = True
+            accepted[p] = False
+            recent = deque(a[max(0, size + p - (window - 1)):size + p].tolist(), maxlen=window - 1)
+            last_spike, k = p, p + 1
+            while k < n and k < last_spike + window:
+                x = float(vals[k])
+                m = java_mean([*recent, x])
+                if x >= m + m * thr or x <= m - m * thr:
+                    flags[k] = True
+                    accepted[k] = False
+                    last_spike = k
+                else:
+                    recent.append(x)
+                k += 1
+            clean_from = k
+        keep = window if accepted[-1] else window - 1
+        return flags, (win + vals[accepted].tolist())[-keep:]
+
+    def run_scalar(self, values: dict[str, np.ndarray], eligible: np.ndarray, state):
+        """Reference: one reading at a time."""
         n = len(eligible)
         spike = np.zeros(n, dtype=bool)
         window, thr = self.window, self.threshold
@@ -126,6 +248,39 @@ class StuckDetector:
         return [None for _ in self.sensors]
 
     def run(self, ts: np.ndarray, values: dict[str, np.ndarray], eligible: np.ndarray, state):
+        """Vectorised: the state never depends on the verdict, so runs of
+        equal values are found with a running maximum of run-start positions."""
+        n = len(eligible)
+        stuck = np.zeros(n, dtype=bool)
+        d = self.duration
+        idx = np.flatnonzero(eligible)
+        t = ts[idx].astype(np.int64)
+        m = len(idx)
+        new_state = []
+        for k, sensor in enumerate(self.sensors):
+            cur = state[k]
+            if m == 0:
+                new_state.append(cur)
+                continue
+            v = values[sensor][idx].astype(np.float64)
+            prev = np.concatenate(([np.nan if cur is None else cur[0]], v[:-1]))
+            same = v == prev                      # NaN equals nothing
+            if cur is None:
+                # the first reading creates the state and is compared to itself
+                same[0] = v[0] == v[0]
+            start_pos = np.maximum.accumulate(np.where(same, -1, np.arange(m)))
+            if cur is None:
+                start = np.where(start_pos >= 0, t[np.maximum(start_pos, 0)], t[0])
+            else:
+                start = np.where(start_pos >= 0, t[np.maximum(start_pos, 0)], cur[1])
+            flag = same & (t - start >= d)
+            stuck[idx[flag]] = True
+            new_state.append((float(v[-1]), int(start[-1])))
+        return stuck, new_state
+
+    def run_scalar(self, ts: np.ndarray, values: dict[str, np.ndarray], eligible: np.ndarray,
+                   state):
+        """Reference: one reading at a time."""
         n = len(eligible)
         stuck = np.zeros(n, dtype=bool)
         d = self.duration
