@@ -51,6 +51,6 @@ def any_of(cols) -> Column:
 
 
 def ms_to_timestamp(ms) -> Column:
-    """Epoch milliseconds -> TIMESTAMP_NTZ in UTC (the wall clock of the
-    instant in UTC; the session zone is pinned to UTC)."""
-    return F.timestamp_millis(_c(ms)).cast("timestamp_ntz")
+    """Epoch milliseconds -> TIMESTAMP_NTZ holding the UTC wall clock of the
+    instant. Independent of the session time zone (no zone conversion)."""
+    return F.timestamp_add("MILLISECOND", _c(ms), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
