@@ -117,3 +117,17 @@ def test_stream_from_raw_messages_with_quarantine(spark, scratch):
     a = sd.select("seq", "rejected", "suspicious", "time")
     assert sd.count() == 988
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stream_keeps_nan_readings(spark, scratch):
+    from tests_helpers import nan_rows
+    rows = nan_rows()
+    src, out, ck = f"{scratch}/in", f"{scratch}/out", f"{scratch}/ck"
+    spark.createDataFrame(rows, READING).coalesce(1).write.parquet(src)
+    for q in start_pipeline(spark, file_readings(spark, src), out, checkpoint_dir=ck,
+                            available_now=True, parse=False):
+        q.awaitTermination()
+    sd = spark.read.parquet(f"{out}/sensor_data")
+    got = {r.seq: r.co for r in sd.collect()}
+    assert len(got) == len(rows)
+    assert all((g != g) == (r[3] != r[3]) for r in rows for g in [got[r[0]]])

@@ -18,7 +18,8 @@ speculative ones. In the common case nothing is rerun; in the worst case (a
 state that never re-synchronises) the device costs what an unsplit fold
 costs.
 
-The pass output is materialised once with ``checkpoint()`` in the shared
+The pass runs on Arrow batches (NaN readings stay NaN). Its output is
+materialised once with ``checkpoint()`` in the shared
 checkpoint folder, which both cuts the lineage and lets the check read it
 without running the Python pass twice.
 """
@@ -28,13 +29,13 @@ from __future__ import annotations
 import json
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import ensure_checkpoint_dir
-from .device_pass import device_fold
+from .device_pass import arrow_batch, batch_arrays, device_fold
 from .skew import MAX_BROADCAST_KEYS, HotSet
 
 KEY = "device"
@@ -57,12 +58,13 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def _chunk_pass(batches, init_state, step, columns, to_state):
+def _chunk_pass(batches, init_state, step, arrow_schema, to_state):
     """Fold over (device, _chunk, seq)-sorted batches; warm rows advance the
     state only. Emits the real rows (``_kind`` 0) and, per chunk, one summary
     row (``_kind`` 1) with the entry and exit states."""
     group, state, entry = None, None, None
     summaries: list[dict] = []
+    names = arrow_schema.names
 
     def close():
         # chunks that only received warm-up rows are not chunks of their own
@@ -70,11 +72,16 @@ def _chunk_pass(batches, init_state, step, columns, to_state):
             summaries.append({KEY: group[0], "_chunk": group[1], "_kind": 1,
                               "_entry": entry, "_exit": to_state(state)})
 
-    for pdf in batches:
-        n = len(pdf)
+    def summary_batch():
+        cols = {c: [r.get(c) for r in summaries] for c in names}
+        summaries.clear()
+        return arrow_batch(cols, arrow_schema)
+
+    for rb in batches:
+        n = rb.num_rows
         if n == 0:
             continue
-        arrays = {c: pdf[c].to_numpy() for c in pdf.columns}
+        arrays = batch_arrays(rb)
         dev, chunk, warm = arrays[KEY], arrays["_chunk"], arrays["_warm"].astype(bool)
         cut = np.flatnonzero((dev[1:] != dev[:-1]) | (chunk[1:] != chunk[:-1])
                              | (warm[1:] != warm[:-1])) + 1
@@ -96,17 +103,18 @@ def _chunk_pass(batches, init_state, step, columns, to_state):
                     outs[c][s:e] = a
         real = ~warm
         if real.any():
-            out = pdf.assign(**{c: a for c, a in outs.items()})[real].copy()
-            out["_kind"] = 0
-            out["_entry"] = None
-            out["_exit"] = None
-            yield out[columns]
+            merged = {**arrays, **outs}
+            m = int(real.sum())
+            cols = {c: merged[c][real] for c in names if c in merged}
+            cols["_kind"] = np.zeros(m, dtype=np.int32)
+            cols["_entry"] = [None] * m
+            cols["_exit"] = [None] * m
+            yield arrow_batch(cols, arrow_schema)
         if summaries:
-            yield pd.DataFrame(summaries).reindex(columns=columns)
-            summaries.clear()
+            yield summary_batch()
     close()
     if summaries:
-        yield pd.DataFrame(summaries).reindex(columns=columns)
+        yield summary_batch()
 
 
 def chunked_device_fold(df: DataFrame, init_state, step, hot: HotSet,
@@ -138,13 +146,13 @@ def chunked_device_fold(df: DataFrame, init_state, step, hot: HotSet,
         list(out_schema.fields)
         + [T.StructField("_chunk", T.LongType()), T.StructField("_kind", T.IntegerType()),
            T.StructField("_entry", T.StringType()), T.StructField("_exit", T.StringType())]))
-    columns = pass_schema.fieldNames()
+    arrow_schema = to_arrow_schema(pass_schema)
 
     def fn(batches):
-        yield from _chunk_pass(batches, init_state, step, columns, to_state)
+        yield from _chunk_pass(batches, init_state, step, arrow_schema, to_state)
 
     out = (data.repartition(KEY, "_chunk").sortWithinPartitions(KEY, "_chunk", ORDER)
-           .mapInPandas(fn, pass_schema)).checkpoint(eager=True)
+           .mapInArrow(fn, pass_schema)).checkpoint(eager=True)
 
     rows = out.where(F.col("_kind") == 0)
     summary = out.where(F.col("_kind") == 1).select(KEY, "_chunk", "_entry", "_exit")

@@ -2,10 +2,14 @@
 
 Recursive rules (the output feeds the state) cannot be window functions. They
 run as: hash-partition on ``device`` (one exchange), sort within partitions on
-(device, seq) (spills like any Spark sort), then ``mapInPandas`` walks the
+(device, seq) (spills like any Spark sort), then ``mapInArrow`` walks the
 Arrow batches carrying the state of the current device across batch borders
 and resetting it at a device change. Memory stays constant however long a
 device's history is; nothing is collected per group.
+
+Arrow, not pandas, on the way back: pandas treats NaN as a missing value and
+would turn a NaN reading into NULL, while here NaN is data. Columns go from
+Arrow to numpy and back without any pandas step.
 """
 
 from __future__ import annotations
@@ -13,23 +17,36 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def device_ordered(df: DataFrame, key: str = "device", order: str = "seq") -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key, order)
 
 
-def _fold_batches(batches: Iterator[pd.DataFrame], init_state: Callable, step: Callable,
-                  key: str, columns: list[str], keyed_init: bool = False) -> Iterator[pd.DataFrame]:
+def batch_arrays(rb: pa.RecordBatch) -> dict[str, np.ndarray]:
+    return {name: col.to_numpy(zero_copy_only=False)
+            for name, col in zip(rb.schema.names, rb.columns)}
+
+
+def arrow_batch(arrays: dict, schema: pa.Schema) -> pa.RecordBatch:
+    """numpy (or list) columns -> RecordBatch; NaN stays a value."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(arrays[f.name], type=f.type) for f in schema], schema=schema)
+
+
+def _fold_batches(batches: Iterator[pa.RecordBatch], init_state: Callable, step: Callable,
+                  key: str, arrow_schema: pa.Schema, keyed_init: bool = False
+                  ) -> Iterator[pa.RecordBatch]:
     cur_key, state = None, None
     started = False
-    for pdf in batches:
-        n = len(pdf)
+    for rb in batches:
+        n = rb.num_rows
         if n == 0:
             continue
-        arrays = {c: pdf[c].to_numpy() for c in pdf.columns}
+        arrays = batch_arrays(rb)
         keys = arrays[key]
         cut = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         starts = np.concatenate(([0], cut))
@@ -45,7 +62,7 @@ def _fold_batches(batches: Iterator[pd.DataFrame], init_state: Callable, step: C
                 if c not in outs:
                     outs[c] = np.empty(n, dtype=a.dtype)
                 outs[c][s:e] = a
-        yield pdf.assign(**outs)[columns]
+        yield arrow_batch({**arrays, **outs}, arrow_schema)
 
 
 def device_fold(df: DataFrame, init_state: Callable, step: Callable, schema=None,
@@ -56,10 +73,9 @@ def device_fold(df: DataFrame, init_state: Callable, step: Callable, schema=None
     With ``keyed_init`` the initial state is ``init_state(key)``.
     """
     out_schema = schema if schema is not None else df.schema
-
-    columns = list(out_schema.fieldNames())
+    arrow_schema = to_arrow_schema(out_schema)
 
     def fn(batches):
-        yield from _fold_batches(batches, init_state, step, key, columns, keyed_init)
+        yield from _fold_batches(batches, init_state, step, key, arrow_schema, keyed_init)
 
-    return device_ordered(df, key, order).mapInPandas(fn, out_schema)
+    return device_ordered(df, key, order).mapInArrow(fn, out_schema)

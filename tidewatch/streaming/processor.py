@@ -9,13 +9,15 @@ order and are sorted by ``seq`` first; the step itself is the batch pass's.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..plans.pipeline import CleaningFold, with_outlier_verdict
-from ..schema import PHYSICAL_BOUNDS, READING, READING_COLUMNS
+from ..schema import PHYSICAL_BOUNDS, READING, READING_COLUMNS, SENSORS
 
 STATE = T.StructType([
     T.StructField("ts_window", T.ArrayType(T.LongType(), False), False),
@@ -41,6 +43,25 @@ def decode_state(row) -> tuple:
     return (list(ts_win), [list(w) for w in spikes], stuck, None)
 
 
+# The state API hands pandas frames back, and pandas turns NaN into NULL on
+# the way to Arrow; NaN is data here, so the sensor columns travel as nullable
+# with a bitmask of the NaN ones, and NaN is put back JVM-side.
+_OUT = T.StructType([T.StructField(f.name, f.dataType, True) for f in READING.fields]
+                    + [T.StructField("_nan_bits", T.IntegerType(), False)])
+
+
+def _restore_nans(df: DataFrame) -> DataFrame:
+    cols = []
+    for c in READING_COLUMNS:
+        if c in SENSORS:
+            bit = SENSORS.index(c)
+            cols.append(F.when(F.shiftright(F.col("_nan_bits"), bit).bitwiseAND(1) == 1,
+                               F.lit(float("nan"))).otherwise(F.col(c)).alias(c))
+        else:
+            cols.append(F.col(c))
+    return df.select(*cols)
+
+
 def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataFrame:
     """Streaming counterpart of ``clean_readings`` (same output columns)."""
     fold = CleaningFold(**params)
@@ -55,9 +76,13 @@ def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataF
         arrays = {c: pdf[c].to_numpy() for c in pdf.columns}
         changed, current = fold.step(arrays, current)
         state.update(encode_state(current))
-        yield pdf.assign(**changed)[columns]
+        out = pdf.assign(**changed)[columns]
+        bits = np.zeros(len(out), dtype=np.int32)
+        for k, sensor in enumerate(SENSORS):
+            bits |= np.isnan(out[sensor].to_numpy(dtype=np.float64)).astype(np.int32) << k
+        yield out.assign(_nan_bits=bits)
 
-    return (with_outlier_verdict(readings.select(*READING_COLUMNS), bounds)
-            .groupBy("device")
-            .applyInPandasWithState(process, READING, STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
+    return _restore_nans(
+        with_outlier_verdict(readings.select(*READING_COLUMNS), bounds)
+        .groupBy("device")
+        .applyInPandasWithState(process, _OUT, STATE, "append", GroupStateTimeout.NoTimeout))
