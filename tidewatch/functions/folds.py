@@ -247,11 +247,15 @@ class StuckDetector:
     def init_state(self):
         return [None for _ in self.sensors]
 
-    def run(self, ts: np.ndarray, values: dict[str, np.ndarray], eligible: np.ndarray, state):
+    def run(self, ts: np.ndarray, values: dict[str, np.ndarray], eligible: np.ndarray, state,
+            per_sensor: bool = False):
         """Vectorised: the state never depends on the verdict, so runs of
-        equal values are found with a running maximum of run-start positions."""
+        equal values are found with a running maximum of run-start positions.
+        With ``per_sensor`` also returns, per sensor, the stuck rows and the
+        rows where a run restarts (both as full-length masks)."""
         n = len(eligible)
         stuck = np.zeros(n, dtype=bool)
+        stuck_by, restart_by = {}, {}
         d = self.duration
         idx = np.flatnonzero(eligible)
         t = ts[idx].astype(np.int64)
@@ -276,6 +280,16 @@ class StuckDetector:
             flag = same & (t - start >= d)
             stuck[idx[flag]] = True
             new_state.append((float(v[-1]), int(start[-1])))
+            if per_sensor:
+                stuck_by[sensor] = np.zeros(n, dtype=bool)
+                stuck_by[sensor][idx[flag]] = True
+                restart_by[sensor] = np.zeros(n, dtype=bool)
+                restart_by[sensor][idx[~same]] = True
+        if per_sensor:
+            for sensor in self.sensors:
+                stuck_by.setdefault(sensor, np.zeros(n, dtype=bool))
+                restart_by.setdefault(sensor, np.zeros(n, dtype=bool))
+            return stuck, new_state, stuck_by, restart_by
         return stuck, new_state
 
     def run_scalar(self, ts: np.ndarray, values: dict[str, np.ndarray], eligible: np.ndarray,

@@ -58,19 +58,23 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def _chunk_pass(batches, init_state, step, arrow_schema, to_state):
+def _chunk_pass(batches, fold, arrow_schema, to_state):
     """Fold over (device, _chunk, seq)-sorted batches; warm rows advance the
     state only. Emits the real rows (``_kind`` 0) and, per chunk, one summary
     row (``_kind`` 1) with the entry and exit states."""
     group, state, entry = None, None, None
     summaries: list[dict] = []
     names = arrow_schema.names
+    view = getattr(fold, "verify_view", lambda st: st)
+    opener = getattr(fold, "open_chunk", lambda st: st)
+    extra = getattr(fold, "summary_extra", lambda st: {})
 
     def close():
         # chunks that only received warm-up rows are not chunks of their own
         if group is not None and entry is not None:
             summaries.append({KEY: group[0], "_chunk": group[1], "_kind": 1,
-                              "_entry": entry, "_exit": to_state(state)})
+                              "_entry": entry, "_exit": to_state(view(state)),
+                              "_exit_full": to_state(state), **extra(state)})
 
     def summary_batch():
         cols = {c: [r.get(c) for r in summaries] for c in names}
@@ -92,14 +96,15 @@ def _chunk_pass(batches, init_state, step, arrow_schema, to_state):
             g = (dev[s], int(chunk[s]))
             if g != group:
                 close()
-                group, state, entry = g, init_state(), None
+                group, state, entry = g, fold.init_state(), None
             if not warm[s] and entry is None:
-                entry = to_state(state)
-            result, state = step({c: a[s:e] for c, a in arrays.items()}, state)
+                entry = to_state(view(state))
+                state = opener(state)
+            result, state = fold.step({c: a[s:e] for c, a in arrays.items()}, state)
             if not warm[s]:
                 for c, a in result.items():
                     if c not in outs:
-                        outs[c] = np.empty(n, dtype=a.dtype)
+                        outs[c] = np.zeros(n, dtype=a.dtype)
                     outs[c][s:e] = a
         real = ~warm
         if real.any():
@@ -107,8 +112,9 @@ def _chunk_pass(batches, init_state, step, arrow_schema, to_state):
             m = int(real.sum())
             cols = {c: merged[c][real] for c in names if c in merged}
             cols["_kind"] = np.zeros(m, dtype=np.int32)
-            cols["_entry"] = [None] * m
-            cols["_exit"] = [None] * m
+            for c in names:
+                if c not in cols:
+                    cols[c] = [None] * m
             yield arrow_batch(cols, arrow_schema)
         if summaries:
             yield summary_batch()
@@ -117,17 +123,22 @@ def _chunk_pass(batches, init_state, step, arrow_schema, to_state):
         yield summary_batch()
 
 
-def chunked_device_fold(df: DataFrame, init_state, step, hot: HotSet,
-                        schema: T.StructType | None = None, warm: int | None = None,
-                        to_state=_state_text, from_state=_state_from_text) -> DataFrame:
-    """Exact result of ``device_fold(df, init_state, step)`` with hot devices
-    split into chunks (see the module doc). The warm-up of each device is the
-    seq length the hot set computed for it (about ``warm_rows`` readings), or
-    ``warm`` seq values when given."""
+def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType | None = None,
+                        warm: int | None = None, to_state=_state_text,
+                        from_state=_state_from_text) -> DataFrame:
+    """Exact result of ``device_fold(df, fold.init_state, fold.step)`` with
+    hot devices split into chunks (see the module doc). The warm-up of each
+    device is the seq length the hot set computed for it (about ``warm_rows``
+    readings), or ``warm`` seq values when given.
+
+    ``fold`` may carry part of its state across borders itself instead of
+    having it verified (``verify_view``, ``open_chunk``, ``summary_extra``,
+    ``carry_table``, ``carry_fix``, ``rerun_state``; see ``CleaningFold``)."""
     out_schema = schema if schema is not None else df.schema
     span = int(hot.plan.span)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    carries = getattr(fold, "carries_starts", False)
 
     flagged = hot.devices.select(KEY, F.lit(True).alias("_hot"),
                                  (F.lit(int(warm)) if warm is not None else F.col("warm"))
@@ -144,32 +155,46 @@ def chunked_device_fold(df: DataFrame, init_state, step, hot: HotSet,
 
     pass_schema = _nullable(T.StructType(
         list(out_schema.fields)
+        + (list(fold.carry_fields) if carries else [])
         + [T.StructField("_chunk", T.LongType()), T.StructField("_kind", T.IntegerType()),
-           T.StructField("_entry", T.StringType()), T.StructField("_exit", T.StringType())]))
+           T.StructField("_entry", T.StringType()), T.StructField("_exit", T.StringType()),
+           T.StructField("_exit_full", T.StringType())]
+        + (list(fold.summary_fields) if carries else [])))
     arrow_schema = to_arrow_schema(pass_schema)
 
     def fn(batches):
-        yield from _chunk_pass(batches, init_state, step, arrow_schema, to_state)
+        yield from _chunk_pass(batches, fold, arrow_schema, to_state)
 
     out = (data.repartition(KEY, "_chunk").sortWithinPartitions(KEY, "_chunk", ORDER)
            .mapInArrow(fn, pass_schema)).checkpoint(eager=True)
 
     rows = out.where(F.col("_kind") == 0)
-    summary = out.where(F.col("_kind") == 1).select(KEY, "_chunk", "_entry", "_exit")
+    summary = out.where(F.col("_kind") == 1)
     w = Window.partitionBy(KEY).orderBy("_chunk")
-    checked = summary.select(KEY, "_chunk", "_entry", F.lag("_exit").over(w).alias("_prev_exit"))
+    checked = summary.select(KEY, "_chunk", "_entry", F.lag("_exit").over(w).alias("_prev_exit"),
+                             F.lag("_exit_full").over(w).alias("_prev_full"))
     bad = (checked.where(F.col("_prev_exit").isNotNull() & (F.col("_entry") != F.col("_prev_exit")))
-           .groupBy(KEY).agg(F.min_by(F.struct("_chunk", "_prev_exit"), F.col("_chunk")).alias("b"))
-           .select(KEY, F.col("b._chunk").alias("_from"), F.col("b._prev_exit").alias("_state")))
+           .groupBy(KEY).agg(F.min_by(F.struct("_chunk", "_prev_full"), F.col("_chunk")).alias("b"))
+           .select(KEY, F.col("b._chunk").alias("_from"), F.col("b._prev_full").alias("_state")))
+    carry = fold.carry_table(summary) if carries else None
+    if carries:
+        bad = bad.join(carry.withColumnRenamed("_chunk", "_from"), [KEY, "_from"], "left")
     # one row per hot device at most: bounded by the (size-checked) hot set
     redo = bad.collect()
     LAST_RUN.clear()
     LAST_RUN.update(rerun={r[KEY]: int(r["_from"]) for r in redo})
     cols = out_schema.fieldNames()
+    if carries:
+        rows = fold.carry_fix(rows, carry)
     if not redo:
         return rows.select(*cols)
 
-    starts = {r[KEY]: from_state(r["_state"]) for r in redo}
+    starts = {}
+    for r in redo:
+        st = from_state(r["_state"])
+        if carries:
+            st = fold.rerun_state(st, [r[f"_cin_{k}"] for k in range(len(fold.summary_starts()))])
+        starts[r[KEY]] = st
     redo_df = spark.createDataFrame([(r[KEY], int(r["_from"])) for r in redo],
                                     f"{KEY} string, _from long")
     keep = (rows.join(F.broadcast(redo_df), KEY, "left")
@@ -178,7 +203,7 @@ def chunked_device_fold(df: DataFrame, init_state, step, hot: HotSet,
               .where(F.expr(f"{ORDER} div {span}") >= F.col("_from")).select(*df.columns))
 
     def init_for(key):
-        return starts[key] if key in starts else init_state()
+        return starts[key] if key in starts else fold.init_state()
 
-    rerun = device_fold(suffix, init_for, step, out_schema, keyed_init=True)
+    rerun = device_fold(suffix, init_for, fold.step, out_schema, keyed_init=True)
     return keep.unionByName(rerun)

@@ -10,7 +10,9 @@ partitioning; the composed form stays available and is tested equal.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.folds import EdgeDetector, SpikeFilter, StuckDetector, TimestampRepair
@@ -40,11 +42,19 @@ def clean_readings_composed(readings: DataFrame, *, ts_window: int = TS_WINDOW,
 
 
 class CleaningFold:
-    """W1 -> F1 -> W2 (-> W3) as one step over one device's readings.
+    """W1 -> F1 -> W2 (-> W3) (-> W4) as one step over one device's readings.
 
     Expects the input columns of a reading plus ``_outlier`` (F1's verdict,
-    computed JVM-side before the Python pass). Shared by the batch pass and
-    the streaming state processor.
+    computed JVM-side before the Python pass). Shared by the batch pass, the
+    chunked pass for hot devices and the streaming state processor.
+
+    State: (W1 stamps, W2 windows, W3 (value, start) pairs, W4 verdicts,
+    first-run flags). The last element is only used by the chunked pass
+    (``open_chunk``): there a W3 run that is open when a chunk starts may have
+    begun before the chunk's warm-up, so its start is not known inside the
+    chunk. Readings of such a first run report their verdict separately
+    (``_run0`` / ``_stuck0`` bit masks) and ``carry_fix`` decides them with
+    the start carried exactly over the chunk summaries.
     """
 
     def __init__(self, *, ts_window: int = TS_WINDOW, ts_ratio: float = TS_RATIO,
@@ -54,14 +64,15 @@ class CleaningFold:
         self.w2 = SpikeFilter(spike_window, spike_threshold)
         self.w3 = StuckDetector(stuck_ms) if stuck_ms is not None else None
         self.w4 = EdgeDetector(limits) if limits is not None else None
+        self.stuck_ms = stuck_ms
 
     def init_state(self):
         return (self.w1.init_state(), self.w2.init_state(),
                 self.w3.init_state() if self.w3 else None,
-                self.w4.init_state() if self.w4 else None)
+                self.w4.init_state() if self.w4 else None, None)
 
     def step(self, a, state):
-        s1, s2, s3, s4 = state
+        s1, s2, s3, s4, s5 = state
         rejected = a["rejected"].astype(bool)
         suspicious = a["suspicious"].astype(bool)
         ts, s1 = self.w1.run(a["ts"], ~rejected, s1)
@@ -69,14 +80,106 @@ class CleaningFold:
         values = {s: a[s] for s in SENSORS}
         spike, s2 = self.w2.run(values, ~rejected & ~suspicious, s2)
         suspicious = suspicious | spike
-        if self.w3 is not None:
+        out = {}
+        if self.w3 is not None and s5 is not None:
+            stuck_rows, s3, stuck_by, restart_by = self.w3.run(
+                ts, values, ~rejected & ~suspicious, s3, per_sensor=True)
+            eligible = ~rejected & ~suspicious
+            run0 = np.zeros(len(ts), dtype=np.int8)
+            stuck0 = np.zeros(len(ts), dtype=np.int8)
+            later = np.zeros(len(ts), dtype=bool)
+            s5 = list(s5)
+            for k, sensor in enumerate(SENSORS):
+                first = np.zeros(len(ts), dtype=bool)
+                if s5[k]:
+                    first = eligible & (np.cumsum(restart_by[sensor]) == 0)
+                    if restart_by[sensor].any():
+                        s5[k] = False
+                run0 |= first.astype(np.int8) << k
+                stuck0 |= (first & stuck_by[sensor]).astype(np.int8) << k
+                later |= stuck_by[sensor] & ~first
+            suspicious = suspicious | later
+            out.update(_run0=run0, _stuck0=stuck0)
+        elif self.w3 is not None:
             stuck_rows, s3 = self.w3.run(ts, values, ~rejected & ~suspicious, s3)
             suspicious = suspicious | stuck_rows
-        out = {"ts": ts, "rejected": rejected, "suspicious": suspicious}
+        out.update(ts=ts, rejected=rejected, suspicious=suspicious)
         if self.w4 is not None:
             edges, s4 = self.w4.run(values, ~rejected, s4)
             out.update({f"_edge_{s}": e for s, e in edges.items()})
-        return out, (s1, s2, s3, s4)
+        return out, (s1, s2, s3, s4, s5)
+
+    # -- hooks of the chunked pass (plans.chunked_fold) ----------------------
+    carry_fields = (T.StructField("_run0", T.ByteType()), T.StructField("_stuck0", T.ByteType()))
+    summary_fields = (T.StructField("_w3_open", T.IntegerType()),
+                      T.StructField("_w3_start", T.ArrayType(T.LongType())))
+
+    @property
+    def carries_starts(self) -> bool:
+        return self.w3 is not None
+
+    def open_chunk(self, state):
+        if self.w3 is None:
+            return state
+        return (*state[:4], [True] * len(SENSORS))
+
+    def verify_view(self, state):
+        """What must agree at a chunk border: everything but W3 run starts
+        (those are carried exactly instead) and the first-run flags."""
+        s1, s2, s3, s4, _ = state
+        values = None if s3 is None else [None if x is None else x[0] for x in s3]
+        return [s1, s2, values, s4]
+
+    def summary_extra(self, state) -> dict:
+        if self.w3 is None:
+            return {}
+        s3, s5 = state[2], state[4] or [False] * len(SENSORS)
+        return {"_w3_open": sum(1 << k for k, o in enumerate(s5) if o),
+                "_w3_start": [None if x is None else int(x[1]) for x in s3]}
+
+    def summary_starts(self):
+        return SENSORS
+
+    def rerun_state(self, state, starts):
+        """The exit state of a verified chunk, with the W3 starts carried over
+        the summaries, as the initial state of a sequential rerun."""
+        s1, s2, s3, s4, _ = state
+        if s3 is not None:
+            s3 = [None if x is None else (x[0], int(st) if st is not None else int(x[1]))
+                  for x, st in zip(s3, starts)]
+        return (s1, s2, s3, s4, None)
+
+    def carry_table(self, summary: DataFrame) -> DataFrame:
+        """(device, _chunk, _cin_<k>): the true W3 start entering each chunk.
+        A chunk's exit start is exact when a run restarted inside it (or it is
+        the device's first chunk); otherwise it continues the one entering it."""
+        w = Window.partitionBy("device").orderBy("_chunk")
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        first = F.row_number().over(w) == 1
+        cols = []
+        for k in range(len(SENSORS)):
+            closed = F.shiftright(F.col("_w3_open"), k).bitwiseAND(1) == 0
+            exact = F.when(first | closed, F.col("_w3_start")[k])
+            cols.append(F.last(exact, ignorenulls=True).over(upto).alias(f"_out_{k}"))
+        ends = summary.select("device", "_chunk", *cols)
+        return ends.select("device", "_chunk",
+                           *[F.lag(f"_out_{k}").over(w).alias(f"_cin_{k}")
+                             for k in range(len(SENSORS))])
+
+    def carry_fix(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
+        """Decide the first-run readings with the carried start (the local
+        verdict stands where nothing was carried: the device's first chunk)."""
+        joined = rows.join(carry, ["device", "_chunk"], "left")
+        fixes = []
+        for k, sensor in enumerate(SENSORS):
+            in_run = F.shiftright(F.col("_run0"), k).bitwiseAND(1) == 1
+            local = F.shiftright(F.col("_stuck0"), k).bitwiseAND(1) == 1
+            carried = (F.col("ts") - F.col(f"_cin_{k}")) >= F.lit(self.stuck_ms)
+            fixes.append(in_run & F.when(F.col(f"_cin_{k}").isNull(), local).otherwise(carried))
+        stuck = fixes[0]
+        for f in fixes[1:]:
+            stuck = stuck | f
+        return joined.withColumn("suspicious", F.col("suspicious") | stuck)
 
 
 def with_outlier_verdict(readings: DataFrame, bounds=PHYSICAL_BOUNDS) -> DataFrame:
@@ -103,10 +206,9 @@ def clean_readings(readings: DataFrame, *, ts_window: int = TS_WINDOW,
     hot = resolve(readings, skew)
     if hot.any:
         fold = CleaningFold(ts_window=ts_window, ts_ratio=ts_ratio, spike_window=spike_window,
-                            spike_threshold=spike_threshold, stuck_ms=None)
-        out = chunked_device_fold(with_outlier_verdict(readings, bounds), fold.init_state,
-                                  fold.step, hot, schema=readings.schema)
-        return flag_stuck_values(out, stuck_ms, skew=hot)
+                            spike_threshold=spike_threshold, stuck_ms=stuck_ms)
+        return chunked_device_fold(with_outlier_verdict(readings, bounds), fold, hot,
+                                   schema=readings.schema)
     fold = CleaningFold(ts_window=ts_window, ts_ratio=ts_ratio, spike_window=spike_window,
                         spike_threshold=spike_threshold,
                         stuck_ms=stuck_ms if stuck == "pass" else None)
@@ -136,9 +238,8 @@ def clean_and_detect(readings: DataFrame, limits=None, *, bounds=PHYSICAL_BOUNDS
     pre = with_outlier_verdict(readings, bounds)
     hot = resolve(readings, skew)
     if hot.any:
-        fold = CleaningFold(stuck_ms=None, limits=lim, **params)
-        out = chunked_device_fold(pre, fold.init_state, fold.step, hot, schema=schema)
-        return flag_stuck_values(out, stuck_ms, skew=hot)
+        fold = CleaningFold(stuck_ms=stuck_ms, limits=lim, **params)
+        return chunked_device_fold(pre, fold, hot, schema=schema)
     fold = CleaningFold(stuck_ms=stuck_ms, limits=lim, **params)
     return device_fold(pre, fold.init_state, fold.step, schema=schema)
 

@@ -28,7 +28,7 @@ STATE = T.StructType([
 
 
 def encode_state(state) -> tuple:
-    ts_win, spikes, stuck, _ = state
+    ts_win, spikes, stuck = state[0], state[1], state[2]
     return (
         [int(t) for t in ts_win],
         [[float(v) for v in w] for w in spikes],
@@ -40,7 +40,7 @@ def encode_state(state) -> tuple:
 def decode_state(row) -> tuple:
     ts_win, spikes, values, starts = row
     stuck = [None if st is None else (float(v), int(st)) for v, st in zip(values, starts)]
-    return (list(ts_win), [list(w) for w in spikes], stuck, None)
+    return (list(ts_win), [list(w) for w in spikes], stuck, None, None)
 
 
 # The state API hands pandas frames back, and pandas turns NaN into NULL on
