@@ -75,3 +75,14 @@ def test_fold_split_carries_long_stuck_runs(spark):
 def test_clean_readings_split_is_exact(spark, hot_readings):
     hot = find_hot(hot_readings, SkewPlan(min_rows=100, min_share=0.2, span=1024))
     assert same(clean_readings(hot_readings, skew=hot), clean_readings(hot_readings, skew=None))
+
+
+def test_standalone_folds_split_are_exact(spark, hot_readings):
+    from tidewatch.operators.spikes import flag_spikes
+    from tidewatch.operators.timestamps import repair_timestamps
+    from tidewatch.plans.pipeline import clean_readings_composed
+    hot = find_hot(hot_readings, SkewPlan(min_rows=100, min_share=0.2, span=700))
+    assert same(repair_timestamps(hot_readings, skew=hot), repair_timestamps(hot_readings, skew=None))
+    base = flag_outliers(hot_readings)
+    assert same(flag_spikes(base, skew=hot), flag_spikes(base, skew=None))
+    assert same(clean_readings_composed(hot_readings, skew=hot), clean_readings(hot_readings, skew=None))

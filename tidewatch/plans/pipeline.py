@@ -33,12 +33,14 @@ def clean_readings_composed(readings: DataFrame, *, ts_window: int = TS_WINDOW,
                             ts_ratio: float = TS_RATIO, bounds=PHYSICAL_BOUNDS,
                             spike_window: int = SPIKE_WINDOW,
                             spike_threshold: float = SPIKE_THRESHOLD,
-                            stuck_ms: int = STUCK_DURATION_MS) -> DataFrame:
-    """The public operators chained one after the other (reference order)."""
-    out = repair_timestamps(readings, ts_window, ts_ratio)
+                            stuck_ms: int = STUCK_DURATION_MS, skew=SkewPlan()) -> DataFrame:
+    """The public operators chained one after the other (reference order),
+    hot devices detected once on the input."""
+    hot = resolve(readings, skew)
+    out = repair_timestamps(readings, ts_window, ts_ratio, skew=hot)
     out = flag_outliers(out, bounds)
-    out = flag_spikes(out, spike_window, spike_threshold)
-    return flag_stuck_values(out, stuck_ms)
+    out = flag_spikes(out, spike_window, spike_threshold, skew=hot)
+    return flag_stuck_values(out, stuck_ms, skew=hot)
 
 
 class CleaningFold:

@@ -60,11 +60,13 @@ def _q_outliers(spark, sf):
 
 
 def _q_repair(spark, sf):
-    return repair_timestamps(readings(spark, sf))
+    r, hot = _source(spark, sf)
+    return repair_timestamps(r, skew=hot)
 
 
 def _q_spikes(spark, sf):
-    return flag_spikes(flag_outliers(readings(spark, sf)))
+    r, hot = _source(spark, sf)
+    return flag_spikes(flag_outliers(r), skew=hot)
 
 
 def _q_stuck(spark, sf):
