@@ -58,7 +58,7 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def _chunk_pass(batches, fold, arrow_schema, to_state):
+def _chunk_pass(batches, fold, arrow_schema, to_state, keep=None):
     """Fold over (device, _chunk, seq)-sorted batches; warm rows advance the
     state only. Emits the real rows (``_kind`` 0) and, per chunk, one summary
     row (``_kind`` 1) with the entry and exit states."""
@@ -107,8 +107,10 @@ def _chunk_pass(batches, fold, arrow_schema, to_state):
                         outs[c] = np.zeros(n, dtype=a.dtype)
                     outs[c][s:e] = a
         real = ~warm
+        merged = {**arrays, **outs}
+        if keep is not None:
+            real = real & keep(merged)
         if real.any():
-            merged = {**arrays, **outs}
             m = int(real.sum())
             cols = {c: merged[c][real] for c in names if c in merged}
             cols["_kind"] = np.zeros(m, dtype=np.int32)
@@ -125,7 +127,7 @@ def _chunk_pass(batches, fold, arrow_schema, to_state):
 
 def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType | None = None,
                         warm: int | None = None, to_state=_state_text,
-                        from_state=_state_from_text) -> DataFrame:
+                        from_state=_state_from_text, keep=None) -> DataFrame:
     """Exact result of ``device_fold(df, fold.init_state, fold.step)`` with
     hot devices split into chunks (see the module doc). The warm-up of each
     device is the seq length the hot set computed for it (about ``warm_rows``
@@ -163,7 +165,7 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
     arrow_schema = to_arrow_schema(pass_schema)
 
     def fn(batches):
-        yield from _chunk_pass(batches, fold, arrow_schema, to_state)
+        yield from _chunk_pass(batches, fold, arrow_schema, to_state, keep)
 
     out = (data.repartition(KEY, "_chunk").sortWithinPartitions(KEY, "_chunk", ORDER)
            .mapInArrow(fn, pass_schema)).checkpoint(eager=True)
@@ -197,7 +199,7 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
         starts[r[KEY]] = st
     redo_df = spark.createDataFrame([(r[KEY], int(r["_from"])) for r in redo],
                                     f"{KEY} string, _from long")
-    keep = (rows.join(F.broadcast(redo_df), KEY, "left")
+    kept = (rows.join(F.broadcast(redo_df), KEY, "left")
             .where(F.col("_from").isNull() | (F.col("_chunk") < F.col("_from"))).select(*cols))
     suffix = (df.join(F.broadcast(redo_df), KEY, "inner")
               .where(F.expr(f"{ORDER} div {span}") >= F.col("_from")).select(*df.columns))
@@ -205,5 +207,5 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
     def init_for(key):
         return starts[key] if key in starts else fold.init_state()
 
-    rerun = device_fold(suffix, init_for, fold.step, out_schema, keyed_init=True)
-    return keep.unionByName(rerun)
+    rerun = device_fold(suffix, init_for, fold.step, out_schema, keyed_init=True, keep=keep)
+    return kept.unionByName(rerun)

@@ -38,8 +38,8 @@ def arrow_batch(arrays: dict, schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _fold_batches(batches: Iterator[pa.RecordBatch], init_state: Callable, step: Callable,
-                  key: str, arrow_schema: pa.Schema, keyed_init: bool = False
-                  ) -> Iterator[pa.RecordBatch]:
+                  key: str, arrow_schema: pa.Schema, keyed_init: bool = False,
+                  keep: Callable | None = None) -> Iterator[pa.RecordBatch]:
     cur_key, state = None, None
     started = False
     for rb in batches:
@@ -62,20 +62,29 @@ def _fold_batches(batches: Iterator[pa.RecordBatch], init_state: Callable, step:
                 if c not in outs:
                     outs[c] = np.empty(n, dtype=a.dtype)
                 outs[c][s:e] = a
-        yield arrow_batch({**arrays, **outs}, arrow_schema)
+        merged = {**arrays, **outs}
+        if keep is not None:
+            mask = keep(merged)
+            if not mask.any():
+                continue
+            merged = {c: merged[c][mask] for c in arrow_schema.names}
+        yield arrow_batch(merged, arrow_schema)
 
 
 def device_fold(df: DataFrame, init_state: Callable, step: Callable, schema=None,
-                key: str = "device", order: str = "seq", keyed_init: bool = False) -> DataFrame:
+                key: str = "device", order: str = "seq", keyed_init: bool = False,
+                keep: Callable | None = None) -> DataFrame:
     """Run ``step(arrays_of_one_key_run, state) -> (changed_columns, state)``
     over ``df`` in (key, order) order. ``changed_columns`` maps column names
     of ``schema`` (default: ``df.schema``) to numpy arrays of the run's length.
-    With ``keyed_init`` the initial state is ``init_state(key)``.
+    With ``keyed_init`` the initial state is ``init_state(key)``. ``keep``
+    (columns -> row mask) drops rows inside the pass, before they are sent
+    back to the JVM.
     """
     out_schema = schema if schema is not None else df.schema
     arrow_schema = to_arrow_schema(out_schema)
 
     def fn(batches):
-        yield from _fold_batches(batches, init_state, step, key, arrow_schema, keyed_init)
+        yield from _fold_batches(batches, init_state, step, key, arrow_schema, keyed_init, keep)
 
     return device_ordered(df, key, order).mapInArrow(fn, out_schema)

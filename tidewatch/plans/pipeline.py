@@ -224,32 +224,42 @@ def clean_readings(readings: DataFrame, *, ts_window: int = TS_WINDOW,
 EDGE_COLUMNS = tuple(f"_edge_{s}" for s in SENSORS)
 
 
+def _has_edge(cols) -> np.ndarray:
+    mask = cols[EDGE_COLUMNS[0]] != 0
+    for c in EDGE_COLUMNS[1:]:
+        mask = mask | (cols[c] != 0)
+    return mask
+
+
 def clean_and_detect(readings: DataFrame, limits=None, *, bounds=PHYSICAL_BOUNDS,
                      stuck_ms: int = STUCK_DURATION_MS, skew=SkewPlan(),
-                     **params) -> DataFrame:
+                     edges_only: bool = False, **params) -> DataFrame:
     """Cleaned readings plus ``_edge_<sensor>`` (0 none, 1 start, 2 end):
     W1-W4 in ONE exchange and one Python pass. W4's limits are constants for a
     batch, so its edge state (five booleans per device) rides along in the
     same fold instead of needing a second shuffle for a window.
 
-    With hot devices the fold is split (``plans.chunked_fold``) and W3 runs as
-    chunked windows afterwards; the edges do not depend on W3."""
+    With hot devices the fold is split (``plans.chunked_fold``); the W3 run
+    starts are carried over the chunk summaries.
+
+    ``edges_only`` keeps only readings with an edge, inside the Python pass,
+    so the other readings never travel back to the JVM."""
     lim = resolve_limits(limits)
     edge_fields = [T.StructField(c, T.ByteType(), False) for c in EDGE_COLUMNS]
     schema = T.StructType(list(readings.schema.fields) + edge_fields)
     pre = with_outlier_verdict(readings, bounds)
     hot = resolve(readings, skew)
-    if hot.any:
-        fold = CleaningFold(stuck_ms=stuck_ms, limits=lim, **params)
-        return chunked_device_fold(pre, fold, hot, schema=schema)
+    keep = _has_edge if edges_only else None
     fold = CleaningFold(stuck_ms=stuck_ms, limits=lim, **params)
-    return device_fold(pre, fold.init_state, fold.step, schema=schema)
+    if hot.any:
+        return chunked_device_fold(pre, fold, hot, schema=schema, keep=keep)
+    return device_fold(pre, fold.init_state, fold.step, schema=schema, keep=keep)
 
 
 def pipeline_alerts(readings: DataFrame, limits=None, **kwargs) -> DataFrame:
     """Alerts of the whole chain (equal to
     ``detect_anomalies(clean_readings(readings), limits)``) with one exchange."""
-    return alerts_from_edges(clean_and_detect(readings, limits, **kwargs))
+    return alerts_from_edges(clean_and_detect(readings, limits, edges_only=True, **kwargs))
 
 
 def run_batch(readings: DataFrame, limits=None, **params) -> tuple[DataFrame, DataFrame]:
