@@ -196,3 +196,16 @@ def test_fused_alerts_equal_composed(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     plan = pipeline_alerts(r)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_write_batch_outputs(spark, scratch):
+    from tidewatch.plans.pipeline import write_batch
+    r = readings(spark, SF_SMALL)
+    write_batch(r, scratch, recipients=["ops@example.com"])
+    sd = spark.read.parquet(f"{scratch}/sensor_data")
+    ea = spark.read.parquet(f"{scratch}/event_alerts")
+    nt = spark.read.parquet(f"{scratch}/notifications")
+    assert sd.count() == 1000 and ea.count() == 233 and nt.count() == 233
+    assert sd.where("suspicious").count() == 311
+    assert set(sd.columns) == {"seq", "time", "device", "temperature", "humidity", "co", "light",
+                               "lpg", "motion", "smoke", "rejected", "suspicious"}

@@ -263,8 +263,32 @@ def pipeline_alerts(readings: DataFrame, limits=None, **kwargs) -> DataFrame:
 
 
 def run_batch(readings: DataFrame, limits=None, **params) -> tuple[DataFrame, DataFrame]:
-    """Cleaned readings and their alerts. The caller persists or writes the
-    cleaned frame once when both outputs are consumed (see sinks)."""
-    cleaned = clean_readings(readings, **params)
-    return cleaned, detect_anomalies(cleaned, limits)
-
+    """Cleaned readings and their alerts from ONE fused pass. The pass output
+    is shared by both frames; persist it (``write_batch`` does) when both are
+    consumed so the pass runs once."""
+    both = clean_and_detect(readings, limits, **params)
+    cleaned = both.select(*readings.columns)
+    return cleaned, alerts_from_edges(both)
+
+
+def write_batch(readings: DataFrame, out_dir: str, limits=None, recipients=None,
+                zone: str = "UTC", fmt: str = "parquet", **params) -> None:
+    """The batch job: sensor_data (K1), event_alerts (K2) and notifications
+    (K3) from one pass. The pass output is persisted (memory, spilling to
+    disk) while the three tables are written; a lost executor's partitions
+    are recomputed from lineage."""
+    from pyspark import StorageLevel
+
+    from ..operators.notify import build_notifications
+    from ..sinks.tables import write_event_alerts, write_notifications, write_sensor_data
+
+    both = clean_and_detect(readings, limits, **params).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = out_dir.rstrip("/")
+        write_sensor_data(both.select(*readings.columns), f"{out}/sensor_data", fmt=fmt)
+        alerts = alerts_from_edges(both)
+        write_event_alerts(alerts, f"{out}/event_alerts", fmt=fmt)
+        write_notifications(build_notifications(alerts, recipients, zone),
+                            f"{out}/notifications", fmt=fmt)
+    finally:
+        both.unpersist()
