@@ -96,10 +96,11 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
                    limits_loader=None, recipients_loader=None,
                    checkpoint_dir: str | None = None, trigger_seconds: float | None = 10.0,
                    available_now: bool = False, parse: bool = True,
-                   **params) -> list[StreamingQuery]:
+                   debug_console: bool = False, **params) -> list[StreamingQuery]:
     """Start the cleaning/alerting query (and, for raw messages, the dead-
-    letter query). ``messages`` is a streaming (seq, value) frame, or a
-    stream of typed readings when ``parse=False``."""
+    letter query; with ``debug_console`` also a console print of every
+    cleaned reading, K4). ``messages`` is a streaming (seq, value) frame, or
+    a stream of typed readings when ``parse=False``."""
     ckpt = (checkpoint_dir or checkpoint_path(spark, "stream")).rstrip("/")
     out = out_dir.rstrip("/")
 
@@ -122,4 +123,8 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
                                 state_dir=f"{ckpt}/edge-state")
     queries.append(trig(cleaned.writeStream.foreachBatch(handler)
                         .option("checkpointLocation", f"{ckpt}/clean")).start())
+    if debug_console:
+        queries.append(trig(clean_stream(readings, **params).writeStream.format("console")
+                            .option("truncate", "false").outputMode("append")
+                            .option("checkpointLocation", f"{ckpt}/console")).start())
     return queries
