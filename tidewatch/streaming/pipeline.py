@@ -65,8 +65,10 @@ class EdgeStateTable:
 def make_batch_writer(spark: SparkSession, out_dir: str,
                       limits_loader: Callable[[SparkSession], object] | None = None,
                       recipients_loader: Callable[[SparkSession], object] | None = None,
-                      state_dir: str | None = None, zone: str = "UTC"):
-    """The ``foreachBatch`` function for cleaned readings."""
+                      state_dir: str | None = None, zone: str = "UTC",
+                      debug_rows: int = 0):
+    """The ``foreachBatch`` function for cleaned readings (``debug_rows`` > 0
+    also prints that many cleaned readings per batch: the debug print, K4)."""
     out = out_dir.rstrip("/")
     edges = EdgeStateTable(spark, state_dir or checkpoint_path(spark, "edge-state"))
 
@@ -74,6 +76,8 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
         batch.persist()
         try:
             write_sensor_data(batch, f"{out}/sensor_data", batch_id)
+            if debug_rows:
+                batch.show(debug_rows, truncate=False)
             limits = resolve_limits(limits_loader(spark) if limits_loader else None)
             alerts, new_state = detect_anomalies_incremental(
                 batch, edges.read_before(batch_id), limits)
@@ -96,11 +100,11 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
                    limits_loader=None, recipients_loader=None,
                    checkpoint_dir: str | None = None, trigger_seconds: float | None = 10.0,
                    available_now: bool = False, parse: bool = True,
-                   debug_console: bool = False, **params) -> list[StreamingQuery]:
+                   debug_rows: int = 0, **params) -> list[StreamingQuery]:
     """Start the cleaning/alerting query (and, for raw messages, the dead-
-    letter query; with ``debug_console`` also a console print of every
-    cleaned reading, K4). ``messages`` is a streaming (seq, value) frame, or
-    a stream of typed readings when ``parse=False``."""
+    letter query; ``debug_rows`` prints cleaned readings per batch, K4).
+    ``messages`` is a streaming (seq, value) frame, or a stream of typed
+    readings when ``parse=False``."""
     ckpt = (checkpoint_dir or checkpoint_path(spark, "stream")).rstrip("/")
     out = out_dir.rstrip("/")
 
@@ -120,11 +124,7 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
                             .option("checkpointLocation", f"{ckpt}/quarantine")).start())
     cleaned = clean_stream(readings, **params)
     handler = make_batch_writer(spark, out, limits_loader, recipients_loader,
-                                state_dir=f"{ckpt}/edge-state")
+                                state_dir=f"{ckpt}/edge-state", debug_rows=debug_rows)
     queries.append(trig(cleaned.writeStream.foreachBatch(handler)
                         .option("checkpointLocation", f"{ckpt}/clean")).start())
-    if debug_console:
-        queries.append(trig(clean_stream(readings, **params).writeStream.format("console")
-                            .option("truncate", "false").outputMode("append")
-                            .option("checkpointLocation", f"{ckpt}/console")).start())
     return queries
