@@ -4,6 +4,8 @@ micro-batches, replay of a batch."""
 import os
 import shutil
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -131,3 +133,41 @@ def test_stream_keeps_nan_readings(spark, scratch):
     got = {r.seq: r.co for r in sd.collect()}
     assert len(got) == len(rows)
     assert all((g != g) == (r[3] != r[3]) for r in rows for g in [got[r[0]]])
+
+
+def test_crash_mid_batch_then_restart(spark, scratch, monkeypatch):
+    """Batch 1 dies after writing sensor_data and event_alerts but before its
+    notifications, edge state and commit; the restarted query replays it."""
+    import tidewatch.streaming.pipeline as sp
+    r = readings(spark, SF_SMALL)
+    src, out, ck = f"{scratch}/in", f"{scratch}/out", f"{scratch}/ck"
+    _feed(spark, r, src, [0, 1, 2, 3])
+    real = sp.write_notifications
+    crashed = []
+
+    def flaky(df, path, batch_id=None, **kw):
+        if batch_id == 1 and not crashed:
+            crashed.append(1)
+            raise RuntimeError("executor lost")
+        return real(df, path, batch_id, **kw)
+
+    monkeypatch.setattr(sp, "write_notifications", flaky)
+    with pytest.raises(Exception):
+        for q in start_pipeline(spark, file_readings(spark, src, max_files_per_trigger=1), out,
+                                checkpoint_dir=ck, available_now=True, parse=False):
+            q.awaitTermination()
+    assert crashed
+    for q in start_pipeline(spark, file_readings(spark, src, max_files_per_trigger=1), out,
+                            checkpoint_dir=ck, available_now=True, parse=False):
+        q.awaitTermination()
+    c = clean_readings(r)
+    sd = spark.read.parquet(f"{out}/sensor_data")
+    assert sd.count() == r.count()
+    a = sd.select("seq", "rejected", "suspicious")
+    assert a.exceptAll(c.select("seq", "rejected", "suspicious")).count() == 0
+    ea = spark.read.parquet(f"{out}/event_alerts").select("seq", "sensor_type", "event_type")
+    ba = detect_anomalies(c).select("seq", F.col("sensorType").alias("sensor_type"),
+                                    F.col("eventType").alias("event_type"))
+    assert ea.count() == ba.count()
+    assert ea.exceptAll(ba).count() == 0 and ba.exceptAll(ea).count() == 0
+    assert spark.read.parquet(f"{out}/notifications").count() == ba.count()
