@@ -86,3 +86,17 @@ def test_standalone_folds_split_are_exact(spark, hot_readings):
     base = flag_outliers(hot_readings)
     assert same(flag_spikes(base, skew=hot), flag_spikes(base, skew=None))
     assert same(clean_readings_composed(hot_readings, skew=hot), clean_readings(hot_readings, skew=None))
+
+
+def test_many_hot_devices_use_shuffle_joins(spark, hot_readings, monkeypatch):
+    """Above the broadcast bound the hot set stays distributed (shuffle
+    joins); results are unchanged."""
+    from tidewatch.plans import skew
+    monkeypatch.setattr(skew, "MAX_BROADCAST_KEYS", 1)
+    monkeypatch.setattr(chunked_fold, "MAX_BROADCAST_KEYS", 1)
+    hot = find_hot(hot_readings, SkewPlan(min_rows=100, span=1500))
+    assert hot.count > 1
+    plan = clean_readings(hot_readings, skew=hot)
+    assert same(plan, clean_readings(hot_readings, skew=None))
+    base = flag_outliers(hot_readings)
+    assert same(flag_stuck_values(base, skew=hot), flag_stuck_values(base, skew=None))

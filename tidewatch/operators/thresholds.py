@@ -112,9 +112,6 @@ def detect_anomalies(readings: DataFrame, limits=None, skew=SkewPlan()) -> DataF
         joined, lambda s: F.coalesce(F.col(f"prev_{s}"), F.col(f"carry_{s}"), F.lit(False)))
 
 
-EDGE_STATE_COLUMNS = ("device", *[f"exc_{s}" for s in SENSORS])
-
-
 def empty_edge_state(spark) -> DataFrame:
     return spark.createDataFrame(
         [], "device string, " + ", ".join(f"exc_{s} boolean" for s in SENSORS))

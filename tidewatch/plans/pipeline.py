@@ -19,7 +19,7 @@ from ..functions.folds import EdgeDetector, SpikeFilter, StuckDetector, Timestam
 from ..operators.outliers import flag_outliers, outlier_condition
 from ..operators.spikes import flag_spikes
 from ..operators.stuck import flag_stuck_values
-from ..operators.thresholds import alerts_from_edges, detect_anomalies
+from ..operators.thresholds import alerts_from_edges
 from ..operators.timestamps import repair_timestamps
 from ..schema import (PHYSICAL_BOUNDS, SENSORS, SPIKE_THRESHOLD, SPIKE_WINDOW,
                       STUCK_DURATION_MS, TS_RATIO, TS_WINDOW)
