@@ -62,13 +62,27 @@ def _fold_batches(batches: Iterator[pa.RecordBatch], init_state: Callable, step:
                 if c not in outs:
                     outs[c] = np.empty(n, dtype=a.dtype)
                 outs[c][s:e] = a
-        merged = {**arrays, **outs}
-        if keep is not None:
-            mask = keep(merged)
-            if not mask.any():
-                continue
-            merged = {c: merged[c][mask] for c in arrow_schema.names}
-        yield arrow_batch(merged, arrow_schema)
+        yield from _emit(rb, arrays, outs, arrow_schema, keep)
+
+
+def _emit(rb: pa.RecordBatch, arrays: dict, outs: dict, schema: pa.Schema,
+          keep: Callable | None) -> Iterator[pa.RecordBatch]:
+    """Changed columns are rebuilt from numpy; the others are the input's
+    Arrow arrays, passed through without a copy."""
+    mask = None
+    if keep is not None:
+        mask = keep({**arrays, **outs})
+        if not mask.any():
+            return
+    cols = []
+    for f in schema:
+        if f.name in outs:
+            values = outs[f.name] if mask is None else outs[f.name][mask]
+            cols.append(pa.array(values, type=f.type))
+        else:
+            col = rb.column(rb.schema.get_field_index(f.name))
+            cols.append(col if mask is None else col.filter(pa.array(mask)))
+    yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
 
 def device_fold(df: DataFrame, init_state: Callable, step: Callable, schema=None,
