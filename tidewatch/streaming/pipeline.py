@@ -107,6 +107,11 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
     readings when ``parse=False``."""
     ckpt = (checkpoint_dir or checkpoint_path(spark, "stream")).rstrip("/")
     out = out_dir.rstrip("/")
+    # keyed state for many devices lives off-heap in RocksDB unless the
+    # deployment chose a provider already
+    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
     def trig(writer):
         if available_now:
