@@ -3,43 +3,65 @@
 Comparisons follow Java double semantics: any comparison with NaN is false.
 Spark orders NaN above every number and treats NaN = NaN as true, so every
 comparison on a sensor value is guarded with ``isnan``.
+
+Expressions are written as SQL text and turned into a Column with ONE call
+(``F.expr``): composing them from many small Column operations costs a
+driver round-trip per operation, which dominates planning time for the wide
+five-sensor expressions used here.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _c(x) -> Column:
-    return x if isinstance(x, Column) else F.col(x)
-
+def dlit(x: float) -> str:
+    """A double literal as SQL text (NaN and infinities included)."""
+    x = float(x)
+    if math.isnan(x):
+        return "CAST('NaN' AS DOUBLE)"
+    if math.isinf(x):
+        return "CAST('Infinity' AS DOUBLE)" if x > 0 else "CAST('-Infinity' AS DOUBLE)"
+    return f"CAST({x!r} AS DOUBLE)"
 
-def _lit(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(float(x))
 
+def less_sql(a: str, b: float) -> str:
+    """``a < b`` with Java semantics (false when either is NaN)."""
+    if math.isnan(float(b)):
+        return "false"
+    return f"(NOT isnan({a}) AND {a} < {dlit(b)})"
 
-def java_less(a, b) -> Column:
-    """``a < b`` on doubles with Java semantics (false when either is NaN)."""
-    a, b = _c(a), _lit(b)
-    return ~F.isnan(a) & ~F.isnan(b) & (a < b)
 
+def greater_sql(a: str, b: float) -> str:
+    """``a > b`` with Java semantics (false when either is NaN)."""
+    if math.isnan(float(b)):
+        return "false"
+    return f"(NOT isnan({a}) AND {a} > {dlit(b)})"
 
-def java_greater(a, b) -> Column:
-    """``a > b`` on doubles with Java semantics (false when either is NaN)."""
-    a, b = _c(a), _lit(b)
-    return ~F.isnan(a) & ~F.isnan(b) & (a > b)
 
-
-def java_outside(value, low, high) -> Column:
+def outside_sql(value: str, low: float, high: float) -> str:
     """``value < low || value > high`` with Java NaN semantics."""
-    return java_less(value, low) | java_greater(value, high)
+    return f"({less_sql(value, low)} OR {greater_sql(value, high)})"
 
 
-def java_equal(a, b) -> Column:
+def equal_sql(a: str, b: str) -> str:
     """``a == b`` on doubles with Java semantics (NaN is equal to nothing)."""
-    a, b = _c(a), _c(b)
-    return ~F.isnan(a) & ~F.isnan(b) & (a == b)
+    return f"(NOT isnan({a}) AND NOT isnan({b}) AND {a} = {b})"
+
+
+def any_sql(parts) -> str:
+    return "(" + " OR ".join(parts) + ")"
+
+
+def java_outside(value: str, low: float, high: float) -> Column:
+    return F.expr(outside_sql(value, low, high))
+
+
+def java_equal(a: str, b: str) -> Column:
+    return F.expr(equal_sql(a, b))
 
 
 def any_of(cols) -> Column:
@@ -50,7 +72,12 @@ def any_of(cols) -> Column:
     return out
 
 
+MS_TO_TIMESTAMP_SQL = "timestampadd(MILLISECOND, {ms}, TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+
+
 def ms_to_timestamp(ms) -> Column:
     """Epoch milliseconds -> TIMESTAMP_NTZ holding the UTC wall clock of the
     instant. Independent of the session time zone (no zone conversion)."""
-    return F.timestamp_add("MILLISECOND", _c(ms), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    if isinstance(ms, str):
+        return F.expr(MS_TO_TIMESTAMP_SQL.format(ms=ms))
+    return F.timestamp_add("MILLISECOND", ms, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))

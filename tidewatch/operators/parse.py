@@ -11,8 +11,7 @@ text that is not a JSON object, sends the message to quarantine with a reason.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..schema import READING_COLUMNS, SENSORS
 
@@ -21,37 +20,30 @@ _FIELD_ORDER = ("ts", "device", "co", "humidity", "light", "lpg", "motion", "smo
 _NUMERIC = {"ts": "decimal(38,9)", **{s: "double" for s in SENSORS}}
 
 
-def _text(v: Column, key: str) -> Column:
-    return F.try_variant_get(v, f"$.{key}", "string")
-
-
-def _staged_fields(v: Column) -> list[Column]:
+def _staged_sql() -> list[str]:
     """Per field the typed value and its text form; ``device`` also its
     variant type name (it must be a JSON string, not a number)."""
     out = []
     for name in _FIELD_ORDER:
         if name in _NUMERIC:
-            out.append(F.try_variant_get(v, f"$.{name}", _NUMERIC[name]).alias(f"_x_{name}"))
-        out.append(_text(v, name).alias(f"_t_{name}"))
-    out.append(F.schema_of_variant(F.try_variant_get(v, "$.device", "variant")).alias("_k_device"))
+            out.append(f"try_variant_get(_v, '$.{name}', '{_NUMERIC[name]}') AS _x_{name}")
+        out.append(f"try_variant_get(_v, '$.{name}', 'string') AS _t_{name}")
+    out.append("schema_of_variant(try_variant_get(_v, '$.device', 'variant')) AS _k_device")
     return out
 
 
-def _valid_value(name: str) -> tuple[Column, Column]:
-    """(value, valid) from the staged columns."""
-    text = F.col(f"_t_{name}")
+def _valid_sql(name: str) -> tuple[str, str]:
+    """(value, valid) as SQL over the staged columns."""
     if name == "device":
-        return text, F.col("_k_device") == F.lit("STRING")
+        return "_t_device", "coalesce(_k_device = 'STRING', false)"
     if name in ("light", "motion"):
         # a JSON boolean reads as true/false; a string must read true/false
-        low = F.lower(text)
-        return low == F.lit("true"), low.isin("true", "false")
-    val = F.col(f"_x_{name}")
-    if name == "ts":
-        val = val.cast("bigint")
+        return (f"lower(_t_{name}) = 'true'",
+                f"coalesce(lower(_t_{name}) IN ('true', 'false'), false)")
+    val = "CAST(_x_ts AS BIGINT)" if name == "ts" else f"_x_{name}"
     # numbers and numeric strings; a JSON boolean also casts to a number but
     # reads as true/false
-    return val, val.isNotNull() & ~text.isin("true", "false")
+    return val, f"({val} IS NOT NULL AND NOT coalesce(_t_{name} IN ('true', 'false'), false))"
 
 
 def _parsed(raw: DataFrame) -> DataFrame:
@@ -59,32 +51,30 @@ def _parsed(raw: DataFrame) -> DataFrame:
     through a one-element ``inline`` so that a later filter on ``reason``
     cannot be pushed below it and re-inline the parse into the predicate
     (which would repeat the parse per reference and outgrow codegen)."""
-    staged = raw.select("seq", "value", F.try_parse_json(F.col("value")).alias("_v"))
-    staged = staged.select("seq", "value", "_v", *_staged_fields(F.col("_v")))
-    checked = {n: _valid_value(n) for n in _FIELD_ORDER}
-    all_ok = checked[_FIELD_ORDER[0]][1]
-    for name in _FIELD_ORDER[1:]:
-        all_ok = all_ok & checked[name][1]
-    not_object = F.col("_v").isNull() | ~F.schema_of_variant(F.col("_v")).startswith("OBJECT")
+    staged = (raw.selectExpr("seq", "value", "try_parse_json(value) AS _v")
+              .selectExpr("seq", "value", "_v", *_staged_sql()))
+    checked = {n: _valid_sql(n) for n in _FIELD_ORDER}
+    all_ok = " AND ".join(checked[n][1] for n in _FIELD_ORDER)
     # the whole-object check only runs for messages that already failed
-    reason = F.when(all_ok, F.lit(None).cast("string")).when(not_object, F.lit(_MALFORMED))
-    for name in _FIELD_ORDER:
-        reason = reason.when(~checked[name][1], F.lit(f"invalid field: {name}"))
-    decided = F.struct(*[checked[n][0].alias(n) for n in _FIELD_ORDER], reason.alias("reason"))
-    return staged.select("seq", "value", F.inline(F.array(decided)))
+    reason = (f"CASE WHEN {all_ok} THEN CAST(NULL AS STRING) "
+              f"WHEN _v IS NULL OR NOT startswith(schema_of_variant(_v), 'OBJECT') "
+              f"THEN '{_MALFORMED}' "
+              + " ".join(f"WHEN NOT {checked[n][1]} THEN 'invalid field: {n}'" for n in _FIELD_ORDER)
+              + " END")
+    fields = ", ".join(f"'{n}', {checked[n][0]}" for n in _FIELD_ORDER)
+    return staged.selectExpr(
+        "seq", "value", f"inline(array(named_struct({fields}, 'reason', {reason})))")
 
 
 def parse_readings(raw: DataFrame) -> DataFrame:
     """Good messages as readings (both flags false)."""
-    parsed = _parsed(raw).where(F.col("reason").isNull())
-    return parsed.select(
-        *[F.lit(False).alias(c) if c in ("rejected", "suspicious") else F.col(c)
-          for c in READING_COLUMNS])
+    return _parsed(raw).where("reason IS NULL").selectExpr(
+        *[f"false AS {c}" if c in ("rejected", "suspicious") else c for c in READING_COLUMNS])
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
     """Malformed messages with the raw text and the first reason."""
-    return _parsed(raw).where(F.col("reason").isNotNull()).select("seq", "value", "reason")
+    return _parsed(raw).where("reason IS NOT NULL").select("seq", "value", "reason")
 
 
 def parse_with_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -96,15 +86,6 @@ def parse_with_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ---------------------------------------------------------------------------
 # Rendering readings as messages (the test feed of the parse queries)
 # ---------------------------------------------------------------------------
-
-def _q(c: Column) -> Column:
-    return F.concat(F.lit('"'), c, F.lit('"'))
-
-
-def _num(c: str) -> Column:
-    return F.col(c).cast("string")
-
-
 def readings_as_messages(readings: DataFrame, damage_every: int = 50) -> DataFrame:
     """(seq, value) JSON messages for ``readings``. Every ``damage_every``-th
     message is altered in one of ten ways, picked by (seq div damage_every) % 10:
@@ -112,32 +93,36 @@ def readings_as_messages(readings: DataFrame, damage_every: int = 50) -> DataFra
     4 ts as a numeric string, 5 co as a numeric string, 6 an extra key,
     7 light as "TRUE", 8 smoke null, 9 temp duplicated. Kinds 4-7 are
     accepted by the parser, the others quarantined."""
-    seq = F.col("seq")
-    hit = (seq % damage_every) == 0
-    kind = F.when(hit, F.expr(f"(seq div {damage_every}) % 10")).otherwise(F.lit(-1))
+    every = int(damage_every)
+    kind = f"CASE WHEN seq % {every} = 0 THEN (seq div {every}) % 10 ELSE -1 END"
+
+    def num(c):
+        return f"CAST({c} AS STRING)"
 
-    def field(name: str, rendered: Column) -> Column:
-        return F.concat(F.lit(f'"{name}":'), rendered)
+    def quoted(x):
+        return f"concat('\"', {x}, '\"')"
 
-    def bool_text(c: str) -> Column:
-        return F.when(F.col(c), F.lit("true")).otherwise(F.lit("false"))
+    def boolean(c):
+        return f"CASE WHEN {c} THEN 'true' ELSE 'false' END"
 
     parts = [
-        field("ts", F.when(kind == 4, _q(_num("ts"))).otherwise(_num("ts"))),
-        field("device", F.when(kind == 1, (seq % 7).cast("string")).otherwise(_q(F.col("device")))),
-        F.when(kind == 0, F.lit(None)).otherwise(
-            field("co", F.when(kind == 5, _q(_num("co"))).otherwise(_num("co")))),
-        field("humidity", _num("humidity")),
-        field("light", F.when(kind == 3, F.lit("1"))
-              .when(kind == 7, F.lit('"TRUE"')).otherwise(bool_text("light"))),
-        field("lpg", _num("lpg")),
-        field("motion", bool_text("motion")),
-        field("smoke", F.when(kind == 8, F.lit("null")).otherwise(_num("smoke"))),
-        field("temp", _num("temp")),
-        F.when(kind == 9, field("temp", _num("temp"))),
-        F.when(kind == 6, F.lit('"fw":"1.2"')),
+        f"concat('\"ts\":', CASE WHEN _k = 4 THEN {quoted(num('ts'))} ELSE {num('ts')} END)",
+        f"concat('\"device\":', CASE WHEN _k = 1 THEN CAST(seq % 7 AS STRING)"
+        f" ELSE {quoted('device')} END)",
+        f"CASE WHEN _k = 0 THEN NULL ELSE concat('\"co\":', CASE WHEN _k = 5"
+        f" THEN {quoted(num('co'))} ELSE {num('co')} END) END",
+        f"concat('\"humidity\":', {num('humidity')})",
+        f"concat('\"light\":', CASE WHEN _k = 3 THEN '1' WHEN _k = 7 THEN '\"TRUE\"'"
+        f" ELSE {boolean('light')} END)",
+        f"concat('\"lpg\":', {num('lpg')})",
+        f"concat('\"motion\":', {boolean('motion')})",
+        f"concat('\"smoke\":', CASE WHEN _k = 8 THEN 'null' ELSE {num('smoke')} END)",
+        f"concat('\"temp\":', {num('temp')})",
+        f"CASE WHEN _k = 9 THEN concat('\"temp\":', {num('temp')}) END",
+        "CASE WHEN _k = 6 THEN '\"fw\":\"1.2\"' END",
     ]
-    body = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-    return (readings.select("seq", body.alias("_t"), kind.alias("_k"))
-            .select("seq", F.when(F.col("_k") == 2, F.expr("substr(_t, 1, length(_t) - 1)"))
-                    .otherwise(F.col("_t")).alias("value")))
+    body = f"concat('{{', concat_ws(',', {', '.join(parts)}), '}}')"
+    return (readings.selectExpr("*", f"{kind} AS _k")
+            .selectExpr("seq", f"{body} AS _t", "_k")
+            .selectExpr("seq", "CASE WHEN _k = 2 THEN substr(_t, 1, length(_t) - 1)"
+                               " ELSE _t END AS value"))

@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.expr import ms_to_timestamp
+from ..functions.expr import MS_TO_TIMESTAMP_SQL
 
 
 def to_sensor_data(readings: DataFrame) -> DataFrame:
     """sensor_data(seq, time, device, temperature, humidity, co, light, lpg,
     motion, smoke, rejected, suspicious): ms -> timestamp, temp renamed,
     light/motion as 0/1. ``seq`` is kept as the idempotency key."""
-    return readings.select(
+    return readings.selectExpr(
         "seq",
-        ms_to_timestamp(F.col("ts")).alias("time"),
+        f"{MS_TO_TIMESTAMP_SQL.format(ms='ts')} AS time",
         "device",
-        F.col("temp").alias("temperature"),
+        "temp AS temperature",
         "humidity", "co",
-        F.col("light").cast("int").alias("light"),
+        "CAST(light AS INT) AS light",
         "lpg",
-        F.col("motion").cast("int").alias("motion"),
+        "CAST(motion AS INT) AS motion",
         "smoke", "rejected", "suspicious",
     )
 
@@ -28,11 +27,11 @@ def to_sensor_data(readings: DataFrame) -> DataFrame:
 def to_event_alerts(alerts: DataFrame) -> DataFrame:
     """event_alerts(seq, time, device, event_type, sensor_type, value,
     suspicious)."""
-    return alerts.select(
+    return alerts.selectExpr(
         "seq",
-        ms_to_timestamp(F.col("timestamp")).alias("time"),
-        F.col("deviceId").alias("device"),
-        F.col("eventType").alias("event_type"),
-        F.col("sensorType").alias("sensor_type"),
+        f"{MS_TO_TIMESTAMP_SQL.format(ms='timestamp')} AS time",
+        "deviceId AS device",
+        "eventType AS event_type",
+        "sensorType AS sensor_type",
         "value", "suspicious",
     )

@@ -14,10 +14,10 @@ last restart at or before the row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import any_of, java_equal
+from ..functions.expr import any_sql, equal_sql
 from ..plans.skew import SkewPlan, assign_chunks, resolve
 from ..schema import SENSORS, STUCK_DURATION_MS
 
@@ -35,27 +35,34 @@ def flag_stuck_values(readings: DataFrame, duration_ms: int = STUCK_DURATION_MS,
     if hot.any:
         return _flag_stuck_chunked(readings, duration_ms, hot)
     cols = readings.columns
-    elig = ~F.col("rejected") & ~F.col("suspicious")
-    order = Window.partitionBy("device").orderBy("seq")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = _local_runs(readings, "device", duration_ms, with_counts=False)
+    stuck = any_sql(f"(NOT isnan({s}) AND ts - _start_{s} >= {int(duration_ms)})" for s in SENSORS)
+    return local.selectExpr(*[f"suspicious OR (_elig AND {stuck}) AS suspicious"
+                              if c == "suspicious" else c for c in cols])
 
-    step1 = readings.select(
-        "*",
-        elig.alias("_elig"),
-        *[F.last(F.when(elig, F.col(s)), ignorenulls=True).over(before).alias(f"_prev_{s}")
-          for s in SENSORS])
-    restart = {s: F.col("_elig") & ~(F.col(f"_prev_{s}").isNotNull()
-                                      & java_equal(s, f"_prev_{s}"))
+
+_ELIG = "NOT rejected AND NOT suspicious"
+
+
+def _local_runs(df: DataFrame, partition: str, duration_ms: int, with_counts: bool) -> DataFrame:
+    """Per ``partition``, in seq order: the previous eligible value, whether
+    a run restarts here, the ts of the last restart (``_start_<s>``) and,
+    optionally, how many restarts so far (``_nrun_<s>``). Two Window operators
+    over one exchange and one sort."""
+    before = (f"OVER (PARTITION BY {partition} ORDER BY seq "
+              "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    upto = (f"OVER (PARTITION BY {partition} ORDER BY seq "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    step1 = df.selectExpr(
+        "*", f"{_ELIG} AS _elig",
+        *[f"last(CASE WHEN {_ELIG} THEN {s} END, true) {before} AS _prev_{s}" for s in SENSORS])
+    restart = {s: f"(_elig AND NOT (_prev_{s} IS NOT NULL AND {equal_sql(s, f'_prev_{s}')}))"
                for s in SENSORS}
-    step2 = step1.select(
-        "*",
-        *[F.last(F.when(restart[s], F.col("ts")), ignorenulls=True).over(upto).alias(f"_start_{s}")
-          for s in SENSORS])
-    stuck = any_of(~F.isnan(s) & ((F.col("ts") - F.col(f"_start_{s}")) >= F.lit(duration_ms))
-                   for s in SENSORS)
-    flagged = F.col("suspicious") | (F.col("_elig") & stuck)
-    return step2.select(*[flagged.alias(c) if c == "suspicious" else F.col(c) for c in cols])
+    exprs = [f"last(CASE WHEN {restart[s]} THEN ts END, true) {upto} AS _start_{s}"
+             for s in SENSORS]
+    if with_counts:
+        exprs += [f"sum(CAST({restart[s]} AS INT)) {upto} AS _nrun_{s}" for s in SENSORS]
+    return step1.selectExpr("*", *exprs)
 
 
 def _flag_stuck_chunked(readings: DataFrame, duration_ms: int, hot) -> DataFrame:
@@ -67,51 +74,30 @@ def _flag_stuck_chunked(readings: DataFrame, duration_ms: int, hot) -> DataFrame
     (value, start) state entering every chunk; the readings of a chunk's first
     run take that start when their first value continues the previous run."""
     cols = readings.columns
-    data = assign_chunks(readings, hot)
-    elig = ~F.col("rejected") & ~F.col("suspicious")
-    order = Window.partitionBy("device", "_chunk").orderBy("seq")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    step1 = data.select(
-        "*", elig.alias("_elig"),
-        *[F.last(F.when(elig, F.col(s)), ignorenulls=True).over(before).alias(f"_prev_{s}")
-          for s in SENSORS])
-    restart = {s: F.col("_elig") & ~(F.col(f"_prev_{s}").isNotNull()
-                                      & java_equal(s, f"_prev_{s}"))
-               for s in SENSORS}
-    step2 = step1.select(
-        "*",
-        *[F.last(F.when(restart[s], F.col("ts")), ignorenulls=True).over(upto).alias(f"_lstart_{s}")
-          for s in SENSORS],
-        *[F.sum(restart[s].cast("int")).over(upto).alias(f"_nrun_{s}") for s in SENSORS])
-
-    eligible = step2.where(F.col("_elig"))
-    summary = eligible.groupBy("device", "_chunk").agg(
-        *[F.min_by(F.col(s), F.col("seq")).alias(f"first_{s}") for s in SENSORS],
-        *[F.max_by(F.col(s), F.col("seq")).alias(f"last_{s}") for s in SENSORS],
-        *[(F.max(F.col(f"_nrun_{s}")) > 1).alias(f"inner_{s}") for s in SENSORS],
-        *[F.max_by(F.col(f"_lstart_{s}"), F.col("seq")).alias(f"lstart_{s}") for s in SENSORS])
-    over_chunks = Window.partitionBy("device").orderBy("_chunk")
-    upto_chunk = over_chunks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = summary.select(
-        "*", *[F.lag(f"last_{s}", 1).over(over_chunks).alias(f"cv_{s}") for s in SENSORS])
-    same_first = {s: F.col(f"cv_{s}").isNotNull() & java_equal(f"first_{s}", f"cv_{s}")
-                  for s in SENSORS}
+    step2 = _local_runs(assign_chunks(readings, hot), "device, _chunk", duration_ms,
+                        with_counts=True)
+    summary = (step2.where("_elig").groupBy("device", "_chunk").agg(
+        *[F.expr(f"min_by({s}, seq)").alias(f"first_{s}") for s in SENSORS],
+        *[F.expr(f"max_by({s}, seq)").alias(f"last_{s}") for s in SENSORS],
+        *[F.expr(f"max(_nrun_{s}) > 1").alias(f"inner_{s}") for s in SENSORS],
+        *[F.expr(f"max_by(_start_{s}, seq)").alias(f"lstart_{s}") for s in SENSORS]))
+    over = "OVER (PARTITION BY device ORDER BY _chunk)"
+    upto = ("OVER (PARTITION BY device ORDER BY _chunk "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    carried = summary.selectExpr("*", *[f"lag(last_{s}) {over} AS cv_{s}" for s in SENSORS])
+    same = {s: f"(cv_{s} IS NOT NULL AND {equal_sql(f'first_{s}', f'cv_{s}')})" for s in SENSORS}
     # start of the run open at the end of each chunk
-    carried = carried.select(
-        "*", *[same_first[s].alias(f"same_{s}") for s in SENSORS],
-        *[F.last(F.when(F.col(f"inner_{s}") | ~same_first[s], F.col(f"lstart_{s}")),
-                 ignorenulls=True).over(upto_chunk).alias(f"end_start_{s}") for s in SENSORS])
-    carry = carried.select(
-        "device", "_chunk", *[F.col(f"same_{s}") for s in SENSORS],
-        *[F.lag(f"end_start_{s}", 1).over(over_chunks).alias(f"cs_{s}") for s in SENSORS])
-
+    carried = carried.selectExpr(
+        "*", *[f"{same[s]} AS same_{s}" for s in SENSORS],
+        *[f"last(CASE WHEN inner_{s} OR NOT {same[s]} THEN lstart_{s} END, true) {upto}"
+          f" AS end_start_{s}" for s in SENSORS])
+    carry = carried.selectExpr(
+        "device", "_chunk", *[f"same_{s}" for s in SENSORS],
+        *[f"lag(end_start_{s}) {over} AS cs_{s}" for s in SENSORS])
     joined = step2.join(carry, ["device", "_chunk"], "left")
-    start = {s: F.when((F.col(f"_nrun_{s}") <= 1) & F.coalesce(F.col(f"same_{s}"), F.lit(False)),
-                       F.col(f"cs_{s}")).otherwise(F.col(f"_lstart_{s}"))
-             for s in SENSORS}
-    stuck = any_of(~F.isnan(s) & ((F.col("ts") - start[s]) >= F.lit(duration_ms))
-                   for s in SENSORS)
-    flagged = F.col("suspicious") | (F.col("_elig") & stuck)
-    return joined.select(*[flagged.alias(c) if c == "suspicious" else F.col(c) for c in cols])
+    start = {s: f"CASE WHEN _nrun_{s} <= 1 AND coalesce(same_{s}, false) THEN cs_{s}"
+                f" ELSE _start_{s} END" for s in SENSORS}
+    stuck = any_sql(f"(NOT isnan({s}) AND ts - ({start[s]}) >= {int(duration_ms)})"
+                    for s in SENSORS)
+    return joined.selectExpr(*[f"suspicious OR (_elig AND {stuck}) AS suspicious"
+                               if c == "suspicious" else c for c in cols])

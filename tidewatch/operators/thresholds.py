@@ -11,64 +11,69 @@ One reading yields 0..5 alerts, in the order co, humidity, lpg, smoke, temp
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import java_outside
-from ..schema import ALERT_COLUMNS, EVENT_END, EVENT_START, SENSORS
+from ..functions.expr import outside_sql
+from ..schema import EVENT_END, EVENT_START, SENSORS
 from ..plans.skew import SkewPlan, assign_chunks, resolve
 from ..sources.config import resolve_limits
 
 
-def exceeded_columns(limits) -> dict[str, Column]:
+def exceeded_sql(limits) -> dict[str, str]:
     lim = resolve_limits(limits)
-    return {s: java_outside(s, *lim[s]) for s in SENSORS}
+    return {s: outside_sql(s, *lim[s]) for s in SENSORS}
+
+
+def exceeded_columns(limits) -> dict[str, Column]:
+    return {s: F.expr(e) for s, e in exceeded_sql(limits).items()}
+
+
+_KEPT = ("seq", "device", "ts", "suspicious", *SENSORS)
+
+
+def _kept(readings: DataFrame, limits) -> DataFrame:
+    exc = exceeded_sql(limits)
+    return (readings.where("NOT rejected")
+            .selectExpr(*_KEPT, *[f"{exc[s]} AS exc_{s}" for s in SENSORS]))
+
+
+def _lags(partition: str, default: str | None) -> list[str]:
+    dflt = f", 1, {default}" if default else ""
+    return [f"lag(exc_{s}{dflt}) OVER (PARTITION BY {partition} ORDER BY seq) AS prev_{s}"
+            for s in SENSORS]
 
 
 def _edges_to_alerts(df: DataFrame, prev_of) -> DataFrame:
-    """``df`` holds ``exc_<sensor>``; ``prev_of(sensor)`` gives the previous
-    state column. Explode only the changed sensors, keeping sensor order."""
-    entries = [
-        F.struct(
-            F.lit(s).alias("sensorType"),
-            F.col(s).alias("value"),
-            F.col(f"exc_{s}").alias("exceeded"),
-            (F.col(f"exc_{s}") != prev_of(s)).alias("changed"),
-        )
-        for s in SENSORS
-    ]
-    changed = F.filter(F.array(*entries), lambda e: e["changed"])
-    out = (df.select("seq", "device", "ts", "suspicious", F.explode(changed).alias("e"))
-           .select(
-               "seq",
-               F.col("device").alias("deviceId"),
-               F.when(F.col("e.exceeded"), F.lit(EVENT_START))
-                .otherwise(F.lit(EVENT_END)).alias("eventType"),
-               F.col("e.sensorType").alias("sensorType"),
-               F.col("ts").alias("timestamp"),
-               "suspicious",
-               F.col("e.value").alias("value"),
-           ))
-    return out.select(*ALERT_COLUMNS)
+    """``df`` holds ``exc_<sensor>``; ``prev_of(sensor)`` is the SQL text of
+    the previous state. Explode only the changed sensors, keeping sensor
+    order."""
+    entries = ", ".join(
+        f"named_struct('sensorType', '{s}', 'value', {s}, 'exceeded', exc_{s}, "
+        f"'changed', exc_{s} <> {prev_of(s)})" for s in SENSORS)
+    return (df.selectExpr("seq", "device", "ts", "suspicious",
+                          f"explode(filter(array({entries}), e -> e.changed)) AS e")
+            .selectExpr("seq", "device AS deviceId",
+                        f"CASE WHEN e.exceeded THEN '{EVENT_START}' ELSE '{EVENT_END}' END"
+                        " AS eventType",
+                        "e.sensorType AS sensorType", "ts AS timestamp", "suspicious",
+                        "e.value AS value"))
 
 
 def alerts_from_edges(df: DataFrame) -> DataFrame:
     """Alerts from readings that carry ``_edge_<sensor>`` (0 none, 1 start,
     2 end), as produced by a fused pass; a narrow explode, no shuffle."""
-    entries = [
-        F.struct(F.lit(s).alias("sensorType"), F.col(s).alias("value"),
-                 F.col(f"_edge_{s}").alias("edge"))
-        for s in SENSORS
-    ]
-    changed = F.filter(F.array(*entries), lambda e: e["edge"] != 0)
-    return (df.where(F.greatest(*[F.col(f"_edge_{s}") for s in SENSORS]) > 0)
-            .select("seq", "device", "ts", "suspicious", F.explode(changed).alias("e"))
-            .select("seq", F.col("device").alias("deviceId"),
-                    F.when(F.col("e.edge") == 1, F.lit(EVENT_START))
-                    .otherwise(F.lit(EVENT_END)).alias("eventType"),
-                    F.col("e.sensorType").alias("sensorType"),
-                    F.col("ts").alias("timestamp"), "suspicious",
-                    F.col("e.value").alias("value")))
+    entries = ", ".join(
+        f"named_struct('sensorType', '{s}', 'value', {s}, 'edge', _edge_{s})" for s in SENSORS)
+    any_edge = " OR ".join(f"_edge_{s} <> 0" for s in SENSORS)
+    return (df.where(any_edge)
+            .selectExpr("seq", "device", "ts", "suspicious",
+                        f"explode(filter(array({entries}), e -> e.edge <> 0)) AS e")
+            .selectExpr("seq", "device AS deviceId",
+                        f"CASE WHEN e.edge = 1 THEN '{EVENT_START}' ELSE '{EVENT_END}' END"
+                        " AS eventType",
+                        "e.sensorType AS sensorType", "ts AS timestamp", "suspicious",
+                        "e.value AS value"))
 
 
 def detect_anomalies(readings: DataFrame, limits=None, skew=SkewPlan()) -> DataFrame:
@@ -85,31 +90,23 @@ def detect_anomalies(readings: DataFrame, limits=None, skew=SkewPlan()) -> DataF
     earlier chunk, found on a one-row-per-chunk summary (partial aggregate,
     then a window over chunks). Exact, and no task holds a whole device.
     """
-    exc = exceeded_columns(limits)
-    kept = (readings.filter(~F.col("rejected"))
-            .select("seq", "device", "ts", "suspicious", *SENSORS,
-                    *[exc[s].alias(f"exc_{s}") for s in SENSORS]))
+    kept = _kept(readings, limits)
     hot = resolve(kept, skew)
     if not hot.any:
-        w = Window.partitionBy("device").orderBy("seq")
-        with_prev = kept.select("*", *[F.lag(f"exc_{s}", 1, False).over(w).alias(f"prev_{s}")
-                                       for s in SENSORS])
-        return _edges_to_alerts(with_prev, lambda s: F.col(f"prev_{s}"))
+        with_prev = kept.selectExpr("*", *_lags("device", "false"))
+        return _edges_to_alerts(with_prev, lambda s: f"prev_{s}")
 
     chunked = assign_chunks(kept, hot)
-    w = Window.partitionBy("device", "_chunk").orderBy("seq")
-    with_prev = chunked.select("*", *[F.lag(f"exc_{s}", 1).over(w).alias(f"prev_{s}")
-                                      for s in SENSORS])
+    with_prev = chunked.selectExpr("*", *_lags("device, _chunk", None))
     last = (chunked.groupBy("device", "_chunk")
-            .agg(F.max_by(F.struct(*[F.col(f"exc_{s}") for s in SENSORS]), F.col("seq"))
+            .agg(F.expr("max_by(struct(" + ", ".join(f"exc_{s}" for s in SENSORS) + "), seq)")
                  .alias("l")))
-    over_chunks = Window.partitionBy("device").orderBy("_chunk")
-    carry = last.select("device", "_chunk",
-                        *[F.lag(F.col(f"l.exc_{s}"), 1).over(over_chunks).alias(f"carry_{s}")
-                          for s in SENSORS])
+    carry = last.selectExpr(
+        "device", "_chunk",
+        *[f"lag(l.exc_{s}) OVER (PARTITION BY device ORDER BY _chunk) AS carry_{s}"
+          for s in SENSORS])
     joined = with_prev.join(carry, ["device", "_chunk"], "left")
-    return _edges_to_alerts(
-        joined, lambda s: F.coalesce(F.col(f"prev_{s}"), F.col(f"carry_{s}"), F.lit(False)))
+    return _edges_to_alerts(joined, lambda s: f"coalesce(prev_{s}, carry_{s}, false)")
 
 
 def empty_edge_state(spark) -> DataFrame:
@@ -127,22 +124,15 @@ def detect_anomalies_incremental(readings: DataFrame, prior_state: DataFrame,
     it (``false`` when the device is new). Returns the alerts and the new
     state (prior state overwritten by the last verdicts of this slice).
     """
-    exc = exceeded_columns(limits)
-    kept = (readings.filter(~F.col("rejected"))
-            .select("seq", "device", "ts", "suspicious", *SENSORS,
-                    *[exc[s].alias(f"exc_{s}") for s in SENSORS]))
-    w = Window.partitionBy("device").orderBy("seq")
-    with_prev = kept.select("*", *[F.lag(f"exc_{s}", 1).over(w).alias(f"prev_{s}")
-                                   for s in SENSORS])
-    prior = prior_state.select("device", *[F.col(f"exc_{s}").alias(f"st_{s}") for s in SENSORS])
+    kept = _kept(readings, limits)
+    with_prev = kept.selectExpr("*", *_lags("device", None))
+    prior = prior_state.selectExpr("device", *[f"exc_{s} AS st_{s}" for s in SENSORS])
     joined = with_prev.join(prior, "device", "left")
-    alerts = _edges_to_alerts(
-        joined, lambda s: F.coalesce(F.col(f"prev_{s}"), F.col(f"st_{s}"), F.lit(False)))
+    alerts = _edges_to_alerts(joined, lambda s: f"coalesce(prev_{s}, st_{s}, false)")
     last = (kept.groupBy("device")
-            .agg(F.max_by(F.struct(*[F.col(f"exc_{s}") for s in SENSORS]), F.col("seq"))
+            .agg(F.expr("max_by(struct(" + ", ".join(f"exc_{s}" for s in SENSORS) + "), seq)")
                  .alias("l"))
-            .select("device", *[F.col(f"l.exc_{s}").alias(f"n_{s}") for s in SENSORS]))
+            .selectExpr("device", *[f"l.exc_{s} AS n_{s}" for s in SENSORS]))
     new_state = (prior_state.join(last, "device", "full_outer")
-                 .select("device", *[F.coalesce(F.col(f"n_{s}"), F.col(f"exc_{s}")).alias(f"exc_{s}")
-                                     for s in SENSORS]))
+                 .selectExpr("device", *[f"coalesce(n_{s}, exc_{s}) AS exc_{s}" for s in SENSORS]))
     return alerts, new_state

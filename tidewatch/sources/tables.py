@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schema import READING_COLUMNS
 
@@ -36,33 +35,26 @@ def readings_from_events(events: DataFrame, devices: int = DEVICES,
     device ``dev-hot`` instead (a device holding 1/k of all readings). Only
     the columns read here are scanned.
     """
-    eid = F.col("event_id")
-    value = F.col("value")
-    jump = (F.when(eid % 211 == 0, F.lit(3_600_000))
-            .when(eid % 307 == 0, F.lit(-3_600_000))
-            .otherwise(F.lit(0))).cast("bigint")
-    ts = (F.lit(BASE_TS_MS) + eid * F.lit(3000)
-          + F.floor(value * F.lit(10.0)).cast("bigint") + jump)
-    temp = (F.when((F.expr("event_id div 200") % 4) == 0, F.lit(21.5))
-            .otherwise(F.lit(20.0) + (eid % 101).cast("double") / F.lit(10.0)))
-    device = F.concat(F.lit("dev-"), (eid % devices).cast("string"))
+    device = f"concat('dev-', CAST(event_id % {int(devices)} AS STRING))"
     if hot_every:
-        device = F.when(eid % hot_every == 0, F.lit("dev-hot")).otherwise(device)
-    out = events.select(
-        eid.alias("seq"),
-        ts.cast("bigint").alias("ts"),
-        device.alias("device"),
-        (F.lit(4.0) + value / F.lit(100.0)).alias("co"),
-        (F.lit(40.0) + value / F.lit(4.0)).alias("humidity"),
-        ((eid % 2) == 0).alias("light"),
-        (F.lit(100) + eid % 103).cast("double").alias("lpg"),
-        (F.col("event_type") == "click").alias("motion"),
-        (F.lit(3.0) + value / F.lit(50.0)).alias("smoke"),
-        temp.alias("temp"),
-        F.lit(False).alias("rejected"),
-        F.lit(False).alias("suspicious"),
-    )
-    return out.select(*READING_COLUMNS)
+        device = f"CASE WHEN event_id % {int(hot_every)} = 0 THEN 'dev-hot' ELSE {device} END"
+    return events.selectExpr(
+        "event_id AS seq",
+        f"CAST({BASE_TS_MS} + event_id * 3000 + CAST(floor(value * 10.0D) AS BIGINT)"
+        " + CASE WHEN event_id % 211 = 0 THEN 3600000L"
+        " WHEN event_id % 307 = 0 THEN -3600000L ELSE 0L END AS BIGINT) AS ts",
+        f"{device} AS device",
+        "4.0D + value / 100.0D AS co",
+        "40.0D + value / 4.0D AS humidity",
+        "event_id % 2 = 0 AS light",
+        "CAST(100 + event_id % 103 AS DOUBLE) AS lpg",
+        "event_type = 'click' AS motion",
+        "3.0D + value / 50.0D AS smoke",
+        "CASE WHEN (event_id div 200) % 4 = 0 THEN 21.5D"
+        " ELSE 20.0D + CAST(event_id % 101 AS DOUBLE) / 10.0D END AS temp",
+        "false AS rejected",
+        "false AS suspicious",
+    ).select(*READING_COLUMNS)
 
 
 def readings(spark: SparkSession, sf_dir: str, devices: int = DEVICES,
