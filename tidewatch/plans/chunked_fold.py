@@ -142,18 +142,15 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
     ensure_checkpoint_dir(spark)
     carries = getattr(fold, "carries_starts", False)
 
-    flagged = hot.devices.select(KEY, F.lit(True).alias("_hot"),
-                                 (F.lit(int(warm)) if warm is not None else F.col("warm"))
-                                 .cast("long").alias("_warm_len"))
+    warm_len = str(int(warm)) if warm is not None else "warm"
+    flagged = hot.devices.selectExpr(KEY, "true AS _hot", f"CAST({warm_len} AS BIGINT) AS _warm_len")
     flagged = F.broadcast(flagged) if hot.count <= MAX_BROADCAST_KEYS else flagged
-    base = df.join(flagged, KEY, "left").select(
-        *df.columns, F.coalesce(F.col("_hot"), F.lit(False)).alias("_hot"), "_warm_len")
-    chunk = F.when(F.col("_hot"), F.expr(f"{ORDER} div {span}")).otherwise(F.lit(0))
-    in_tail = F.col("_hot") & (F.expr(f"{ORDER} % {span}") >= F.lit(span) - F.col("_warm_len"))
-    copies = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    data = (base.select(*df.columns, chunk.cast("long").alias("_c0"), F.explode(copies).alias("_copy"))
-            .select(*df.columns, (F.col("_c0") + F.col("_copy")).alias("_chunk"),
-                    (F.col("_copy") == 1).alias("_warm")))
+    data = (df.join(flagged, KEY, "left")
+            .selectExpr(*df.columns,
+                        f"CAST(CASE WHEN _hot THEN {ORDER} div {span} ELSE 0 END AS BIGINT) AS _c0",
+                        f"explode(CASE WHEN _hot AND {ORDER} % {span} >= {span} - _warm_len "
+                        "THEN array(0, 1) ELSE array(0) END) AS _copy")
+            .selectExpr(*df.columns, "_c0 + _copy AS _chunk", "_copy = 1 AS _warm"))
 
     pass_schema = _nullable(T.StructType(
         list(out_schema.fields)

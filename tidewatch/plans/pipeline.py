@@ -11,7 +11,7 @@ partitioning; the composed form stays available and is tested equal.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -155,33 +155,28 @@ class CleaningFold:
         """(device, _chunk, _cin_<k>): the true W3 start entering each chunk.
         A chunk's exit start is exact when a run restarted inside it (or it is
         the device's first chunk); otherwise it continues the one entering it."""
-        w = Window.partitionBy("device").orderBy("_chunk")
-        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        first = F.row_number().over(w) == 1
-        cols = []
-        for k in range(len(SENSORS)):
-            closed = F.shiftright(F.col("_w3_open"), k).bitwiseAND(1) == 0
-            exact = F.when(first | closed, F.col("_w3_start")[k])
-            cols.append(F.last(exact, ignorenulls=True).over(upto).alias(f"_out_{k}"))
-        ends = summary.select("device", "_chunk", *cols)
-        return ends.select("device", "_chunk",
-                           *[F.lag(f"_out_{k}").over(w).alias(f"_cin_{k}")
-                             for k in range(len(SENSORS))])
+        over = "OVER (PARTITION BY device ORDER BY _chunk)"
+        upto = ("OVER (PARTITION BY device ORDER BY _chunk "
+                "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+        n = len(SENSORS)
+        ends = summary.selectExpr(
+            "device", "_chunk", f"row_number() {over} = 1 AS _first",
+            "_w3_open", "_w3_start").selectExpr(
+            "device", "_chunk",
+            *[f"last(CASE WHEN _first OR shiftright(_w3_open, {k}) & 1 = 0 "
+              f"THEN _w3_start[{k}] END, true) {upto} AS _out_{k}" for k in range(n)])
+        return ends.selectExpr("device", "_chunk",
+                               *[f"lag(_out_{k}) {over} AS _cin_{k}" for k in range(n)])
 
     def carry_fix(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
         """Decide the first-run readings with the carried start (the local
         verdict stands where nothing was carried: the device's first chunk)."""
         joined = rows.join(carry, ["device", "_chunk"], "left")
-        fixes = []
-        for k, sensor in enumerate(SENSORS):
-            in_run = F.shiftright(F.col("_run0"), k).bitwiseAND(1) == 1
-            local = F.shiftright(F.col("_stuck0"), k).bitwiseAND(1) == 1
-            carried = (F.col("ts") - F.col(f"_cin_{k}")) >= F.lit(self.stuck_ms)
-            fixes.append(in_run & F.when(F.col(f"_cin_{k}").isNull(), local).otherwise(carried))
-        stuck = fixes[0]
-        for f in fixes[1:]:
-            stuck = stuck | f
-        return joined.withColumn("suspicious", F.col("suspicious") | stuck)
+        fixes = " OR ".join(
+            f"(shiftright(_run0, {k}) & 1 = 1 AND CASE WHEN _cin_{k} IS NULL "
+            f"THEN shiftright(_stuck0, {k}) & 1 = 1 "
+            f"ELSE ts - _cin_{k} >= {int(self.stuck_ms)} END)" for k in range(len(SENSORS)))
+        return joined.withColumn("suspicious", F.expr(f"suspicious OR ({fixes})"))
 
 
 def with_outlier_verdict(readings: DataFrame, bounds=PHYSICAL_BOUNDS) -> DataFrame:

@@ -104,9 +104,8 @@ def assign_chunks(df: DataFrame, hot: HotSet, key: str = "device",
     """Add ``_chunk``: ``seq div span`` for hot devices, 0 for the others."""
     if not hot.any:
         return df.withColumn("_chunk", F.lit(0).cast("long"))
-    flagged = hot.devices.select(key, F.lit(True).alias("_hot"))
+    flagged = hot.devices.selectExpr(key, "true AS _hot")
     if hot.count <= MAX_BROADCAST_KEYS:
         flagged = F.broadcast(flagged)
-    chunk = F.when(F.col("_hot"), F.expr(f"{order} div {int(hot.plan.span)}")).otherwise(F.lit(0))
-    return (df.join(flagged, key, "left")
-            .select(*df.columns, chunk.cast("long").alias("_chunk")))
+    chunk = f"CAST(CASE WHEN _hot THEN {order} div {int(hot.plan.span)} ELSE 0 END AS BIGINT)"
+    return df.join(flagged, key, "left").selectExpr(*df.columns, f"{chunk} AS _chunk")

@@ -12,7 +12,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -51,15 +50,10 @@ _OUT = T.StructType([T.StructField(f.name, f.dataType, True) for f in READING.fi
 
 
 def _restore_nans(df: DataFrame) -> DataFrame:
-    cols = []
-    for c in READING_COLUMNS:
-        if c in SENSORS:
-            bit = SENSORS.index(c)
-            cols.append(F.when(F.shiftright(F.col("_nan_bits"), bit).bitwiseAND(1) == 1,
-                               F.lit(float("nan"))).otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
-    return df.select(*cols)
+    return df.selectExpr(*[
+        f"CASE WHEN shiftright(_nan_bits, {SENSORS.index(c)}) & 1 = 1 "
+        f"THEN CAST('NaN' AS DOUBLE) ELSE {c} END AS {c}" if c in SENSORS else c
+        for c in READING_COLUMNS])
 
 
 def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataFrame:
