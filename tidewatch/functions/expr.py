@@ -56,22 +56,6 @@ def any_sql(parts) -> str:
     return "(" + " OR ".join(parts) + ")"
 
 
-def java_outside(value: str, low: float, high: float) -> Column:
-    return F.expr(outside_sql(value, low, high))
-
-
-def java_equal(a: str, b: str) -> Column:
-    return F.expr(equal_sql(a, b))
-
-
-def any_of(cols) -> Column:
-    cols = list(cols)
-    out = cols[0]
-    for c in cols[1:]:
-        out = out | c
-    return out
-
-
 MS_TO_TIMESTAMP_SQL = "timestampadd(MILLISECOND, {ms}, TIMESTAMP_NTZ'1970-01-01 00:00:00')"
 
 

@@ -77,12 +77,6 @@ def quarantine(raw: DataFrame) -> DataFrame:
     return _parsed(raw).where("reason IS NOT NULL").select("seq", "value", "reason")
 
 
-def parse_with_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both branches from one parse (persist ``raw`` upstream when both are
-    consumed, e.g. inside ``foreachBatch``)."""
-    return parse_readings(raw), quarantine(raw)
-
-
 # ---------------------------------------------------------------------------
 # Rendering readings as messages (the test feed of the parse queries)
 # ---------------------------------------------------------------------------

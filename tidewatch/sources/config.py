@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_LIMITS, LIMIT_FIELDS, LIMITS, RECIPIENTS, SENSORS
 
@@ -78,15 +77,3 @@ def limits_frame(spark: SparkSession, limits: Limits | None = None) -> DataFrame
         lo_name, hi_name = LIMIT_FIELDS[sensor]
         row[lo_name], row[hi_name] = lim[sensor]
     return spark.createDataFrame([tuple(row[f] for f in LIMITS.fieldNames())], LIMITS)
-
-
-def limits_long(spark: SparkSession, limits: Limits | None = None) -> DataFrame:
-    """Long form: one row per sensor (sensor, low, high)."""
-    lim = limits or DEFAULT_LIMITS
-    return spark.createDataFrame([(s, *lim[s]) for s in SENSORS],
-                                 "sensor string, low double, high double")
-
-
-def recipient_list(recipients: DataFrame) -> DataFrame:
-    """Distinct recipients as one sorted array (set semantics)."""
-    return recipients.agg(F.array_sort(F.collect_set("email")).alias("recipients"))
