@@ -209,3 +209,16 @@ def test_write_batch_outputs(spark, scratch):
     assert sd.where("suspicious").count() == 311
     assert set(sd.columns) == {"seq", "time", "device", "temperature", "humidity", "co", "light",
                                "lpg", "motion", "smoke", "rejected", "suspicious"}
+
+
+def test_config_files(spark, scratch):
+    import json
+    from tidewatch.operators.notify import recipients_header
+    from tidewatch.sources.config import read_limits, read_recipients
+    with open(f"{scratch}/limits.json", "w") as f:
+        f.write(json.dumps({"coUpper": 4.8, "coLower": 0.0, "smokeUpper": 5.0, "other": 1}) + "\n")
+    lim = resolve_limits(read_limits(spark, f"{scratch}/limits.json", fmt="json"))
+    assert lim["co"] == (0.0, 4.8) and lim["smoke"] == (0.0, 5.0) and lim["temp"] == (0.0, 0.0)
+    spark.createDataFrame([("b@x",), ("a@x",), ("b@x",)], "email string") \
+        .write.parquet(f"{scratch}/recipients")
+    assert recipients_header(read_recipients(spark, f"{scratch}/recipients")) == "a@x,b@x"
