@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 from .device_pass import arrow_batch, batch_arrays, device_fold
 from .skew import MAX_BROADCAST_KEYS, HotSet
 
@@ -140,6 +140,7 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
     span = int(hot.plan.span)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     carries = getattr(fold, "carries_starts", False)
 
     warm_len = str(int(warm)) if warm is not None else "warm"

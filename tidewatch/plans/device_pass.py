@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import ship_package
+
 
 def device_ordered(df: DataFrame, key: str = "device", order: str = "seq") -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key, order)
@@ -95,6 +97,7 @@ def device_fold(df: DataFrame, init_state: Callable, step: Callable, schema=None
     (columns -> row mask) drops rows inside the pass, before they are sent
     back to the JVM.
     """
+    ship_package(df.sparkSession)
     out_schema = schema if schema is not None else df.schema
     arrow_schema = to_arrow_schema(out_schema)
 

@@ -64,3 +64,32 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
 
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in the Python workers: the Arrow passes
+    and the state processor are pickled by reference to this package's
+    modules. Zipped once per application and handed to ``addPyFile``, which
+    serves it to every executor (the usual alternative is ``--py-files``)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import os
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tidewatch-pkg-"), "tidewatch.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(root):
+            if "__pycache__" in folder:
+                continue
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    zf.write(path, os.path.join("tidewatch", os.path.relpath(path, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

@@ -17,6 +17,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..plans.pipeline import CleaningFold, with_outlier_verdict
 from ..schema import PHYSICAL_BOUNDS, READING, READING_COLUMNS, SENSORS
+from ..session import ship_package
 
 STATE = T.StructType([
     T.StructField("ts_window", T.ArrayType(T.LongType(), False), False),
@@ -58,6 +59,7 @@ def _restore_nans(df: DataFrame) -> DataFrame:
 
 def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataFrame:
     """Streaming counterpart of ``clean_readings`` (same output columns)."""
+    ship_package(readings.sparkSession)
     fold = CleaningFold(**params)
     columns = list(READING_COLUMNS)
 
