@@ -222,3 +222,28 @@ def test_config_files(spark, scratch):
     spark.createDataFrame([("b@x",), ("a@x",), ("b@x",)], "email string") \
         .write.parquet(f"{scratch}/recipients")
     assert recipients_header(read_recipients(spark, f"{scratch}/recipients")) == "a@x,b@x"
+
+
+def test_parse_more_edge_cases(spark):
+    import math
+    good = ('{"ts":1704067200000,"device":"d","co":4.1,"humidity":51.0,'
+            '"light":false,"lpg":120.0,"motion":false,"smoke":3.2,"temp":22.7}')
+    msgs = [
+        (1, good.replace('1704067200000', 'true')),            # boolean where a long is read
+        (2, good.replace('"co":4.1', '"co":"abc"')),             # not a number
+        (3, good.replace('"co":4.1', '"co":"NaN"')),             # numeric string NaN
+        (4, good.replace('"co":4.1', '"co":1e400')),             # overflows to infinity
+        (5, good.replace('"light":false', '"light":"True"')),
+        (6, good.replace('"device":"d"', '"device":""')),        # empty string is a string
+        (7, good.replace('"co":4.1', '"co":{"v":4.1}')),         # object where a number is read
+        (8, '  ' + good + '\n'),                                 # surrounding whitespace
+        (9, good.replace('"motion":false', '"motion":"yes"')),
+    ]
+    raw = spark.createDataFrame(msgs, "seq long, value string")
+    ok = {r.seq: r for r in parse_readings(raw).collect()}
+    bad = {r.seq: r.reason for r in quarantine(raw).collect()}
+    assert sorted(ok) == [3, 4, 5, 6, 8]
+    assert math.isnan(ok[3].co) and math.isinf(ok[4].co) and ok[5].light is True
+    assert ok[6].device == ""
+    assert bad == {1: "invalid field: ts", 2: "invalid field: co", 7: "invalid field: co",
+                   9: "invalid field: motion"}
