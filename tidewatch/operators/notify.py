@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import ms_to_timestamp
+from ..functions.expr import MS_TO_TIMESTAMP_SQL
 from ..schema import EVENT_END, EVENT_LABELS, EVENT_START
 
 # The recipient list is configuration that is inlined into every message; its
@@ -45,30 +45,37 @@ def recipients_header(recipients: DataFrame | list[str] | None) -> str:
     return ",".join(sorted(set(emails)))
 
 
-def event_label(col):
+def _sql_str(text: str) -> str:
+    """A SQL string literal (backslash escapes, as Spark's parser reads them)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
+
+
+def event_label_sql(col: str = "eventType") -> str:
     """anomaly_start -> 'Anomaly start', anomaly_end -> 'Anomaly end', other
     values unchanged."""
-    return (F.when(col == EVENT_START, F.lit(EVENT_LABELS[EVENT_START]))
-            .when(col == EVENT_END, F.lit(EVENT_LABELS[EVENT_END]))
-            .otherwise(col))
+    return (f"CASE WHEN {col} = '{EVENT_START}' THEN '{EVENT_LABELS[EVENT_START]}' "
+            f"WHEN {col} = '{EVENT_END}' THEN '{EVENT_LABELS[EVENT_END]}' ELSE {col} END")
+
+
+def format_event_time_sql(ms_col: str, zone: str = "UTC") -> str:
+    local = f"convert_timezone('UTC', {_sql_str(zone)}, {MS_TO_TIMESTAMP_SQL.format(ms=ms_col)})"
+    return f"date_format({local}, '{TIMESTAMP_PATTERN}')"
 
 
-def format_event_time(ms_col, zone: str = "UTC"):
-    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), ms_to_timestamp(ms_col))
-    return F.date_format(local, TIMESTAMP_PATTERN)
+def format_event_time(ms_col: str, zone: str = "UTC"):
+    return F.expr(format_event_time_sql(ms_col, zone))
 
 
 def build_notifications(alerts: DataFrame, recipients=None, zone: str = "UTC") -> DataFrame:
     """(seq, deviceId, sensorType, eventType, subject, body, recipients) per
     alert. A narrow projection: no shuffle, no join."""
     to = recipients_header(recipients)
-    label = event_label(F.col("eventType"))
-    body = F.format_string(BODY_FORMAT, label, F.col("sensorType"), F.col("deviceId"),
-                           format_event_time(F.col("timestamp"), zone), F.col("value"),
-                           F.col("suspicious"))
-    return alerts.select(
+    label = event_label_sql()
+    body = (f"format_string({_sql_str(BODY_FORMAT)}, {label}, sensorType, deviceId, "
+            f"{format_event_time_sql('timestamp', zone)}, value, suspicious)")
+    return alerts.selectExpr(
         "seq", "deviceId", "sensorType", "eventType",
-        F.concat(F.col("sensorType"), F.lit(" "), label, F.lit(" Alert")).alias("subject"),
-        body.alias("body"),
-        F.lit(to).alias("recipients"),
+        f"concat(sensorType, ' ', {label}, ' Alert') AS subject",
+        f"{body} AS body",
+        f"{_sql_str(to)} AS recipients",
     )
