@@ -247,3 +247,10 @@ def test_parse_more_edge_cases(spark):
     assert ok[6].device == ""
     assert bad == {1: "invalid field: ts", 2: "invalid field: co", 7: "invalid field: co",
                    9: "invalid field: motion"}
+
+
+def test_flagship_plan_prunes_columns(spark):
+    from tidewatch.plans.pipeline import pipeline_alerts
+    plan = pipeline_alerts(readings(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double>" in plan
+    assert "MapInArrow" in plan and "BatchEvalPython" not in plan
