@@ -100,3 +100,14 @@ def test_many_hot_devices_use_shuffle_joins(spark, hot_readings, monkeypatch):
     assert same(plan, clean_readings(hot_readings, skew=None))
     base = flag_outliers(hot_readings)
     assert same(flag_stuck_values(base, skew=hot), flag_stuck_values(base, skew=None))
+
+
+def test_write_batch_with_hot_device(spark, hot_readings, scratch):
+    from tidewatch.plans.pipeline import write_batch
+    hot = find_hot(hot_readings, SkewPlan(min_rows=100, min_share=0.2, span=900))
+    write_batch(hot_readings, f"{scratch}/split", skew=hot)
+    write_batch(hot_readings, f"{scratch}/plain", skew=None)
+    for table in ("sensor_data", "event_alerts", "notifications"):
+        a = spark.read.parquet(f"{scratch}/split/{table}")
+        b = spark.read.parquet(f"{scratch}/plain/{table}")
+        assert a.count() == b.count() and same(a, b)
