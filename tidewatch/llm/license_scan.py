@@ -80,8 +80,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, contai
     # the templates' own shingles and bands by the same expressions, a handful of rows
     rows = _banded(_shingled(spark.createDataFrame(templates or [("", "")], "template_id string, text string"))) \
         .selectExpr("template_id", "array_distinct(sh) AS sh", "array_distinct(bands) AS bands",
-                    "array_distinct(x) AS x").where("size(sh) > 0").collect()
-    known = [(r.template_id, r.sh, r.bands, r.x if len(r.sh) < SHINGLE else []) for r in rows]
+                    "array_distinct(x) AS x").collect()
+    known = [(r.template_id, r.sh, r.bands, r.x if len(r.sh) < SHINGLE else []) for r in rows if r.sh]
 
     def longs(values) -> str:
         return "array(" + ", ".join("(-9223372036854775807L - 1L)" if v == -(1 << 63) else f"{v}L" for v in values) + ")" \
@@ -95,8 +95,10 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, contai
                                "0D AS containment", "0L AS first_word").where("false")
     any_band = longs(sorted({v for k in known for v in k[2]}))
     any_one = longs(sorted({v for k in known for v in k[3]}))
-    wide = _banded(_shingled(docs.select(F.col("doc_id").cast("long"), "text"))).where(
-        f"arrays_overlap(bands, {any_band}) OR arrays_overlap(x, {any_one})")
+    # the row number keeps the filter above these columns: below, it would work each out anew
+    wide = _banded(_shingled(docs.select(F.col("doc_id").cast("long"), "text"))).withColumn(
+        "row", F.monotonically_increasing_id()).where(
+        f"row >= 0 AND (arrays_overlap(bands, {any_band}) OR arrays_overlap(x, {any_one}))")
     tried = ", ".join(
         f"struct({text(t)} AS template_id, array({', '.join(map(text, sh))}) AS sh, "
         f"arrays_overlap(bands, {longs(bands)}) OR arrays_overlap(x, {longs(one)}) AS met)"

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import map_arrow
 
 #: Fitting takes at most this many labelled rows of each label, of texts of at most so many bytes.
-TRAIN_ROWS, TRAIN_BYTES = 1500, 20_000
+TRAIN_ROWS, TRAIN_BYTES = 800, 20_000
 MIN_WORDS, MAX_REPEAT, WINDOW, KEEP_AT = 20, 30, 8, 0.5
 SYMBOLS = "#*$%&|<>"
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 1 << 20
 
@@ -97,15 +97,16 @@ class Model:
 
 def _logistic(x: np.ndarray, y: np.ndarray, l2: float, steps: int) -> tuple[np.ndarray, float]:
     """Class-balanced logistic regression by Nesterov's gradient method."""
-    w, b, v, vb = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
+    w, b, v, vb = np.zeros(x.shape[1], x.dtype), 0.0, np.zeros(x.shape[1], x.dtype), 0.0
     share = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     rate = 1 / (0.25 * max((x ** 2).sum(axis=1).max(initial=1e-9) + 1, 1) + l2)
     for t in range(steps):
         g = share * (1 / (1 + np.exp(-np.clip(x @ v + vb, -60, 60))) - y)
-        nw, nb = v - rate * (x.T @ g + l2 * v), vb - rate * g.sum()
-        v, vb = nw + t / (t + 3) * (nw - w), nb + t / (t + 3) * (nb - b)
+        g = g.astype(x.dtype)
+        nw, nb = v - x.dtype.type(rate) * (x.T @ g + x.dtype.type(l2) * v), vb - rate * float(g.sum())
+        v, vb = nw + x.dtype.type(t / (t + 3)) * (nw - w), nb + t / (t + 3) * (nb - b)
         w, b = nw, nb
-    return w, b
+    return w, float(b)
 
 
 def fit_rows(texts: list[str], labels: list[int]) -> Model | None:
@@ -117,7 +118,7 @@ def fit_rows(texts: list[str], labels: list[int]) -> Model | None:
     held = np.arange(len(y)) % 4 == 3
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held[:] = False
-    w, b = _logistic(x[~held].astype(np.float64), y[~held], 1e-5, 300)
+    w, b = _logistic(x[~held], y[~held].astype(np.float32), 1e-5, 200)
     model = Model(w.astype(np.float32), float(b), 1.0, 0.0)
     if held.any():
         m = model.margin(x[held])
