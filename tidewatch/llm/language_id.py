@@ -115,8 +115,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                      "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text has a language at ``min_score`` or more."""
+def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.25) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter and a language at ``min_score`` or more
+    (below a quarter every one-versus-rest value clearly says no). Null texts go; repeated
+    rows, null ids and extra columns stay as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
 
