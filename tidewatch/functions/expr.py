@@ -56,7 +56,11 @@ def any_sql(parts) -> str:
     return "(" + " OR ".join(parts) + ")"
 
 
-MS_TO_TIMESTAMP_SQL = "timestampadd(MILLISECOND, {ms}, TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+# Years 1 to 9999; a stamp outside them has no timestamp (NULL), never an error.
+MS_RANGE = (-62_135_596_800_000, 253_402_300_799_999)
+MS_TO_TIMESTAMP_SQL = (
+    "timestampadd(MILLISECOND, CASE WHEN {ms} BETWEEN %d AND %d THEN {ms} END, "
+    "TIMESTAMP_NTZ'1970-01-01 00:00:00')" % MS_RANGE)
 
 
 def ms_to_timestamp(ms) -> Column:
@@ -64,4 +68,5 @@ def ms_to_timestamp(ms) -> Column:
     instant. Independent of the session time zone (no zone conversion)."""
     if isinstance(ms, str):
         return F.expr(MS_TO_TIMESTAMP_SQL.format(ms=ms))
+    ms = F.when(ms.between(*MS_RANGE), ms)
     return F.timestamp_add("MILLISECOND", ms, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))

@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.expr import MS_TO_TIMESTAMP_SQL
 from ..schema import EVENT_END, EVENT_LABELS, EVENT_START
 
-# The recipient list is configuration that is inlined into every message; its
-# size is checked before it is read (a bounded broadcast of one small value).
-MAX_RECIPIENTS = 10_000
-
 # The message layout (must equal the reference's text).
 BODY_FORMAT = (
     "This is an automated message informing you that there has been an `%s` event "
@@ -29,20 +25,13 @@ BODY_FORMAT = (
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 
-def recipients_header(recipients: DataFrame | list[str] | None) -> str:
-    """Distinct recipients, sorted, comma-separated (set semantics)."""
-    if recipients is None:
-        return ""
+def recipients_header(recipients: DataFrame | list[str] | None) -> str | DataFrame:
+    """Distinct recipients, sorted, comma-separated (set semantics): a text for
+    a list, a one-row frame (column ``recipients``) for a frame."""
     if isinstance(recipients, DataFrame):
-        distinct = recipients.select("email").where(F.col("email").isNotNull()).distinct()
-        sample = distinct.limit(MAX_RECIPIENTS + 1).collect()
-        if len(sample) > MAX_RECIPIENTS:
-            raise ValueError(f"more than {MAX_RECIPIENTS} recipients; keep the list as a "
-                             "mailing-list address instead")
-        emails = [r["email"] for r in sample]
-    else:
-        emails = [e for e in recipients if e is not None]
-    return ",".join(sorted(set(emails)))
+        return recipients.select("email").distinct().agg(
+            F.array_join(F.array_sort(F.collect_list("email")), ",").alias("recipients"))
+    return ",".join(sorted({e for e in recipients or [] if e is not None}))
 
 
 def _sql_str(text: str) -> str:
@@ -62,20 +51,21 @@ def format_event_time_sql(ms_col: str, zone: str = "UTC") -> str:
     return f"date_format({local}, '{TIMESTAMP_PATTERN}')"
 
 
-def format_event_time(ms_col: str, zone: str = "UTC"):
-    return F.expr(format_event_time_sql(ms_col, zone))
-
-
 def build_notifications(alerts: DataFrame, recipients=None, zone: str = "UTC") -> DataFrame:
     """(seq, deviceId, sensorType, eventType, subject, body, recipients) per
-    alert. A narrow projection: no shuffle, no join."""
+    alert: a narrow projection. Recipients in a frame of any size are gathered
+    by Spark and attached as one row on a constant key."""
     to = recipients_header(recipients)
     label = event_label_sql()
     body = (f"format_string({_sql_str(BODY_FORMAT)}, {label}, sensorType, deviceId, "
             f"{format_event_time_sql('timestamp', zone)}, value, suspicious)")
+    if isinstance(to, DataFrame):
+        # one row by construction: a global aggregate
+        alerts = alerts.withColumn("_one", F.lit(1)).join(
+            F.broadcast(to.withColumn("_one", F.lit(1))), "_one")
     return alerts.selectExpr(
         "seq", "deviceId", "sensorType", "eventType",
         f"concat(sensorType, ' ', {label}, ' Alert') AS subject",
         f"{body} AS body",
-        f"{_sql_str(to)} AS recipients",
+        "recipients" if isinstance(to, DataFrame) else f"{_sql_str(to)} AS recipients",
     )

@@ -27,6 +27,7 @@ def _staged_sql() -> list[str]:
     for name in _FIELD_ORDER:
         if name in _NUMERIC:
             out.append(f"try_variant_get(_v, '$.{name}', '{_NUMERIC[name]}') AS _x_{name}")
+            out.append(f"schema_of_variant(try_variant_get(_v, '$.{name}', 'variant')) AS _k_{name}")
         out.append(f"try_variant_get(_v, '$.{name}', 'string') AS _t_{name}")
     out.append("schema_of_variant(try_variant_get(_v, '$.device', 'variant')) AS _k_device")
     return out
@@ -40,10 +41,14 @@ def _valid_sql(name: str) -> tuple[str, str]:
         # a JSON boolean reads as true/false; a string must read true/false
         return (f"lower(_t_{name}) = 'true'",
                 f"coalesce(lower(_t_{name}) IN ('true', 'false'), false)")
-    val = "CAST(_x_ts AS BIGINT)" if name == "ts" else f"_x_{name}"
-    # numbers and numeric strings; a JSON boolean also casts to a number but
-    # reads as true/false
-    return val, f"({val} IS NOT NULL AND NOT coalesce(_t_{name} IN ('true', 'false'), false))"
+    # a string long is plain digits, a string double has no spelled-out
+    # specials but these; numbers are truncated, and one beyond the range is
+    # NULL, never an error
+    spelled = ("^[+-]?[0-9]+$" if name == "ts" else
+               "^([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[+-]?Infinity|NaN)$")
+    val = "try_cast(_x_ts AS BIGINT)" if name == "ts" else f"_x_{name}"
+    return val, (f"({val} IS NOT NULL AND CASE WHEN _k_{name} = 'STRING' THEN _t_{name} RLIKE '{spelled}' "
+                 f"ELSE NOT coalesce(_k_{name} = 'BOOLEAN', false) END)")
 
 
 def _parsed(raw: DataFrame) -> DataFrame:

@@ -123,7 +123,8 @@ class CleaningFold:
     def open_chunk(self, state):
         if self.w3 is None:
             return state
-        return (*state[:4], [True] * len(SENSORS))
+        # only a run that was under way can have begun before the chunk
+        return (*state[:4], [x is not None for x in state[2]])
 
     def verify_view(self, state):
         """What must agree at a chunk border: everything but W3 run starts

@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 DEFAULT_MIN_ROWS = 4_000_000      # a device with more readings gets split
 DEFAULT_SPAN = 1 << 21            # seq values per chunk of a hot device
 DEFAULT_WARM_ROWS = 256           # readings a speculative chunk is warmed on
@@ -54,24 +56,23 @@ NO_SKEW = HotSet(None, 0, SkewPlan())
 
 def find_hot(df: DataFrame, plan: SkewPlan = SkewPlan(), key: str = "device",
              order: str = "seq") -> HotSet:
-    """One aggregate (a rollup: per-device counts and seq extent plus the
-    grand total) over two columns. Each hot device also gets its warm-up
+    """One aggregate (per-device counts and seq extent) over two columns, held
+    against the total in Spark; only hot devices reach the driver. Each hot device also gets its warm-up
     length in seq values, ``warm_rows`` readings at its average density."""
-    stats = (df.rollup(key)
-             .agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi"),
-                  F.grouping(key).alias("g"))
-             .where((F.col("g") == 1) | (F.col("n") >= F.lit(plan.min_rows))))
-    rows = stats.limit(MAX_BROADCAST_KEYS + 2).collect()
-    total = next((r["n"] for r in rows if r["g"] == 1), 0)
-    floor = max(plan.min_rows, plan.min_share * total)
-    hot = [r for r in rows if r["g"] == 0 and r["n"] >= floor]
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("lo"),
+                                 F.max(order).alias("hi"))
+    share = float(plan.min_share)
+    stats = (counts.where(f"n >= {int(plan.min_rows)}") if share <= 0 else
+             counts.join(F.broadcast(counts.agg(F.sum("n").alias("total"))),
+                         F.expr(f"n >= greatest({int(plan.min_rows)}, {share!r} * total)")).drop("total"))
+    hot = stats.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not hot:
         return HotSet(None, 0, plan)
     spark = df.sparkSession
-    if len(rows) > MAX_BROADCAST_KEYS + 1:
-        # very many hot devices: keep them distributed
-        devices = (stats.where((F.col("g") == 0) & (F.col("n") >= F.lit(floor)))
-                   .select(key, _warm_expr(plan).alias("warm")))
+    if len(hot) > MAX_BROADCAST_KEYS:
+        # very many hot devices: the whole set stays distributed
+        ensure_checkpoint_dir(spark)
+        devices = stats.select(key, _warm_expr(plan).alias("warm")).checkpoint()
         return HotSet(devices, devices.count(), plan)
     data = [(r[key], _warm(plan, r["n"], r["lo"], r["hi"])) for r in hot]
     devices = spark.createDataFrame(data, f"{key} string, warm long")

@@ -23,7 +23,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", batch_id: int |
         df.write.format("jdbc").options(**options).mode("append").save()
         return
     if fmt == "console":
-        df.show(truncate=False)
+        for line in df.toJSON().toLocalIterator():  # every row, a partition at a time
+            print(line)
         return
     target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={int(batch_id)}"
     mode = "append" if batch_id is None else "overwrite"

@@ -12,12 +12,8 @@ from pyspark.sql import functions as F
 
 from ..schema import READING, RAW_MESSAGE
 
-# The topics and consumer settings of the original deployment.
-TOPICS = ("sensor1-data", "sensor2-data", "sensor3-data")
-CONSUMER_GROUP = "storm-consumer-group"
 
-
-def kafka_messages(spark: SparkSession, servers: str, topics=TOPICS,
+def kafka_messages(spark: SparkSession, servers: str, topics,
                    starting_offsets: str = "latest",
                    max_offsets_per_trigger: int | None = None, **options) -> DataFrame:
     """S1 + U1: one subscription over all topics (the union of the sources).
@@ -25,8 +21,7 @@ def kafka_messages(spark: SparkSession, servers: str, topics=TOPICS,
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", ",".join(topics))
-              .option("startingOffsets", starting_offsets)
-              .option("kafka.group.id", CONSUMER_GROUP))
+              .option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in options.items():

@@ -10,16 +10,6 @@ BASE_TS_MS = 1_704_067_200_000  # 2024-01-01T00:00:00Z
 DEVICES = 20
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source that has fewer splits than the cluster has cores
-    (e.g. one file with one row group), so narrow work after the scan runs in
-    parallel. A large table already has many splits and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -59,5 +49,5 @@ def readings_from_events(events: DataFrame, devices: int = DEVICES,
 
 def readings(spark: SparkSession, sf_dir: str, devices: int = DEVICES,
              hot_every: int | None = None) -> DataFrame:
-    return readings_from_events(spread(load_table(spark, sf_dir, "events")), devices, hot_every)
+    return readings_from_events(load_table(spark, sf_dir, "events"), devices, hot_every)
 

@@ -22,7 +22,7 @@ from ..operators.notify import build_notifications
 from ..operators.parse import parse_readings, quarantine
 from ..operators.thresholds import detect_anomalies_incremental, empty_edge_state
 from ..sinks.tables import (write_event_alerts, write_notifications, write_quarantine,
-                            write_sensor_data)
+                            write_sensor_data, write_table)
 from ..sources.config import resolve_limits
 from ..session import checkpoint_path
 from .processor import clean_stream
@@ -67,8 +67,8 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
                       recipients_loader: Callable[[SparkSession], object] | None = None,
                       state_dir: str | None = None, zone: str = "UTC",
                       debug_rows: int = 0):
-    """The ``foreachBatch`` function for cleaned readings (``debug_rows`` > 0
-    also prints that many cleaned readings per batch: the debug print, K4)."""
+    """The ``foreachBatch`` function for cleaned readings (``debug_rows``
+    also prints every cleaned reading of a batch: the debug print, K4)."""
     out = out_dir.rstrip("/")
     edges = EdgeStateTable(spark, state_dir or checkpoint_path(spark, "edge-state"))
 
@@ -77,7 +77,7 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
         try:
             write_sensor_data(batch, f"{out}/sensor_data", batch_id)
             if debug_rows:
-                batch.show(debug_rows, truncate=False)
+                write_table(batch, "", "console")
             limits = resolve_limits(limits_loader(spark) if limits_loader else None)
             alerts, new_state = detect_anomalies_incremental(
                 batch, edges.read_before(batch_id), limits)
