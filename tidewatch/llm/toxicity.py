@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import map_arrow
 
 #: Fitting takes at most this many labelled rows of each label, of texts of at most so many bytes.
-TRAIN_ROWS, TRAIN_BYTES, EPOCHS = 2000, 40_000, 4
+TRAIN_ROWS, TRAIN_BYTES, EPOCHS = 2000, 40_000, 12
 THRESHOLD, BITS, SKIP = 0.7, 20, 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _EDGE = b".,;:!?\"'()[]{}#*$%&|<>-_"
@@ -52,9 +52,10 @@ class Model:
         return float(1 / (1 + np.exp(-min(60.0, max(-60.0, m)))))
 
 
-def fit_rows(rows: list[np.ndarray], labels: list[int], alpha: float = 0.1, beta: float = 1.0,
-             l1: float = 1.5, l2: float = 1.0, epochs: int = EPOCHS) -> Model:
-    """FTRL-proximal over the rows in the given order, ``epochs`` times."""
+def fit_rows(rows: list[np.ndarray], labels: list[int], alpha: float = 1.0, beta: float = 1.0,
+             l1: float = 15.0, l2: float = 1.0, epochs: int = EPOCHS, toxic_weight: float = 3.0) -> Model:
+    """FTRL-proximal over the rows in the given order, ``epochs`` times; toxic rows weigh
+    ``toxic_weight``."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     zb = nb = bias = 0.0
     for _ in range(epochs):
@@ -63,7 +64,7 @@ def fit_rows(rows: list[np.ndarray], labels: list[int], alpha: float = 0.1, beta
             w = np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2))
             bias = -zb / ((beta + nb ** 0.5) / alpha)
             p = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35)))
-            g = p - y
+            g = (p - y) * (toxic_weight if y else 1.0)
             n[spots] = ni + g * g
             z[spots] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / alpha * w
             zb, nb = zb + g - ((nb + g * g) ** 0.5 - nb ** 0.5) / alpha * bias, nb + g * g
