@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import zlib
 from bisect import bisect_right, insort
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +62,12 @@ class Encoder:
         return b"".join(map(self.known.__getitem__, parts)) + self.end
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str, end: int | None) -> Encoder:
+    """One per Python worker, so that its tasks share the known parts."""
+    return Encoder(path, end)
+
+
 class _Task:
     """Packs the remainders of one task."""
 
@@ -150,7 +157,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int |
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        encoder, task = Encoder(tokenizer_path, end), _Task(window, context.partitionId() if context else 0)
+        encoder, task = encoder_of(tokenizer_path, end), _Task(window, context.partitionId() if context else 0)
         names = [f.split()[0] for f in SCHEMA.split(", ")]
 
         def take():

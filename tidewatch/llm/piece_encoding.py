@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -125,6 +126,12 @@ class Pieces:
         return out
 
 
+@lru_cache(maxsize=2)
+def pieces(path: str) -> Pieces:
+    """One per Python worker, so that its tasks share the solved words."""
+    return Pieces(path)
+
+
 def _chunks(docs: DataFrame, width: int, giant: int, chunk: int) -> DataFrame:
     """doc (a hash of id and text), no, first, s: chunks with ``width - 1`` characters before."""
     size = f"ceil((length(text) + 1) / {chunk})"
@@ -147,7 +154,7 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CH
     def whole(batches):
         import pyarrow as pa
 
-        p = Pieces(model_path)
+        p = pieces(model_path)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([p.encode(t) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))],
@@ -156,7 +163,7 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CH
     def transfer(batches):
         import pyarrow as pa
 
-        p = Pieces(model_path)
+        p = pieces(model_path)
         for b in batches:
             for doc, no, first, s in zip(*(b.column(i).to_pylist() for i in range(4))):
                 yield pa.RecordBatch.from_arrays(
@@ -180,7 +187,7 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CH
     def lead(batches):
         import pyarrow as pa
 
-        p = Pieces(model_path)
+        p = pieces(model_path)
         for b in batches:
             for row in b.to_pylist():
                 s, first = row["s"], row["first"]
@@ -204,7 +211,7 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CH
     def final(batches):
         import pyarrow as pa
 
-        p = Pieces(model_path)
+        p = pieces(model_path)
         for b in batches:
             for row in b.to_pylist():
                 s, first = row["s"], row["first"]
@@ -236,7 +243,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        p = Pieces(model_path)
+        p = pieces(model_path)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([p.decode(i or []) for i in b.column(1).to_pylist()], pa.string())],
@@ -252,7 +259,7 @@ def digest(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        p = Pieces(model_path)
+        p = pieces(model_path)
         for b in batches:
             ids = [i or [] for i in b.column(1).to_pylist()]
             cols = [[len(i) for i in ids], [zlib.crc32(np.array(i, "<u4").tobytes()) for i in ids],
