@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +29,7 @@ from tidewatch.llm.common import cut, map_arrow
 MARK = "▁"
 GIANT, CHUNK = 100_000, 32_768  # characters: texts above GIANT are chunked
 NO = float("-inf")
+_WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 class Pieces:
@@ -45,16 +47,20 @@ class Pieces:
         self.byte = {int(self.text[i][1:-1], 16): i for i in range(n) if self.kind[i] == 2}
         self.longest = max(map(len, self.score))
         self.unknown = min(s for s, _ in self.score.values()) - 10
-        self.prefixes = {p[:k] for p in self.score for k in range(1, len(p) + 1)}
+        # every prefix of a piece, with the piece's score or none
+        self.look = {p[:k]: None for p in self.score for k in range(1, len(p) + 1)}
+        self.look |= {p: s for p, (s, _) in self.score.items()}
         self.by_word = not any(MARK in p.lstrip(MARK) for p in self.score)
-        self.known: dict[str, list[int]] = {}
+        self.raw = [bytes([int(self.text[i][1:-1], 16)]) if k == 2 else b"" if k else self.text[i].encode("utf-8")
+                    for i, k in enumerate(self.kind)]
+        self.known: dict[str, bytes] = {}
 
     def edges(self, s: str, at: int) -> list[tuple[int, float]]:
         """(end, score) of the pieces that start at ``at``; one character always has an edge."""
         out, end = [], at + 1
-        while end <= len(s) and s[at:end] in self.prefixes:
-            if (hit := self.score.get(s[at:end])) is not None:
-                out.append((end, hit[0]))
+        while end <= len(s) and (hit := self.look.get(s[at:end], NO)) != NO:
+            if hit is not None:
+                out.append((end, hit))
             end += 1
         if not out or out[0][0] != at + 1:
             out.append((at + 1, self.unknown))
@@ -87,27 +93,51 @@ class Pieces:
         return [i for a, b in zip(cuts, cuts[1:]) for i in self.ids(s[a:b])], cuts[0]
 
     def solve(self, s: str) -> list[int]:
-        return self.trace(s, self.forward(s, 0, {0: 0.0})[1], len(s), 0)[0]
-
-    def encode(self, text: str | None) -> list[int]:
+        """``forward`` from one entry and ``trace`` in one, for words: every place is reached."""
+        look, n, unknown = self.look.get, len(s), self.unknown
+        best, back = [NO] * (n + 1), [0] * (n + 1)
+        best[0] = 0.0
+        for at in range(n):
+            v, end = best[at], at + 1
+            if (w := look(s[at:end], NO)) is None or w == NO:
+                if v + unknown > best[end]:
+                    best[end], back[end] = v + unknown, at
+            while w != NO:
+                if w is not None and v + w > best[end]:
+                    best[end], back[end] = v + w, at
+                end += 1
+                if end > n:
+                    break
+                w = look(s[at:end], NO)
+        out, end = [], n
+        while end:
+            piece = s[back[end]:end]
+            end -= len(piece)
+            if hit := self.score.get(piece):
+                out.append(hit[1])
+            else:
+                out += self.ids(piece)[::-1]
+        return out[::-1]
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids as 32-bit integers in the machine's order."""
         if not text:
-            return []
-        s = MARK + text.replace(" ", MARK)
+            return b""
         if not self.by_word:
-            return self.solve(s)
+            return array("i", self.solve(MARK + text.replace(" ", MARK))).tobytes()
         if len(self.known) > 300_000:  # memory for speed alone
             self.known.clear()
-        out: list[int] = []
-        for word in re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", s):
-            if (got := self.known.get(word)) is None:
-                got = self.known[word] = self.solve(word)
-            out += got
-        return out
-
-    def decode(self, ids: list[int]) -> str:
-        raw = b"".join(bytes([int(self.text[i][1:-1], 16)]) if self.kind[i] == 2 else
-                       b"" if self.kind[i] else self.text[i].encode("utf-8") for i in ids)
-        return raw.decode("utf-8", "replace").replace(MARK, " ")[1:]
+        if MARK in text or "  " in text or text[-1] == " " or text[0] == " ":
+            # runs of marks stand before the word that follows
+            words = [w[1:] for w in _WORD.findall(MARK + text.replace(" ", MARK))]
+        else:
+            words = text.split(" ")
+        for w in {w for w in words if w not in self.known}:
+            self.known[w] = array("i", self.solve(MARK + w)).tobytes()
+        return b"".join(map(self.known.__getitem__, words))
+
+    def decode(self, ids) -> str:
+        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")[1:]
 
     def matrix(self, s: str, first: int, width: int) -> np.ndarray:
         """Transfer matrix (entry state x exit state) of the chunk s[first:]."""
@@ -156,9 +186,10 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CH
 
         p = pieces(model_path)
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([p.encode(t) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))],
-                ["doc_id", "ids"])
+            ids = [p.encode(t) for t in b.column(1).to_pylist()]
+            ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))], ["doc_id", "ids"])
 
     def transfer(batches):
         import pyarrow as pa
@@ -261,9 +292,9 @@ def digest(encoded: DataFrame, model_path: str) -> DataFrame:
 
         p = pieces(model_path)
         for b in batches:
-            ids = [i or [] for i in b.column(1).to_pylist()]
-            cols = [[len(i) for i in ids], [zlib.crc32(np.array(i, "<u4").tobytes()) for i in ids],
-                    [zlib.crc32(p.decode(i).encode("utf-8")) for i in ids]]
+            ids = [x.values.to_numpy().astype("<u4") if x.is_valid else np.zeros(0, "<u4") for x in b.column(1)]
+            cols = [[len(i) for i in ids], [zlib.crc32(i.tobytes()) for i in ids],
+                    [zlib.crc32(p.decode(i.tolist()).encode("utf-8")) for i in ids]]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in cols)],
                                              ["doc_id", "n_ids", "ids_crc32", "text_crc32"])
 
