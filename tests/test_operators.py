@@ -252,5 +252,5 @@ def test_parse_more_edge_cases(spark):
 def test_flagship_plan_prunes_columns(spark):
     from tidewatch.plans.pipeline import pipeline_alerts
     plan = pipeline_alerts(readings(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double>" in plan
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
     assert "MapInArrow" in plan and "BatchEvalPython" not in plan

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ..functions.folds import SpikeFilter
 from ..plans.chunked_fold import chunked_device_fold
 from ..plans.device_pass import device_fold
-from ..plans.skew import SkewPlan, resolve
+from ..plans.skew import resolve
 from ..schema import SENSORS, SPIKE_THRESHOLD, SPIKE_WINDOW
 
 
@@ -26,7 +26,7 @@ class _SpikeFold:
 
 
 def flag_spikes(readings: DataFrame, window: int = SPIKE_WINDOW,
-                threshold: float = SPIKE_THRESHOLD, skew=SkewPlan()) -> DataFrame:
+                threshold: float = SPIKE_THRESHOLD, skew=None) -> DataFrame:
     """Mark readings with a sudden spike on any sensor as suspicious.
 
     Rejected or already suspicious readings pass through and leave every

@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import any_sql, equal_sql
-from ..plans.skew import SkewPlan, assign_chunks, resolve
+from ..plans.skew import assign_chunks, resolve
 from ..schema import SENSORS, STUCK_DURATION_MS
 
 
 def flag_stuck_values(readings: DataFrame, duration_ms: int = STUCK_DURATION_MS,
-                      skew=SkewPlan()) -> DataFrame:
+                      skew=None) -> DataFrame:
     """Set ``suspicious`` on stuck readings; columns and order are kept.
 
     Plan: one exchange on ``device``, one sort on (device, seq), two Window

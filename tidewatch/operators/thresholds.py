@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import outside_sql
 from ..schema import EVENT_END, EVENT_START, SENSORS
-from ..plans.skew import SkewPlan, assign_chunks, resolve
+from ..plans.skew import assign_chunks, resolve
 from ..sources.config import resolve_limits
 
 
@@ -72,7 +72,7 @@ def alerts_from_edges(df: DataFrame) -> DataFrame:
                         "e.value AS value"))
 
 
-def detect_anomalies(readings: DataFrame, limits=None, skew=SkewPlan()) -> DataFrame:
+def detect_anomalies(readings: DataFrame, limits=None, skew=None) -> DataFrame:
     """Alerts (seq, deviceId, eventType, sensorType, timestamp, suspicious,
     value) from cleaned readings.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ..functions.folds import TimestampRepair
 from ..plans.chunked_fold import chunked_device_fold
 from ..plans.device_pass import device_fold
-from ..plans.skew import SkewPlan, resolve
+from ..plans.skew import resolve
 from ..schema import TS_RATIO, TS_WINDOW
 
 
@@ -24,7 +24,7 @@ class _RepairFold:
 
 
 def repair_timestamps(readings: DataFrame, window: int = TS_WINDOW,
-                      ratio: float = TS_RATIO, skew=SkewPlan()) -> DataFrame:
+                      ratio: float = TS_RATIO, skew=None) -> DataFrame:
     """Replace implausible ``ts`` values from the recent cadence of the device.
 
     Rejected readings pass through untouched and do not enter the window.

@@ -217,6 +217,7 @@ def clean_readings(readings: DataFrame, *, ts_window: int = TS_WINDOW,
     return out
 
 
+ALERT_INPUT = ("seq", "ts", "device", *SENSORS, "rejected", "suspicious")
 EDGE_COLUMNS = tuple(f"_edge_{s}" for s in SENSORS)
 
 
@@ -239,12 +240,15 @@ def clean_and_detect(readings: DataFrame, limits=None, *, bounds=PHYSICAL_BOUNDS
     starts are carried over the chunk summaries.
 
     ``edges_only`` keeps only readings with an edge, inside the Python pass,
-    so the other readings never travel back to the JVM."""
+    so the other readings never travel back to the JVM, and only the columns
+    that W1-W4 and the alerts use: the others are never read or shuffled."""
     lim = resolve_limits(limits)
+    hot = resolve(readings, skew)
+    if edges_only:
+        readings = readings.select(*ALERT_INPUT)
     edge_fields = [T.StructField(c, T.ByteType(), False) for c in EDGE_COLUMNS]
     schema = T.StructType(list(readings.schema.fields) + edge_fields)
     pre = with_outlier_verdict(readings, bounds)
-    hot = resolve(readings, skew)
     keep = _has_edge if edges_only else None
     fold = CleaningFold(stuck_ms=stuck_ms, limits=lim, **params)
     if hot.any:
