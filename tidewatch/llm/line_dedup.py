@@ -62,12 +62,14 @@ def dropped_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
     run = spread.withColumn("p", F.expr("bit_xor(here)").over(by_line.rowsBetween(W.unboundedPreceding, 0))) \
         .withColumn("q", F.expr("bit_xor(back)").over(by_line.rowsBetween(W.unboundedPreceding, 0))) \
         .withColumn("all_q", F.last("q").over(by_line.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
-    variants = run.selectExpr("id", "i", "n", "(p ^ here) ^ (all_q ^ q) AS v", "p AS whole")
-    keyed = variants.selectExpr("id", "v AS k", "i AS place", "false AS full").union(
-        variants.selectExpr("id", "v AS k", "-1 AS place", "false AS full")).union(
-        variants.where("i = n - 1").selectExpr("id", "whole AS k", "-1 AS place", "true AS full"))
+    # written once a word; each use below derives its keys from that
+    variants = cut(run.selectExpr("id", "i", "(p ^ here) ^ (all_q ^ q) AS v", "CASE WHEN i = n - 1 THEN p END AS whole"),
+                   "variants")
+    keyed = variants.selectExpr("id", "explode(array(struct(v AS k, i AS place, false AS full), "
+                                "struct(v AS k, -1 AS place, false AS full), "
+                                "struct(whole AS k, -1 AS place, true AS full))) AS e").selectExpr("id", "e.*") \
+        .where("k IS NOT NULL")
     order = words.selectExpr("id", "struct(doc_id, th, pos) AS a")
-    keyed = cut(keyed, "variants")
     many = keyed.groupBy("k", "place").agg(F.count("*").alias("n"), F.max("full").alias("has_full")) \
         .where("n > 1 AND (place >= 0 OR has_full)").select("k", "place")
     live = cut(keyed.join(many, ["k", "place"], "left_semi").join(order, "id"), "live")
