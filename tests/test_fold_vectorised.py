@@ -18,6 +18,15 @@ def _values(rng, n, kind):
         return v
     if kind == "steps":
         return np.repeat(rng.integers(-3, 4, n // 5 + 1).astype(float), 5)[:n]
+    if kind in ("zeros", "negative", "mixed"):
+        v = np.zeros(n) if kind == "zeros" else -np.abs(rng.normal(5, 1, n))
+        if kind == "mixed":  # zero, negative and normal stretches, single values, NaN, infinities
+            part = np.repeat(rng.integers(0, 3, n // 40 + 1), 40)[:n]
+            v = np.where(part == 0, 0.0, np.where(part == 1, v, rng.normal(10, 1, n)))
+            v[rng.random(n) < 0.01] = np.nan
+            v[rng.random(n) < 0.005] = np.inf
+        v[rng.random(n) < 0.02] = 7.0
+        return v
     if kind == "nan":
         v = rng.normal(5, 2, n)
         v[rng.random(n) < 0.05] = np.nan
@@ -32,13 +41,19 @@ def _stamps(rng, n, kind):
         base[rng.random(n) < 0.02] -= 3_600_000
     if kind == "stay":
         base[n // 3:] += 10_000_000
+    if kind == "leaps":  # lasting jumps both ways, met again by the frozen clock
+        base += np.repeat(rng.integers(-2, 3, n // 300 + 1), 300)[:n] * 40_000
+    if kind == "regular":
+        base = np.arange(n, dtype=np.int64) * 1000
+        base[n // 4:] += 50_000
+        base[n // 2:] -= 50_000
     if kind == "bursty":
         base = np.cumsum(rng.exponential(1000, n)).astype(np.int64)
     return base
 
 
 @pytest.mark.parametrize("seed", range(6))
-@pytest.mark.parametrize("kind", ["noise", "spiky", "steps", "nan", "round"])
+@pytest.mark.parametrize("kind", ["noise", "spiky", "steps", "nan", "round", "zeros", "negative", "mixed"])
 def test_spikes_vectorised(seed, kind):
     rng = np.random.default_rng(seed)
     n = int(rng.integers(1, 3000))
@@ -54,7 +69,7 @@ def test_spikes_vectorised(seed, kind):
 
 
 @pytest.mark.parametrize("seed", range(6))
-@pytest.mark.parametrize("kind", ["plain", "jumps", "stay", "bursty"])
+@pytest.mark.parametrize("kind", ["plain", "jumps", "stay", "leaps", "regular", "bursty"])
 def test_timestamps_vectorised(seed, kind):
     rng = np.random.default_rng(seed)
     n = int(rng.integers(1, 3000))

@@ -19,10 +19,16 @@ import numpy as np
 from ..schema import (SENSORS, SPIKE_THRESHOLD, SPIKE_WINDOW, STUCK_DURATION_MS,
                       TS_RATIO, TS_WINDOW)
 
-# block sizes of the vectorised paths: start small after every state change,
-# grow while the rows keep agreeing with the "nothing happens" assumption
+# rows looked ahead in a stretch where every row is repaired or a spike: few at
+# first, more while the stretch lasts
 _MIN_BLOCK = 32
 _MAX_BLOCK = 4096
+_STRETCH = 4  # spikes in a row before looking ahead
+
+
+def _evenly_spaced(stamps, gap: int) -> bool:
+    last = stamps[-1]
+    return all(x == last - gap * i for i, x in enumerate(reversed(stamps)))
 
 
 class TimestampRepair:
@@ -71,13 +77,31 @@ class TimestampRepair:
             # rows before p agree with the raw-stamp assumption; p is bad
             recent = deque(a[size + p - window:size + p].tolist(), maxlen=window)
             gap_sum = sum(abs(y - x) for x, y in zip(list(recent)[:-1], list(recent)[1:]))
-            last_fix, k = p, p
+            last_fix, k, fixed, block = p, p, 0, _MIN_BLOCK
             while k < n and k <= last_fix + window:
-                x = int(t[k])
                 avg_k = gap_sum // (window - 1)
+                if fixed >= window and _evenly_spaced(recent, avg_k):
+                    # a frozen clock: the kept stamps go on in equal steps, so
+                    # all rows up to the first one in range are known at once
+                    before = recent[-1] + avg_k * np.arange(min(block, n - k), dtype=np.int64)
+                    far = np.abs(t[k:k + len(before)] - before) > ratio * avg_k
+                    stop = len(far) if far.all() else int(far.argmin())
+                    if stop:
+                        res[k:k + stop] = before[:stop] + avg_k
+                        recent = deque((x + avg_k * stop for x in recent), maxlen=window)
+                        k += stop
+                        last_fix = k - 1
+                    if stop == len(far):
+                        block = min(2 * block, _MAX_BLOCK)
+                        continue
+                    block = _MIN_BLOCK
+                x = int(t[k])
+                fixed += 1
                 if abs(x - recent[-1]) > ratio * avg_k:
                     x = recent[-1] + avg_k
                     last_fix = k
+                else:
+                    fixed = 0
                 res[k] = x
                 gap_sum += abs(x - recent[-1]) - abs(recent[1] - recent[0])
                 recent.append(x)
@@ -132,6 +156,27 @@ def java_mean(values) -> float:
     return total / len(values)
 
 
+def spikes_against(accepted, vals: np.ndarray, thr: float) -> np.ndarray:
+    """W2's verdict on each of ``vals``, every one of them met by the same
+    ``accepted`` values (the compensated sum of ``java_mean``, its last step
+    taken for all values at once)."""
+    s = c = simple = 0.0
+    for x in accepted:
+        y = x - c
+        t = s + y
+        c = (t - s) - y
+        s = t
+        simple += x
+    with np.errstate(invalid="ignore", over="ignore"):
+        y = vals - c
+        t = s + y
+        total = t - ((t - s) - y)
+        simple = simple + vals
+        total = np.where(np.isnan(total) & np.isinf(simple), simple, total)
+        mean = total / (len(accepted) + 1)
+        return (vals >= mean + mean * thr) | (vals <= mean - mean * thr)
+
+
 class SpikeFilter:
     """W2: per sensor a window of up to ``window`` accepted values. For an
     eligible reading: drop the oldest if full, append the value, take the mean
@@ -199,16 +244,32 @@ class SpikeFilter:
             flags[p] = True
             accepted[p] = False
             recent = deque(a[max(0, size + p - (window - 1)):size + p].tolist(), maxlen=window - 1)
-            last_spike, k = p, p + 1
+            last_spike, k, spikes, block = p, p + 1, 1, _MIN_BLOCK
             while k < n and k < last_spike + window:
+                if spikes >= _STRETCH:
+                    # spikes leave the window as it is: all values up to the
+                    # first accepted one meet the same window
+                    hits = spikes_against(recent, vals[k:k + block], thr)
+                    stop = len(hits) if hits.all() else int(hits.argmin())
+                    if stop:
+                        flags[k:k + stop] = True
+                        accepted[k:k + stop] = False
+                        k += stop
+                        last_spike = k - 1
+                    if stop == len(hits):
+                        block = min(2 * block, _MAX_BLOCK)
+                        continue
+                    block = _MIN_BLOCK
                 x = float(vals[k])
                 m = java_mean([*recent, x])
                 if x >= m + m * thr or x <= m - m * thr:
                     flags[k] = True
                     accepted[k] = False
                     last_spike = k
+                    spikes += 1
                 else:
                     recent.append(x)
+                    spikes = 0
                 k += 1
             clean_from = k
         keep = window if accepted[-1] else window - 1
