@@ -21,16 +21,19 @@ from pyspark.sql import Window as W
 
 from tidewatch.llm.common import cut
 
+_HAS_WORD = r"'[^\\x20\\x09-\\x0D]'"
 _WORDS = r"filter(split(line, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     return docs.selectExpr("doc_id", "th", "posexplode(split(text, '\\n', -1)) AS (pos, line)") \
-        .where(r"line RLIKE '[^\\x20\\x09-\\x0D]'")
+        .where(f"line RLIKE {_HAS_WORD}")
 
 
-def dropped_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
-    """doc_id, th (text hash), pos, near (boolean): the lines that go."""
+def line_marks(docs: DataFrame, min_words: int = 10) -> DataFrame:
+    """doc_id, th (text hash), pos, near (boolean): of every set of equal lines the
+    earliest, with near false, and again with near true if it goes as a near copy. Copies of
+    a line are never gathered: a common line costs its partial minima only."""
     base = docs.selectExpr("doc_id", "xxhash64(text) AS th", "text")
     half = ("CASE WHEN size(w) >= {m} THEN array_distinct(flatten(transform("
             "array(size(w) div 2, (size(w) - 1) div 2), h -> array("
@@ -38,10 +41,8 @@ def dropped_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
             "xxhash64(1, array_join(slice(w, size(w) - h + 1, h), ' ')))))) END").format(m=min_words)
     occ = cut(_lines(base).withColumn("w", F.expr(_WORDS)).selectExpr(
         "doc_id", "th", "pos", "xxhash64(line) AS h1", "hash(line) AS h2", f"{half} AS halves"), "lines")
-    first = occ.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc_id", "th", "pos")).alias("a"), F.count("*").alias("n"))
-    same = occ.drop("halves").join(first.where("n > 1"), ["h1", "h2"]).where(
-        "NOT (struct(doc_id, th, pos) <=> a)").selectExpr("doc_id", "th", "pos", "false AS near")
+    first = occ.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "th", "pos")).alias("a")).selectExpr(
+        "a.*", "false AS near")
 
     keys = occ.where("halves IS NOT NULL").groupBy("h1", "h2", "halves").agg(
         F.min(F.struct("doc_id", "th", "pos")).alias("a")).selectExpr("a", "explode(halves) AS k")
@@ -86,7 +87,7 @@ def dropped_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
         "array_join(slice(w, int(pre) + 1 + int(size(w) >= size(w2)), size(w) + 1), ' ') = "
         "array_join(slice(w2, int(pre) + 1 + int(size(w2) >= size(w)), size(w2) + 1), ' ')")
     gone = verified.select("a.doc_id", "a.th", "a.pos").distinct().withColumn("near", F.lit(True))
-    return same.union(gone)
+    return first.union(gone)
 
 
 def line_dedup(docs: DataFrame, min_words: int = 10) -> DataFrame:
@@ -98,16 +99,19 @@ def line_dedup(docs: DataFrame, min_words: int = 10) -> DataFrame:
     first. Extra columns pass through; columns of the three names are replaced.
     """
     docs = docs.drop("n_lines", "n_equal", "n_near")
-    gone = cut(dropped_lines(docs.select("doc_id", "text"), min_words), "gone") \
+    marks = cut(line_marks(docs.select("doc_id", "text"), min_words), "marks") \
         .groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(
-        F.collect_set(F.expr("CASE WHEN NOT near THEN pos END")).alias("_e"),
+        F.collect_set(F.expr("CASE WHEN NOT near THEN pos END")).alias("_f"),
         F.collect_set(F.expr("CASE WHEN near THEN pos END")).alias("_n"))
-    joined = docs.join(gone, F.expr("doc_id <=> _d AND xxhash64(text) <=> _t"), "left")
-    kept = joined.withColumn("_l", F.expr("split(text, '\\n', -1)"))
+    joined = docs.join(marks, F.expr("doc_id <=> _d AND xxhash64(text) <=> _t"), "left")
+    none = "cast(array() AS array<int>)"
+    kept = joined.withColumn("_l", F.expr("split(text, '\\n', -1)")).withColumn("_e", F.expr(
+        f"array_except(filter(sequence(0, size(_l) - 1), p -> _l[p] RLIKE {_HAS_WORD}), coalesce(_f, {none}))")) \
+        .withColumn("_n", F.expr(f"coalesce(_n, {none})"))
     return kept.withColumn("text", F.expr(
-        "CASE WHEN text IS NULL OR _e IS NULL THEN text ELSE array_join(transform(array_except("
-        "sequence(0, size(_l) - 1), array_union(_e, _n)), p -> _l[p]), '\\n') END")) \
+        "CASE WHEN size(_e) + size(_n) > 0 THEN array_join(transform(array_except("
+        "sequence(0, size(_l) - 1), array_union(_e, _n)), p -> _l[p]), '\\n') ELSE text END")) \
         .withColumn("n_lines", F.expr("CASE WHEN text IS NULL THEN 0 ELSE size(_l) END").cast("long")) \
-        .withColumn("n_equal", F.expr("coalesce(size(_e), 0)").cast("long")) \
-        .withColumn("n_near", F.expr("coalesce(size(_n), 0)").cast("long")) \
+        .withColumn("n_equal", F.expr("CASE WHEN _e IS NULL THEN 0 ELSE size(_e) END").cast("long")) \
+        .withColumn("n_near", F.expr("size(_n)").cast("long")) \
         .select(*docs.columns, "n_lines", "n_equal", "n_near")
