@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.session import checkpoint_path, ship_package
 
@@ -28,3 +29,14 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return df.mapInArrow(fn, schema)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_bytes: int) -> DataFrame:
+    """(doc_id, text, ``label``): of each label 0 and 1 the ``rows`` documents with the smallest
+    hash of doc_id among those with a text of at most ``max_bytes`` bytes. Only ids are joined
+    with the labels; the texts are read for the chosen ids, at most 2 x ``rows``."""
+    ids = docs.where(f"octet_length(text) <= {max_bytes}").select("doc_id").join(
+        labels.select("doc_id", label), "doc_id")
+    chosen = [ids.where(F.col(label) == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for v in (0, 1)]
+    texts = docs.select("doc_id", "text").where(f"octet_length(text) <= {max_bytes}")
+    return cut(texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id"), "sample")

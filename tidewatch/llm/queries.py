@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import (bm25_search, language_id, license_scan, line_dedup, packing, piece_encoding, pii,
                            quality, simhash_dedup, toxicity)
-from tidewatch.llm.common import table
+from tidewatch.llm.common import labelled_sample, table
 from tidewatch.session import ensure_checkpoint_dir
 
 PII_KEY = "pseudonym-key-1"
@@ -25,9 +25,9 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def _labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").where(F.col(label).isNotNull()).select("doc_id", label)
-    return _documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id")
+def _labelled(spark: SparkSession, sf_dir: str, label: str, bounds, where: str = "true") -> DataFrame:
+    return labelled_sample(_documents(spark, sf_dir), table(spark, sf_dir, "labels").where(where), label,
+                           bounds.TRAIN_ROWS, bounds.TRAIN_BYTES)
 
 
 def _held_out(df: DataFrame, m: int, r: int) -> DataFrame:
@@ -63,7 +63,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(_documents(spark, sf_dir), quality.fit(_labelled(spark, sf_dir, "quality")))
+    return quality.quality_rules(_documents(spark, sf_dir), quality.fit(_labelled(spark, sf_dir, "quality", quality)))
 
 
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    learn = _labelled(spark, sf_dir, "toxic").where(f"NOT ({_SPLIT.format(m=3, r=1)})")
+    learn = _labelled(spark, sf_dir, "toxic", toxicity, f"NOT ({_SPLIT.format(m=3, r=1)})")
     return _held_out(toxicity.score_toxicity(_documents(spark, sf_dir), toxicity.fit(learn)), 3, 1).select(
         "doc_id", "held_out", "score", "predicted")
 
