@@ -164,3 +164,44 @@ def test_packing_ids_of_every_latin_character():
     for c in map(chr, range(0x260)):
         for t in (c, f"a {c}{c} b1{c}2 'll{c}", f"  {c}\n{c} x{c}", f"<|endoftext|>{c}", c * 401):
             assert own.encode(t) == np.array([*tok.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes()
+
+
+def test_bpe_file_gives_the_ids_of_the_library(docs):
+    """The unchanged model file, word by word and in chunks cut at word marks."""
+    from sentencepiece import SentencePieceProcessor
+    path = queries.tokenizer("piece_bpe_32k.model")
+    sp = SentencePieceProcessor(model_file=path)
+    texts = ODD + ["straightforward representations", " a", "x ", "the representations of " * 60, "abcdefgh" * 300,
+                   "日本語" * 200, "____...." * 150, " " * 700, "w " * 49, "ab  c   " * 200, "a▁b▁▁c " * 90]
+    enc = piece_encoding.encode_as_model(docs(texts), path, giant=90, chunk=97)
+    got = {r.doc_id: r.ids for r in enc.collect()}
+    assert got == {i: sp.encode(t or "") for i, t in enumerate(texts)}
+    assert len(piece_encoding.merges(path).chunks(texts[-1], 97)) > 4
+    assert piece_encoding.encode_as_model(docs([]), path).count() == 0
+
+
+def test_query_uses_the_type_of_the_file(spark):
+    from sentencepiece import SentencePieceProcessor
+    sf = "/root/testdata/sf0.001"
+    sp = SentencePieceProcessor(model_file=queries.tokenizer("piece_bpe_32k.model"))
+    got = Counter((r.doc_id, r.n_ids, r.ids_crc32) for r in queries.op4_sentencepiece(spark, sf).collect())
+    ids = [(r.doc_id, np.array(sp.encode(r.text or ""), "<u4")) for r in
+           spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert got == Counter((d, len(i), zlib.crc32(i.tobytes())) for d, i in ids)
+
+
+def test_unigram_scores_are_not_rounded(docs, tmp_path):
+    from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2 as pb
+    proto = pb.ModelProto()
+    proto.ParseFromString(open(queries.tokenizer("piece_bpe_32k.model"), "rb").read())
+    proto.trainer_spec.model_type = 1
+    for i, p in enumerate(proto.pieces):
+        p.score = -0.02 - (i * 7 % 97) / 250
+    path = str(tmp_path / "unigram.model")
+    open(path, "wb").write(proto.SerializeToString())
+    sp = SentencePieceProcessor(model_file=path)
+    texts = ["Hello world, this is a test.", "straightforward representations", "Über die Straße"] * 2
+    got = {r.doc_id: r.ids for r in piece_encoding.encode_as_model(docs(texts), path).collect()}
+    for i, t in enumerate(texts):
+        score = lambda ids: sum(sp.get_score(j) for j in ids)
+        assert abs(score(got[i]) - score(sp.encode(t))) < 1e-4

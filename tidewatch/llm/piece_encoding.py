@@ -1,16 +1,21 @@
-"""SentencePiece encoding and decoding by a max-plus scan.
+"""SentencePiece encoding and decoding, by the model file's own type.
 
-The model's pieces and scores are read as a lattice: a text's encoding is the segmentation
-with the largest total score (the unigram reading; ties go to the longest last piece), a
-character without a piece is encoded as its bytes. Ordinary texts are solved word by word
-with a memory of solved words: no piece holds a word mark behind another character.
+BPE files (``encode_as_model``): merges never cross a word mark, as no piece holds a mark
+behind another character, so texts are merged word by word by the sentencepiece library, with
+a memory of merged words, and giant texts are cut before word marks into chunks for separate
+tasks. A giant text without marks stays one chunk.
+
+Unigram files (``encode``, which reads any file's pieces and scores as a lattice): the
+segmentation with the largest total score (ties go to the longest last piece), a character
+without a piece is encoded as its bytes. Ordinary texts are solved word by word, too.
 
 A giant text is cut into chunks of characters. State j at a border means that the last cut
 lies j characters before it. A chunk's transfer matrix holds the best score from each entry
 state to each exit state; the matrices combine associatively in the max-plus semiring, which
 gives the best score of every state at every border. With these, each chunk finds the entry
 state that each exit state leads back to; composing those maps from the right fixes all
-borders, and every chunk is traced back on its own. Scores are whole numbers, so sums are exact.
+borders, and every chunk is traced back on its own. Scores are those of the file, of 32 bits:
+their sums in 64 bits are exact up to about 2^29, so the order of adding does not matter.
 """
 
 from __future__ import annotations
@@ -29,7 +34,9 @@ from tidewatch.llm.common import cut, map_arrow
 MARK = "▁"
 GIANT, CHUNK = 100_000, 32_768  # characters: texts above GIANT are chunked
 NO = float("-inf")
+BPE, UNIGRAM = 2, 1  # model types of the file format
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
+_BORDER = re.compile(f"(?<!{MARK}){MARK}")
 
 
 class Pieces:
@@ -43,7 +50,7 @@ class Pieces:
         self.text = [sp.id_to_piece(i) for i in range(n)]
         self.kind = [2 if sp.is_byte(i) else 1 if sp.is_control(i) or sp.is_unknown(i) else 0 for i in range(n)]
         plain = [i for i in range(n) if not self.kind[i]]
-        self.score = {self.text[i]: (float(round(sp.get_score(i))), i) for i in plain}
+        self.score = {self.text[i]: (sp.get_score(i), i) for i in plain}
         self.byte = {int(self.text[i][1:-1], 16): i for i in range(n) if self.kind[i] == 2}
         self.longest = max(map(len, self.score))
         self.unknown = min(s for s, _ in self.score.values()) - 10
@@ -119,6 +126,10 @@ class Pieces:
                 out += self.ids(piece)[::-1]
         return out[::-1]
 
+    def word(self, w: str) -> list[int]:
+        """The ids of a word mark and ``w``."""
+        return self.solve(MARK + w)
+
     def encode(self, text: str | None) -> bytes:
         """The ids as 32-bit integers in the machine's order."""
         if not text:
@@ -133,7 +144,7 @@ class Pieces:
         else:
             words = text.split(" ")
         for w in {w for w in words if w not in self.known}:
-            self.known[w] = array("i", self.solve(MARK + w)).tobytes()
+            self.known[w] = array("i", self.word(w)).tobytes()
         return b"".join(map(self.known.__getitem__, words))
 
     def decode(self, ids) -> str:
@@ -156,6 +167,55 @@ class Pieces:
         return out
 
 
+class Merges(Pieces):
+    """The pieces of a BPE model file, applied by the library."""
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        super().__init__(path)
+        self.library = SentencePieceProcessor(model_file=path)
+        spec = _proto(path).normalizer_spec
+        if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not (
+                spec.add_dummy_prefix and spec.escape_whitespaces):
+            raise ValueError("only models that leave texts as they are, behind one word mark")
+
+    def word(self, w: str) -> list[int]:
+        return self.library.encode(w) if w else self.ids(MARK)
+
+    def encode(self, text: str | None) -> bytes:
+        if self.by_word or not text:
+            return super().encode(text)
+        return array("i", self.library.encode(text)).tobytes()
+
+    def chunks(self, text: str, chunk: int) -> list[str]:
+        """Pieces of ``text`` of ``chunk`` characters or more, cut before word marks: each
+        without its first mark; the ids of the text are theirs in turn."""
+        if not self.by_word:
+            return [text]
+        t, at, out = MARK + text.replace(" ", MARK), 0, []
+        while hit := _BORDER.search(t, at + chunk):
+            if hit.start() == len(t) - 1:  # a mark alone would be an empty text
+                break
+            out.append(t[at + 1:hit.start()])
+            at = hit.start()
+        return [*out, t[at + 1:]]
+
+
+def _proto(path: str):
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto()
+    with open(path, "rb") as f:
+        proto.ParseFromString(f.read())
+    return proto
+
+
+@lru_cache(maxsize=2)
+def merges(path: str) -> Merges:
+    return Merges(path)
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     """One per Python worker, so that its tasks share the solved words."""
@@ -173,24 +233,67 @@ def _chunks(docs: DataFrame, width: int, giant: int, chunk: int) -> DataFrame:
         f"no = {size.replace('text', 't').replace(' + 1', '')} - 1 AS last")
 
 
+def _whole(docs: DataFrame, make, model_path: str) -> DataFrame:
+    """``docs`` with its last column, ``text``, replaced by ``ids``, a text at a time."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        p = make(model_path)
+        for b in batches:
+            ids = [p.encode(t) for t in b.column(b.num_columns - 1).to_pylist()]
+            ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))], [*b.schema.names[:-1], "ids"])
+
+    kept = ", ".join(f"{n} {t}" for n, t in docs.dtypes[:-1])
+    return map_arrow(docs, run, f"{kept}, ids array<int>")
+
+
+def _joined(docs: DataFrame, done: DataFrame, giant: int) -> DataFrame:
+    """doc_id, ids of the giant texts, from their chunks' (doc, no, ids)."""
+    solved = done.groupBy("doc").agg(F.expr(
+        "flatten(transform(array_sort(collect_list(struct(no, ids))), x -> x.ids)) AS ids"))
+    return docs.where(f"length(text) > {giant}").selectExpr("doc_id", "xxhash64(doc_id, text) AS doc") \
+        .join(solved, "doc").select("doc_id", "ids")
+
+
+def encode_as_model(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, ids of (doc_id, text) as the sentencepiece library gives them for the file:
+    BPE merges or the unigram lattice. Nulls, repeated rows, extra columns: as in ``encode``."""
+    kind = _proto(model_path).trainer_spec.model_type
+    if kind == UNIGRAM:
+        return encode(docs, model_path, giant, chunk)
+    if kind != BPE:
+        raise ValueError("a BPE or a unigram model")
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+
+    def split(batches):
+        import pyarrow as pa
+
+        p = merges(model_path)
+        for b in batches:
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
+                for no, s in enumerate(p.chunks(text.as_py(), chunk)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([doc], pa.int64()), pa.array([no], pa.int32()), pa.array([s], pa.string())],
+                        ["doc", "no", "text"])
+
+    small = _whole(docs.where(f"text IS NULL OR length(text) <= {giant}"), merges, model_path)
+    parts = map_arrow(docs.where(f"length(text) > {giant}").selectExpr("xxhash64(doc_id, text) AS doc", "text"),
+                      split, "doc long, no int, text string").dropDuplicates(["doc", "no"])
+    return small.union(_joined(docs, _whole(parts, merges, model_path), giant))
+
+
 def encode(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, ids of (doc_id, text). Null and empty texts have no ids; a null doc_id stays;
+    """doc_id, ids of (doc_id, text), the file's pieces and scores read as a unigram lattice
+    whatever its type (see ``encode_as_model``). Null and empty texts have no ids; a null doc_id stays;
     repeated rows get a row each; an empty table gives no rows; extra columns are ignored."""
     width = Pieces(model_path).longest
     if chunk < 2 * width or giant < chunk:
         raise ValueError("a chunk holds two pieces at least, a giant text a chunk")
     docs = docs.select(F.col("doc_id").cast("long"), "text")
 
-    def whole(batches):
-        import pyarrow as pa
-
-        p = pieces(model_path)
-        for b in batches:
-            ids = [p.encode(t) for t in b.column(1).to_pylist()]
-            ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(
-                pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))], ["doc_id", "ids"])
-
     def transfer(batches):
         import pyarrow as pa
 
@@ -252,7 +355,7 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CH
                     [pa.array([row["doc"]], pa.int64()), pa.array([row["no"]], pa.int32()),
                      pa.array([ids], pa.list_(pa.int32()))], ["doc", "no", "ids"])
 
-    small = map_arrow(docs.where(f"text IS NULL OR length(text) <= {giant}"), whole, "doc_id long, ids array<int>")
+    small = _whole(docs.where(f"text IS NULL OR length(text) <= {giant}"), pieces, model_path)
     parts = cut(_chunks(docs, width, giant, chunk).repartition("doc", "no"), "chunks")
     # a text's summaries are bounded: a row holds 2 GB at most, a matrix stands for a chunk
     entry = cut(map_arrow(parts.select("doc", "no", "first", "s"), transfer, "doc long, no int, m array<double>")
@@ -261,11 +364,7 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CH
     exits = map_arrow(ready, lead, "doc long, no int, to array<int>").groupBy("doc").applyInPandas(
         settle, "doc long, no int, exit int")
     done = map_arrow(ready.join(exits, ["doc", "no"]), final, "doc long, no int, ids array<int>")
-    solved = done.groupBy("doc").agg(F.expr(
-        "flatten(transform(array_sort(collect_list(struct(no, ids))), x -> x.ids)) AS ids"))
-    large = docs.where(f"length(text) > {giant}").selectExpr("doc_id", "xxhash64(doc_id, text) AS doc") \
-        .join(solved, "doc").select("doc_id", "ids")
-    return small.union(large)
+    return small.union(_joined(docs, done, giant))
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:

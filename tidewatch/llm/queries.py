@@ -54,7 +54,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("piece_bpe_32k.model")
-    return piece_encoding.digest(piece_encoding.encode(_documents(spark, sf_dir), path), path)
+    return piece_encoding.digest(piece_encoding.encode_as_model(_documents(spark, sf_dir), path), path)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
