@@ -33,7 +33,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values are replaced; texts keep their lengths."""
-    return pii.pseudonymise(docs, queries.PII_KEY).select(*docs.columns)
+    return pii.pseudonymise(docs, queries.PII_KEY, luhn=True).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -205,3 +205,23 @@ def test_unigram_scores_are_not_rounded(docs, tmp_path):
     for i, t in enumerate(texts):
         score = lambda ids: sum(sp.get_score(j) for j in ids)
         assert abs(score(got[i]) - score(sp.encode(t))) < 1e-4
+
+
+def test_numbers_without_a_luhn_check_stay(docs):
+    bad = "4111 1111 1111 1112 4111111111111112 1704067200000 1234-5678-9012-3456"
+    good = "4111111111111111 x 2024 4111 1111 1111 1111 and 5500 0000 0000 0004 4111-1111-1111-1111 7"
+    rows = pii.pseudonymise(docs([bad, good, None]), "k", luhn=True).orderBy("doc_id").collect()
+    assert rows[0].text == bad and {p.kind for p in rows[0].pii} == {None} and rows[2].text is None
+    own = [p.value for p in rows[1].pii]
+    assert [p.kind for p in rows[1].pii] == ["card"] * 4 and own[0] == own[1].replace(" ", "")
+    assert rows[1].text == f"{own[0]} x 2024 {own[1]} and {own[2]} {own[3]} 7" and own[0] != "4111111111111111"
+    assert own[3].replace("-", "") == own[0] and own[2] != "5500 0000 0000 0004"
+
+
+def test_query_and_pipeline_validate_numbers(spark, docs, tmp_path):
+    import corpus_pipeline
+    df = docs(["id 4111111111111112 and 4111111111111111"])
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    row = queries.op5_pii(spark, str(tmp_path)).first()
+    assert row.n_pii == 1 and "id 4111111111111112 and" in row.text
+    assert corpus_pipeline.pseudonymise(spark, df, str(tmp_path)).first().text == row.text

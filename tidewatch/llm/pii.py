@@ -1,6 +1,7 @@
 """Format-preserving pseudonyms by a keyed Feistel network, in DataFrame operations only.
 
-Found and permuted: card-like numbers (13 to 19 digits), phone numbers, IPv4 addresses
+Found and permuted: card numbers (13 to 19 digits, or groups of four; with ``luhn`` only
+where the Luhn check holds, and every four groups of a longer row are tried), phone numbers, IPv4 addresses
 (octets checked), calendar dates (checked against the calendar), the local parts of e-mail
 addresses and hexadecimal secrets of 32 or more digits. A value is permuted within its own
 format: digits stay digits, a number keeps its length and whether its Luhn check holds, an
@@ -28,6 +29,8 @@ PATTERNS = {
     "secret": _L + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})" + _R,
 }
 ANY = "|".join(PATTERNS.values())
+#: rows of four or more groups are one match where each four of them are checked
+_ROWS = {**PATTERNS, "card": PATTERNS["card"].replace("){3}", "){3,}")}
 
 
 def _lit(s: str) -> str:
@@ -120,6 +123,31 @@ def _kind(m: str) -> str:
             f"WHEN {m} RLIKE {whole['card']} THEN 'card' ELSE 'secret' END")
 
 
+def _valid(d: str) -> str:
+    return f"int(right({d}, 1)) = {_luhn(f'substr({d}, 1, length({d}) - 1)')}"
+
+
+def _parts(m: str) -> str:
+    """struct<v, kind> of the match ``m`` in turn: one, or of a row of groups the cards and
+    what stands between them. Numbers without a valid Luhn check have no kind."""
+    card = f"element_at(transform(array(regexp_replace({{v}}, '[^0-9]', '')), d -> {_valid('d')}), 1)"
+    four = f"substr({m}, 5 * i + 1, 19)"
+    row = (f"aggregate(sequence(0, (length({m}) - 4) div 5), "
+           "struct(cast(array() AS array<struct<v: string, kind: string>>) AS o, 0 AS skip), (z, i) -> CASE "
+           "WHEN z.skip > 0 THEN struct(z.o AS o, z.skip - 1 AS skip) "
+           f"WHEN length({four}) = 19 AND {card.format(v=four)} THEN struct(concat(z.o, array("
+           f"struct(substr({m}, 5 * i, int(i > 0)) AS v, cast(null AS string) AS kind), "
+           f"struct({four} AS v, 'card' AS kind))) AS o, 3 AS skip) "
+           f"ELSE struct(concat(z.o, array(struct(substr({m}, 5 * i + int(i = 0), 4 + int(i > 0)) AS v, "
+           "cast(null AS string) AS kind))) AS o, 0 AS skip) END, z -> z.o)")
+    one = f"array(struct({m} AS v, {{kind}} AS kind))"
+    none = one.format(kind="cast(null AS string)")
+    return (f"CASE WHEN {m} RLIKE '^[0-9]{{4}}([ -][0-9]{{4}}){{3,}}$' THEN element_at(transform(array({row}), r -> "
+            f"CASE WHEN exists(r, x -> x.kind IS NOT NULL) THEN r ELSE {none} END), 1) "
+            f"WHEN {m} RLIKE '^[0-9]{{13,19}}$' AND NOT {card.format(v=m)} THEN {none} "
+            f"ELSE {one.format(kind=_kind(m))} END")
+
+
 def _replace(h: str, key: str) -> str:
     v = f"{h}.v"
     local = f"regexp_extract({v}, '^([^@]+)@', 1)"
@@ -134,16 +162,19 @@ def _replace(h: str, key: str) -> str:
             f"WHEN 'card' THEN {_card(v, key)} WHEN 'secret' THEN {_chars(v, key)} ELSE {v} END")
 
 
-def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, luhn: bool = False) -> DataFrame:
     """All columns of ``docs`` with the values in ``text`` replaced, plus ``pii`` (array of
     struct<kind, value>: the pseudonyms in order; kind null: looked like one, not valid,
-    left alone). Null text stays null with an empty array; extra columns pass through, a
-    column named ``pii`` is replaced."""
+    left alone). ``luhn``: numbers are cards only where the check holds. Null text stays null
+    with an empty array; extra columns pass through, a column named ``pii`` is replaced."""
+    any_ = _lit("|".join(_ROWS.values()) if luhn else ANY)
+    parts = _parts("m") if luhn else f"array(struct(m AS v, {_kind('m')} AS kind))"
     found = docs.drop("pii").withColumn("_h", F.expr(
-        f"transform(regexp_extract_all(coalesce(text, ''), {_lit(ANY)}, 0), m -> struct(m AS v, {_kind('m')} AS kind))"))
-    moved = found.withColumn("pii", F.expr(
-        f"transform(_h, h -> struct(h.kind AS kind, {_replace('h', _lit(key))} AS value))"))
-    return moved.withColumn("text", F.expr(
-        f"CASE WHEN size(pii) = 0 THEN text ELSE array_join(flatten(zip_with(split(text, {_lit(ANY)}, -1), pii, "
-        f"(s, p) -> CASE WHEN p IS NULL THEN array(s) ELSE array(s, p.value) END)), '') END")).drop("_h") \
-        .select(*[c for c in docs.columns if c != "pii"], "pii")
+        f"transform(regexp_extract_all(coalesce(text, ''), {any_}, 0), m -> {parts})"))
+    moved = found.withColumn("_p", F.expr(
+        f"transform(_h, g -> transform(g, h -> struct(h.kind AS kind, {_replace('h', _lit(key))} AS value)))"))
+    return moved.withColumn("pii", F.expr(
+        "flatten(transform(_p, g -> filter(g, p -> size(g) = 1 OR p.kind IS NOT NULL)))")).withColumn("text", F.expr(
+        f"CASE WHEN size(_p) = 0 THEN text ELSE array_join(flatten(zip_with(split(text, {any_}, -1), _p, "
+        f"(s, g) -> CASE WHEN g IS NULL THEN array(s) ELSE concat(array(s), transform(g, p -> p.value)) END)), '') END")) \
+        .drop("_h", "_p").select(*[c for c in docs.columns if c != "pii"], "pii")

@@ -58,7 +58,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.pseudonymise(_documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+    out = pii.pseudonymise(_documents(spark, sf_dir).select("doc_id", "text"), PII_KEY, luhn=True)
     return out.selectExpr("doc_id", "text", "cast(size(filter(pii, p -> p.kind IS NOT NULL)) AS bigint) AS n_pii")
 
 
