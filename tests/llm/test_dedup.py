@@ -105,3 +105,14 @@ def test_near_dedup_edges(docs):
     assert sorted((r.doc_id is None, r.doc_id) for r in out if r.doc_id is not None) == [
         (False, 3), (False, 6), (False, 7), (False, 8)]
     assert simhash_dedup.near_dedup(docs([])).count() == 0
+
+
+def test_near_dedup_keeps_rows_not_ids(docs):
+    def text(seed):
+        rng = random.Random(seed)
+        return " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60))
+    a, b, c, d, e = map(text, range(5))
+    # two texts under id 8, of which a is a copy of 7's; three different texts without an id
+    rows = [(7, a), (8, a), (8, b), (None, c), (None, d), (None, d), (None, e), (3, e), (9, b)]
+    out = simhash_dedup.near_dedup(docs([t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted([(7, a), (8, b), (0, c), (0, d), (3, e)])

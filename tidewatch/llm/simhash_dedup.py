@@ -45,18 +45,19 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """All columns of ``docs`` but its last, ``text``, and fp (the 64 bits as a signed long)."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for b in batches:
-            fp = np.array([fingerprint(t, width) for t in b.column(1).to_pylist()], dtype=np.uint64)
+            fp = np.array([fingerprint(t, width) for t in b.column(b.num_columns - 1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(fp.view(np.int64), pa.int64())], ["doc_id", "fp"])
+                [*b.columns[:-1], pa.array(fp.view(np.int64), pa.int64())], [*b.schema.names[:-1], "fp"])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, fp long")
+    kept = ", ".join(f"{n} {t}" for n, t in docs.dtypes[:-1])
+    return map_arrow(docs, run, f"{kept}, fp long")
 
 
 _LOW = "6148914691236517205L"  # 0x5555555555555555
@@ -83,6 +84,16 @@ def links(distinct_fp: DataFrame, max_bits: int = 3) -> DataFrame:
         f"AND bit_count(fp ^ fp2) <= {max_bits}").selectExpr("fp AS u", "fp2 AS v")
 
 
+def _named(docs: DataFrame, width: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of ``docs``, and fp, first_id, root of the distinct ones (``root``: the
+    fingerprint that stands for the component)."""
+    fps = cut(fingerprints(docs, width), "fp")
+    least = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fpset")
+    roots = components(links(least.select("fp"), max_bits))
+    return fps, least.join(roots, least.fp == roots.node, "left").selectExpr(
+        "fp", "first_id", "coalesce(root, fp) AS root")
+
+
 def simhash_components(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable over links).
 
@@ -91,19 +102,21 @@ def simhash_components(docs: DataFrame, width: int = 3, max_bits: int = 3) -> Da
     unless it holds no other id (then null). Extra columns are ignored; an empty table
     gives no rows.
     """
-    fps = cut(fingerprints(docs, width), "fp")
-    least = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fpset")
-    roots = components(links(least.select("fp"), max_bits))
-    named = least.join(roots, least.fp == roots.node, "left").selectExpr(
-        "fp", "first_id", "coalesce(root, fp) AS root")
+    fps, named = _named(docs.select(F.col("doc_id").cast("long"), "text"), width, max_bits)
     named = named.join(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "root")
     return fps.join(named.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def near_dedup(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
-    """Keep one document of every component: that with the smallest id (all columns kept;
-    of repeated rows with that id one stays; null ids count as one document)."""
-    keep = simhash_components(docs, width, max_bits).where(
-        "doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(
-        keep, docs["doc_id"].eqNullSafe(keep["_keep"]), "left_semi")
+    """Keep one row of every component, all columns: the least by (doc_id, hash of the text,
+    hash of the row), a null doc_id last. Rows of other components stay, whatever their ids:
+    several rows may share an id or have none. Of rows equal in every column one stays."""
+    plain = ", ".join(f"`{c}`" for c, t in docs.dtypes if "map<" not in t and "variant" not in t)
+    hashes = "xxhash64(text) AS _th", f"xxhash64({plain}) AS _rh"
+    fps, named = _named(docs.selectExpr("cast(doc_id AS long) AS doc_id", *hashes, "text"), width, max_bits)
+    keep = fps.join(named.select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct(
+        F.expr("doc_id IS NULL AS n"), "doc_id", "_th", "_rh")).alias("k")).selectExpr(
+        "k.doc_id AS _id", "k._th AS _t", "k._rh AS _r")
+    rows = docs.selectExpr("*", *hashes).join(
+        keep, F.expr("doc_id <=> _id AND _th = _t AND _rh = _r"), "left_semi")
+    return rows.dropDuplicates(["doc_id", "_th", "_rh"]).select(*docs.columns)
