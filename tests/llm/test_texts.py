@@ -225,3 +225,19 @@ def test_query_and_pipeline_validate_numbers(spark, docs, tmp_path):
     row = queries.op5_pii(spark, str(tmp_path)).first()
     assert row.n_pii == 1 and "id 4111111111111112 and" in row.text
     assert corpus_pipeline.pseudonymise(spark, df, str(tmp_path)).first().text == row.text
+
+
+def test_search_of_the_query_takes_every_twentieth_row(spark, monkeypatch):
+    monkeypatch.setattr(bm25_search, "SHARD", 60)
+    monkeypatch.setattr(bm25_search, "QUERY_BLOCK", 3)
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    got = defaultdict(list)
+    for r in queries.op7_topk_search(spark, sf).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.doc_id, r.score))
+    asked = [r for r in rows if r.doc_id % 20 == 0 and bm25_search.terms(r.text)]
+    assert {q for q in got if q >= 0} == {r.doc_id for r in asked} and len(asked) > 5
+    for r in asked[:4]:
+        want = _bm25([x.text for x in rows], r.text, 10)
+        assert [d for d, _ in got[r.doc_id]] == [rows[i].doc_id for i, _ in want]
+        assert np.allclose([s for _, s in got[r.doc_id]], [s for _, s in want])
