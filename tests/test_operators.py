@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests_helpers import SF_SMALL
 from tidewatch.operators.notify import build_notifications
 from tidewatch.operators.outliers import flag_outliers
 from tidewatch.operators.parse import parse_readings, quarantine

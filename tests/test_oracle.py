@@ -4,7 +4,7 @@ runs the same comparison at sf0.01)."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from tests_helpers import SF_SMALL
 from oracle_check import digest, duck
 
 NAMES = sorted(E.oracle_sql())

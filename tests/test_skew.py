@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from tests_helpers import SF_MID
 from tidewatch.operators.outliers import flag_outliers
 from tidewatch.operators.stuck import flag_stuck_values
 from tidewatch.operators.thresholds import detect_anomalies

@@ -8,7 +8,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests_helpers import SF_SMALL
 from tidewatch.operators.thresholds import detect_anomalies
 from tidewatch.plans.pipeline import clean_readings
 from tidewatch.schema import READING
