@@ -8,6 +8,9 @@ each distinct chunk once, with the number of its parses. Phrases are counted ins
 distinct chunks, times that number, and only where they start before the overlap: each
 occurrence belongs to exactly one chunk.
 
+A first count, of hashed pairs alone, leaves a filter of bounded size: longer phrases and
+pairs are written out only where every pair in them may be frequent.
+
 Counting is pre-aggregated in the tasks and summed by Spark; no chunk, word or language is
 gathered in one task but for its sums.
 """
@@ -24,8 +27,8 @@ from pyspark.sql import Window as W
 
 from tidewatch.llm.common import cut, map_arrow
 
-PERIOD, LONGEST = 6, 48  # a trigger among so many words; words of a chunk at most
-LEAST, WORDS, TOP, SALTS = 10, 3, 2000, 64
+PERIOD, LONGEST = 16, 96  # a trigger among so many words; words of a chunk at most
+LEAST, WORDS, TOP, SALTS, FILTER_BITS = 10, 3, 2000, 64, 27
 _FLUSH, _GATHER = 1 << 17, 1 << 19  # dictionary entries, and words, held by a task
 #: The marks that end a piece, and what separates words.
 _MARKS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -105,62 +108,116 @@ def _added(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return order[lo], np.add.reduceat(weight[order], lo) if len(lo) else weight[:0], number
 
 
-def count_phrases(lang, tail, chunk, freq, words: int = WORDS):
-    """Per phrase length (lang, length, phrase, count) of distinct chunks, Arrow columns in and
-    out; length 0 holds the number of words."""
+class _Words:
+    """The words of distinct chunks (Arrow columns) as numbers: ``code`` into ``vocab``, ``of``
+    into ``names`` (languages), with each word's place, the end of its chunk, its weight and
+    whether its chunk owns it."""
+
+    def __init__(self, lang, tail, chunk, freq):
+        import pyarrow.compute as pc
+
+        split = pc.split_pattern(chunk, " ")
+        flat, langs = split.flatten().dictionary_encode(), lang.dictionary_encode()
+        size = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(size)), size)
+        self.code, self.vocab = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary
+        self.of, self.names = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row], langs.dictionary
+        self.end, self.at = np.cumsum(size)[row], np.arange(len(row))
+        self.owned = self.at < self.end - tail.to_numpy(zero_copy_only=False)[row]
+        self.weight = freq.to_numpy(zero_copy_only=False)[row]
+
+    def pairs(self) -> np.ndarray:
+        """Hash of the language, the word and the next word, at every place that has one."""
+        from xxhash import xxh64_intdigest
+
+        word = np.array([xxh64_intdigest(w) for w in self.vocab.cast("binary").to_pylist()], dtype=np.uint64)
+        name = np.array([xxh64_intdigest(w) for w in self.names.cast("binary").to_pylist()], dtype=np.uint64)
+        h = word[self.code]
+        h = h * np.uint64(0x9E3779B97F4A7C15) ^ np.r_[h[1:], h[:1]] ^ name[self.of]
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return h ^ (h >> np.uint64(29))
+
+
+def _gathered(batches, work):
+    """``work`` on the columns of many small batches put together."""
     import pyarrow as pa
-    import pyarrow.compute as pc
-
-    split = pc.split_pattern(chunk, " ")
-    flat = split.flatten().dictionary_encode()
-    size = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-    code, vocab = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary
-    names = lang.dictionary_encode()
-    row = np.repeat(np.arange(len(size)), size)
-    end = np.cumsum(size)[row]
-    at = np.arange(len(code))
-    owned = at < end - tail.to_numpy(zero_copy_only=False)[row]
-    of = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
-    weight = freq.to_numpy(zero_copy_only=False)[row]
-    total = np.zeros(len(names.dictionary), dtype=np.int64)
-    np.add.at(total, of[owned], weight[owned])
-    yield names.dictionary, 0, pa.nulls(len(total), pa.string()), total
-    prefix, v = of, len(vocab)  # number of (lang, words so far) at every place
-    for n in range(1, words + 1):
-        ok = np.flatnonzero(owned & (at + n <= end))
-        first, count, number = _added(prefix[ok] * v + code[ok + n - 1], weight[ok])
-        prefix = np.zeros(len(code), dtype=np.int64)
-        prefix[ok] = number
-        begin = ok[first]
-        phrase = pc.binary_join_element_wise(*[vocab.take(pa.array(code[begin + i])) for i in range(n)], " ")
-        yield names.dictionary.take(pa.array(of[begin])), n, phrase, count
 
+    held, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += b.column(2).nbytes // 8
+        if size >= _GATHER:
+            yield from work(_Words(*(c.chunk(0) for c in pa.Table.from_batches(held).combine_chunks().columns)))
+            held, size = [], 0
+    if held:
+        yield from work(_Words(*(c.chunk(0) for c in pa.Table.from_batches(held).combine_chunks().columns)))
 
-def phrase_counts(chunks: DataFrame, least: int = LEAST, words: int = WORDS) -> DataFrame:
-    """lang, length, phrase, f: the phrases that occur ``least`` times or more, and with length
-    0 the number of words of the language."""
+
+def frequent_pairs(chunks: DataFrame, least: int = LEAST) -> np.ndarray:
+    """Bits of a filter that holds the hash of every pair of words which occurs ``least`` times or
+    more. It has 64 bits a pair but at most 2 ** ``FILTER_BITS``: what reaches the driver is
+    bounded, and a fuller filter lets more through but never loses a pair."""
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["lang", "length", "phrase", "f"]
+        def work(w: _Words):
+            ok = np.flatnonzero(w.owned & (w.at + 2 <= w.end))
+            h = w.pairs()[ok]
+            first, count, _ = _added(h, w.weight[ok])
+            yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(count)], ["h", "f"])
 
-        def take(held):
-            t = pa.Table.from_batches(held).combine_chunks()
-            for lang, n, phrase, count in count_phrases(*(c.chunk(0) for c in t.columns), words=words):
-                yield pa.RecordBatch.from_arrays([
-                    lang, pa.array(np.full(len(count), n), pa.int32()), phrase, pa.array(count, pa.int64())], names)
+        return _gathered(batches, work)
 
-        held, size = [], 0
-        for b in batches:
-            if b.num_rows:
-                held.append(b)
-                size += b.column(2).nbytes // 8
-            if size >= _GATHER:
-                yield from take(held)
-                held, size = [], 0
-        if held:
-            yield from take(held)
+    often = cut(map_arrow(chunks.select("lang", "tail", "chunk", "freq"), run, "h long, f long").groupBy("h").agg(
+        F.sum("f").alias("f")).where(f"f >= {least}").select("h"), "pairs")
+    width = min(FILTER_BITS, max(16, (64 * often.count()).bit_length()))
+    bits = np.zeros(1 << (width - 6), dtype=np.int64)
+    set_bits = often.selectExpr(f"shiftrightunsigned(h, {64 - width}) AS p").selectExpr(
+        "shiftright(p, 6) AS at", "shiftleft(1L, cast(p & 63 AS int)) AS b").groupBy("at").agg(F.expr("bit_or(b)").alias("b"))
+    found = set_bits.toPandas()  # at most as many rows as the filter has words
+    bits[found["at"].to_numpy(dtype=np.int64)] = found["b"].to_numpy(dtype=np.int64)
+    return bits
+
+
+def _holds(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    p = h >> np.uint64(64 - (len(bits).bit_length() + 5))
+    return (bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)).astype(np.int64)) & 1 == 1
+
+
+def phrase_counts(chunks: DataFrame, least: int = LEAST, words: int = WORDS) -> DataFrame:
+    """lang, length, phrase, f: the phrases that occur ``least`` times or more, and with length
+    0 the number of words of the language. Phrases are told apart only where every pair of
+    neighbours may occur so often itself."""
+    shared = chunks.sparkSession.sparkContext.broadcast(frequent_pairs(chunks, least))
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def work(w: _Words):
+            def batch(lang, n, phrase, count):
+                return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(count), n), pa.int32()), phrase,
+                                                   pa.array(count, pa.int64())], ["lang", "length", "phrase", "f"])
+
+            total = np.zeros(len(w.names), dtype=np.int64)
+            np.add.at(total, w.of[w.owned], w.weight[w.owned])
+            yield batch(w.names, 0, pa.nulls(len(total), pa.string()), total)
+            often = _holds(shared.value, w.pairs())
+            prefix, keep = w.of, w.owned
+            for n in range(1, words + 1):
+                if n > 1:
+                    keep = keep & np.roll(often, 2 - n)  # the pair that the n-th word closes
+                ok = np.flatnonzero(keep & (w.at + n <= w.end))
+                first, count, number = _added(prefix[ok] * len(w.vocab) + w.code[(ok + n - 1)], w.weight[ok])
+                prefix = np.zeros(len(w.code), dtype=np.int64)
+                prefix[ok] = number  # number of (language, words so far)
+                begin = ok[first]
+                phrase = pc.binary_join_element_wise(*[w.vocab.take(pa.array(w.code[begin + i])) for i in range(n)], " ")
+                yield batch(w.names.take(pa.array(w.of[begin])), n, phrase, count)
+
+        return _gathered(batches, work)
 
     counted = map_arrow(chunks.select("lang", "tail", "chunk", "freq"), run,
                         "lang string, length int, phrase string, f long")
@@ -176,7 +233,7 @@ def collocations(docs: DataFrame, least: int = LEAST, words: int = WORDS, top: i
     cut counts. A phrase goes if a longer one that holds it has at least half its count. Null
     texts count as empty, null languages as ``und``; empty texts and tables give no rows;
     repeated rows count each; doc_id and extra columns are not read."""
-    counts = cut(phrase_counts(dictionary(docs, words), least, words), "phrases")
+    counts = cut(phrase_counts(cut(dictionary(docs, words), "chunks"), least, words), "phrases")
     part = counts.where("length > 0").select("lang", "phrase", "f")
     many = counts.where("length > 1").selectExpr("lang", "length", "phrase", "f AS a", "split(phrase, ' ') AS w")
     cuts = many.selectExpr("lang", "length", "phrase", "a", "w", "explode(sequence(1, length - 1)) AS k").selectExpr(
