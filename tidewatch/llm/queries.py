@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (bm25_search, collocations, language_id, license_scan, line_dedup, packing, piece_encoding, pii,
-                           quality, simhash_dedup, toxicity, whitening)
+                           quality, simhash_dedup, suffix_dedup, toxicity, whitening)
 from tidewatch.llm.common import labelled_sample, table
 from tidewatch.session import ensure_checkpoint_dir
 
@@ -94,6 +94,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_documents(spark, sf_dir))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -102,4 +106,4 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_packing, op3_language_id, op4_sentencepiece, op5_pii, op6_quality, op7_topk_search,
     op8_simhash, op9_license_scan, op10_toxicity, op11_collocations,
-    op13_whitening)}
+    op12_suffix_dedup, op13_whitening)}
