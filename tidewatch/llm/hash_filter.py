@@ -10,15 +10,15 @@ FILTER_BITS = 27
 
 
 def hash_filter(hashes: DataFrame, most: int = FILTER_BITS) -> np.ndarray:
-    """The bits of a filter that holds every value of the long column ``h``: 64 bits a value,
+    """The bits of a filter that holds every value of the long column ``h``: 16 bits a value,
     but at most 2 ** ``most`` bits in all, which also bounds what reaches the driver. A fuller
     filter lets more through and never loses a value."""
-    width = min(most, max(16, (64 * hashes.count()).bit_length()))
+    width = min(most, max(16, (16 * hashes.count()).bit_length()))
     words = hashes.selectExpr(f"shiftrightunsigned(h, {64 - width}) AS p").selectExpr(
         "shiftright(p, 6) AS at", "shiftleft(1L, cast(p & 63 AS int)) AS b").groupBy("at").agg(F.expr("bit_or(b)").alias("b"))
-    found = words.toPandas()
+    found = words.toArrow()  # packed columns: no row objects on the driver
     bits = np.zeros(1 << (width - 6), dtype=np.int64)
-    bits[found["at"].to_numpy(dtype=np.int64)] = found["b"].to_numpy(dtype=np.int64)
+    bits[found["at"].to_numpy()] = found["b"].to_numpy()
     return bits
 
 
