@@ -311,7 +311,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step:
     found = verdicts.where("col IS NULL").select(*identity, "mask").union(
         windows.join(across, ["key", "col", "digest"], "left_semi").selectExpr(*identity, "shiftleft(1L, col - off) AS mask"))
     whole = contents.where("n > 1").selectExpr(*identity, "shiftrightunsigned(-1L, 64 - m) AS mask")
-    masks = whole.union(found).groupBy(*identity).agg(F.expr("bit_or(mask)").alias("mask"))
+    # written, so that the join below can split a segment that very many texts hold
+    masks = cut(whole.union(found).groupBy(*identity).agg(F.expr("bit_or(mask)").alias("mask")), "masks")
     spans = live.where("copies = 1").join(masks, identity).groupBy("t1", "t2").agg(
         F.collect_list(F.struct("place", "mask")).alias("s"))
 
