@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidewatch.llm.common import cut, map_arrow
+from tidewatch.llm.hash_filter import hash_filter, holds
 
 PERIOD, LONGEST = 16, 96  # a trigger among so many words; words of a chunk at most
-LEAST, WORDS, TOP, SALTS, FILTER_BITS = 10, 3, 2000, 64, 27
+LEAST, WORDS, TOP, SALTS = 10, 3, 2000, 64
 _FLUSH, _GATHER = 1 << 17, 1 << 19  # dictionary entries, and words, held by a task
 #: The marks that end a piece, and what separates words.
 _MARKS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -155,9 +156,8 @@ def _gathered(batches, work):
 
 
 def frequent_pairs(chunks: DataFrame, least: int = LEAST) -> np.ndarray:
-    """Bits of a filter that holds the hash of every pair of words which occurs ``least`` times or
-    more. It has 64 bits a pair but at most 2 ** ``FILTER_BITS``: what reaches the driver is
-    bounded, and a fuller filter lets more through but never loses a pair."""
+    """The filter, of bounded size, that holds the hash of every pair of words which occurs
+    ``least`` times or more."""
 
     def run(batches):
         import pyarrow as pa
@@ -172,18 +172,7 @@ def frequent_pairs(chunks: DataFrame, least: int = LEAST) -> np.ndarray:
 
     often = cut(map_arrow(chunks.select("lang", "tail", "chunk", "freq"), run, "h long, f long").groupBy("h").agg(
         F.sum("f").alias("f")).where(f"f >= {least}").select("h"), "pairs")
-    width = min(FILTER_BITS, max(16, (64 * often.count()).bit_length()))
-    bits = np.zeros(1 << (width - 6), dtype=np.int64)
-    set_bits = often.selectExpr(f"shiftrightunsigned(h, {64 - width}) AS p").selectExpr(
-        "shiftright(p, 6) AS at", "shiftleft(1L, cast(p & 63 AS int)) AS b").groupBy("at").agg(F.expr("bit_or(b)").alias("b"))
-    found = set_bits.toPandas()  # at most as many rows as the filter has words
-    bits[found["at"].to_numpy(dtype=np.int64)] = found["b"].to_numpy(dtype=np.int64)
-    return bits
-
-
-def _holds(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    p = h >> np.uint64(64 - (len(bits).bit_length() + 5))
-    return (bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)).astype(np.int64)) & 1 == 1
+    return hash_filter(often)
 
 
 def phrase_counts(chunks: DataFrame, least: int = LEAST, words: int = WORDS) -> DataFrame:
@@ -204,7 +193,7 @@ def phrase_counts(chunks: DataFrame, least: int = LEAST, words: int = WORDS) ->
             total = np.zeros(len(w.names), dtype=np.int64)
             np.add.at(total, w.of[w.owned], w.weight[w.owned])
             yield batch(w.names, 0, pa.nulls(len(total), pa.string()), total)
-            often = _holds(shared.value, w.pairs())
+            often = holds(shared.value, w.pairs())
             prefix, keep = w.of, w.owned
             for n in range(1, words + 1):
                 if n > 1:
