@@ -56,6 +56,65 @@ def test_fold_split_is_exact_with_and_without_rerun(spark, hot_readings, warm, r
     assert bool(chunked_fold.LAST_RUN["rerun"]) == reruns
 
 
+def count_fold():
+    class Fold:  # local, so that it travels to the workers by value
+        """Emits the running sum since the last reset; the state is that sum."""
+
+        def init_state(self):
+            return 0
+
+        def step(self, a, state):
+            out = a["ts"].copy()
+            for i, ts in enumerate(out.tolist()):
+                state = 0 if ts < 0 else state + ts
+                out[i] = state
+            return {"ts": out}, state
+    return Fold()
+
+
+@pytest.mark.parametrize("broken", [[], [3, 10, 17], [3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13]])
+def test_only_chunks_whose_entry_changed_run_again(spark, broken):
+    """A state that every chunk resets; in the last case the broken ones do not, their sums run on."""
+    from tidewatch.schema import READING
+    span, chunks = 100, 25
+    rows = []
+    for i in range(span * chunks):
+        # a value after the reset before a broken border, beyond the reach of the warm-up
+        c, p = divmod(i, span)
+        reset = p == 50 and (c not in broken or len(broken) == 3)
+        ts = -1 if reset else (7 if p == 60 and c + 1 in broken else 0)
+        rows.append((i, ts, "h", 1.0, 1.0, False, 1.0, False, 1.0, 1.0, False, False))
+    df = spark.createDataFrame(rows, READING)
+    hot = find_hot(df, SkewPlan(min_rows=10, span=span, warm_rows=5))
+    got = chunked_fold.chunked_device_fold(df, count_fold(), hot)
+    state, want = 0, []
+    for r in rows:
+        state = 0 if r[1] < 0 else state + r[1]
+        want.append((r[0], state))
+    assert sorted((r.seq, r.ts) for r in got.select("seq", "ts").collect()) == want
+    assert chunked_fold.LAST_RUN["rerun"] <= 2 * len(broken)
+    if len(broken) == 3:  # three borders, one round, nothing else
+        assert dict(chunked_fold.LAST_RUN) == {"rounds": 1, "rerun": 3}
+    if len(broken) > 3:  # the rounds double what they cover
+        assert chunked_fold.LAST_RUN["rounds"] < len(broken)
+
+
+def test_three_broken_borders_of_a_hot_device(spark):
+    """The cleaning fold: spikes and stamps that differ before three borders only."""
+    from tidewatch.schema import READING
+    rows = []
+    for i in range(3000):
+        odd = any(b - 40 <= i < b for b in (600, 1500, 2400))  # a level that holds up to the border
+        rows.append((i, 1000 * i, "h", 4.0 + (9.0 if odd else 0.0) + (i % 7) * 0.01, 50.0, False, 100.0, False,
+                     3.0 + (i % 5) * 0.01, 20.0 + (i % 9) * 0.1, False, False))
+    df = spark.createDataFrame(rows, READING)
+    hot = find_hot(df, SkewPlan(min_rows=10, span=300, warm_rows=3))
+    got = clean_readings(df, skew=hot)
+    ran = dict(chunked_fold.LAST_RUN)
+    assert same(got, clean_readings(df, skew=None))
+    assert ran["rerun"] >= 3
+
+
 def test_fold_split_carries_long_stuck_runs(spark):
     """A sensor stuck across many chunk borders: its run start must be
     carried from chunk to chunk, not guessed from a warm-up."""
@@ -66,7 +125,7 @@ def test_fold_split_carries_long_stuck_runs(spark):
     df = spark.createDataFrame(rows, READING)
     hot = find_hot(df, SkewPlan(min_rows=10, span=50, warm_rows=30))
     got = clean_readings(df, skew=hot)
-    assert chunked_fold.LAST_RUN["rerun"] == {}       # decided by the carry, not a rerun
+    assert chunked_fold.LAST_RUN["rerun"] == 0        # decided by the carry, not a rerun
     ref = clean_readings(df, skew=None)
     assert same(got, ref)
     assert ref.where("suspicious").count() > 200

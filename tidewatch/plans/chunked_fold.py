@@ -11,12 +11,16 @@ state the true run has there.
 Exactness is then checked, not assumed: each chunk reports the state it
 started from (after the warm-up) and the state it ended in. A chunk is right
 when its start state equals the end state of the previous chunk (by induction
-from the first chunk, which starts from the empty state). For a device whose
-check fails at some chunk, everything from that chunk on is run again,
-sequentially, from the verified end state before it; those rows replace the
-speculative ones. In the common case nothing is rerun; in the worst case (a
-state that never re-synchronises) the device costs what an unsplit fold
-costs.
+from the first chunk, which starts from the empty state). Borders where this
+fails are repaired in rounds: the chunks behind broken borders run again at
+once, each from the end state its predecessor has now (of adjacent ones the
+first, as the others depend on it). A chunk that ends as it
+did before breaks nothing further; one that ends differently breaks the next
+border, which is the next round's. The rounds stop when no border is broken.
+Where that has not come after a few rounds, a broken border's task goes on
+through 2, 4, 8, ... chunks, and stops as soon as one ends as before: only
+chunks whose start state changed are ever run again, and a state that never
+settles costs what an unsplit fold costs, in a logarithmic number of rounds.
 
 The pass runs on Arrow batches (NaN readings stay NaN). Its output is
 materialised once with ``checkpoint()`` in the shared
@@ -29,20 +33,23 @@ from __future__ import annotations
 import json
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import ensure_checkpoint_dir, ship_package
-from .device_pass import arrow_batch, batch_arrays, device_fold
+from .device_pass import arrow_batch, batch_arrays
 from .skew import MAX_BROADCAST_KEYS, HotSet
 
 KEY = "device"
 ORDER = "seq"
 
-# What the last call did: the devices rerun and the chunk each rerun started
-# from (for tests and run reports).
+# Rounds that rerun one chunk behind each broken border; later ones double.
+SINGLE_ROUNDS = 3
+
+# What the last call did: the rounds and the chunk runs of the repair (for
+# tests and run reports).
 LAST_RUN: dict = {}
 
 
@@ -58,23 +65,30 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def _chunk_pass(batches, fold, arrow_schema, to_state, keep=None):
-    """Fold over (device, _chunk, seq)-sorted batches; warm rows advance the
-    state only. Emits the real rows (``_kind`` 0) and, per chunk, one summary
-    row (``_kind`` 1) with the entry and exit states."""
-    group, state, entry = None, None, None
+def _chunk_pass(batches, fold, arrow_schema, to_state, from_state, keep=None):
+    """Fold over (device, _from, _chunk, _mark, seq)-sorted batches. Emits the
+    real rows (``_kind`` 0) and, per chunk, one summary row (``_kind`` 1) with
+    the entry and exit states. Warm rows advance the state only. In a repair,
+    every chunk opens with a mark row: the first of a border holds the state to
+    start from, each holds the end state its chunk had before; a chunk that
+    ends so again closes the border, and the chunks after it are skipped."""
+    at, border, state, entry, old, settled = None, None, None, None, None, False
     summaries: list[dict] = []
     names = arrow_schema.names
     view = getattr(fold, "verify_view", lambda st: st)
     opener = getattr(fold, "open_chunk", lambda st: st)
     extra = getattr(fold, "summary_extra", lambda st: {})
+    restore = getattr(fold, "restore_state", lambda st: st)
 
-    def close():
+    def close() -> bool:
+        """Report the chunk; whether it ended as it did before."""
         # chunks that only received warm-up rows are not chunks of their own
-        if group is not None and entry is not None:
-            summaries.append({KEY: group[0], "_chunk": group[1], "_kind": 1,
-                              "_entry": entry, "_exit": to_state(view(state)),
-                              "_exit_full": to_state(state), **extra(state)})
+        if at is None or entry is None:
+            return False
+        end = to_state(view(state))
+        summaries.append({KEY: at[0], "_chunk": at[2], "_kind": 1, "_entry": entry, "_exit": end,
+                          "_exit_full": to_state(state), **extra(state)})
+        return end == old
 
     def summary_batch():
         cols = {c: [r.get(c) for r in summaries] for c in names}
@@ -86,31 +100,44 @@ def _chunk_pass(batches, fold, arrow_schema, to_state, keep=None):
         if n == 0:
             continue
         arrays = batch_arrays(rb)
-        dev, chunk, warm = arrays[KEY], arrays["_chunk"], arrays["_warm"].astype(bool)
-        cut = np.flatnonzero((dev[1:] != dev[:-1]) | (chunk[1:] != chunk[:-1])
-                             | (warm[1:] != warm[:-1])) + 1
+        dev, chunk, first = arrays[KEY], arrays["_chunk"], arrays["_from"]
+        warm, mark = arrays["_warm"].astype(bool), arrays["_mark"].astype(bool)
+        cut = np.flatnonzero((dev[1:] != dev[:-1]) | (chunk[1:] != chunk[:-1]) | (first[1:] != first[:-1])
+                             | (warm[1:] != warm[:-1]) | (mark[1:] != mark[:-1])) + 1
         starts = np.concatenate(([0], cut)).tolist()
         ends = np.concatenate((cut, [n])).tolist()
         outs: dict[str, np.ndarray] = {}
+        real = ~warm & ~mark
         for s, e in zip(starts, ends):
-            g = (dev[s], int(chunk[s]))
-            if g != group:
-                close()
-                group, state, entry = g, fold.init_state(), None
+            g = (dev[s], int(first[s]), int(chunk[s]))
+            if g != at:
+                settled = close() or settled
+                if g[:2] != border:
+                    border, settled, state = g[:2], False, fold.init_state()
+                at, entry, old = g, None, None
+            if settled:
+                entry = None
+                real[s:e] = False
+                continue
+            if mark[s]:
+                if arrays["_state"][s] is not None:
+                    state = restore(from_state(arrays["_state"][s]))
+                old = arrays["_old"][s]
             if not warm[s] and entry is None:
                 entry = to_state(view(state))
                 state = opener(state)
+            if mark[s]:
+                continue
             result, state = fold.step({c: a[s:e] for c, a in arrays.items()}, state)
             if not warm[s]:
                 for c, a in result.items():
                     if c not in outs:
                         outs[c] = np.zeros(n, dtype=a.dtype)
                     outs[c][s:e] = a
-        real = ~warm
         merged = {**arrays, **outs}
-        if keep is not None:
+        if keep is not None and outs:
             real = real & keep(merged)
-        if real.any():
+        if outs and real.any():
             m = int(real.sum())
             cols = {c: merged[c][real] for c in names if c in merged}
             cols["_kind"] = np.zeros(m, dtype=np.int32)
@@ -125,6 +152,31 @@ def _chunk_pass(batches, fold, arrow_schema, to_state, keep=None):
         yield summary_batch()
 
 
+def _placeholder(field: T.StructField) -> str:
+    """A value for a mark row; no nulls where numpy would change the type."""
+    kind = field.dataType.simpleString()
+    plain = isinstance(field.dataType, (T.NumericType, T.BooleanType))
+    return f"CAST({'0' if plain else 'NULL'} AS {kind}) AS {field.name}"
+
+
+def _broken_borders(summary: DataFrame, length: int) -> DataFrame:
+    """(device, _chunk, _from, _state, _old): for every chunk whose entry state
+    differs from its predecessor's exit (of adjacent ones the first: the others
+    wait for what it ends in), it and what follows up to ``length`` chunks or the
+    next such chunk; ``_state`` on the first only."""
+    by = f"(PARTITION BY {KEY} ORDER BY _chunk)"
+    upto = f"(PARTITION BY {KEY} ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return (summary.selectExpr(KEY, "_chunk", "_entry", "_exit AS _old", f"lag(_exit) OVER {by} AS _prev",
+                               f"lag(_exit_full) OVER {by} AS _state")
+            .selectExpr("*", "coalesce(_entry <> _prev, false) AS _broken")
+            .selectExpr("*", f"_broken AND NOT lag(_broken, 1, false) OVER {by} AS _head")
+            .selectExpr("*", f"last(CASE WHEN _head THEN _chunk END, true) OVER {upto} AS _from")
+            .where("_from IS NOT NULL")
+            .selectExpr(KEY, "_chunk", "_from", "CASE WHEN _head THEN _state END AS _state", "_old",
+                        f"row_number() OVER (PARTITION BY {KEY}, _from ORDER BY _chunk) AS _nth")
+            .where(f"_nth <= {int(length)}").drop("_nth"))
+
+
 def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType | None = None,
                         warm: int | None = None, to_state=_state_text,
                         from_state=_state_from_text, keep=None) -> DataFrame:
@@ -135,7 +187,7 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
 
     ``fold`` may carry part of its state across borders itself instead of
     having it verified (``verify_view``, ``open_chunk``, ``summary_extra``,
-    ``carry_table``, ``carry_fix``, ``rerun_state``; see ``CleaningFold``)."""
+    ``carry_table``, ``carry_fix``, ``restore_state``; see ``CleaningFold``)."""
     out_schema = schema if schema is not None else df.schema
     span = int(hot.plan.span)
     spark = df.sparkSession
@@ -163,47 +215,46 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
     arrow_schema = to_arrow_schema(pass_schema)
 
     def fn(batches):
-        yield from _chunk_pass(batches, fold, arrow_schema, to_state, keep)
-
-    out = (data.repartition(KEY, "_chunk").sortWithinPartitions(KEY, "_chunk", ORDER)
-           .mapInArrow(fn, pass_schema)).checkpoint(eager=True)
-
-    rows = out.where(F.col("_kind") == 0)
-    summary = out.where(F.col("_kind") == 1)
-    w = Window.partitionBy(KEY).orderBy("_chunk")
-    checked = summary.select(KEY, "_chunk", "_entry", F.lag("_exit").over(w).alias("_prev_exit"),
-                             F.lag("_exit_full").over(w).alias("_prev_full"))
-    bad = (checked.where(F.col("_prev_exit").isNotNull() & (F.col("_entry") != F.col("_prev_exit")))
-           .groupBy(KEY).agg(F.min_by(F.struct("_chunk", "_prev_full"), F.col("_chunk")).alias("b"))
-           .select(KEY, F.col("b._chunk").alias("_from"), F.col("b._prev_full").alias("_state")))
-    carry = fold.carry_table(summary) if carries else None
-    if carries:
-        bad = bad.join(carry.withColumnRenamed("_chunk", "_from"), [KEY, "_from"], "left")
-    # one row per hot device at most: bounded by the (size-checked) hot set
-    redo = bad.collect()
+        yield from _chunk_pass(batches, fold, arrow_schema, to_state, from_state, keep)
+
+    order = (KEY, "_from", "_chunk")
+
+    def run(rows: DataFrame, number: int) -> DataFrame:
+        out = rows.repartition(KEY, "_from").sortWithinPartitions(*order, F.desc("_mark"), ORDER) \
+            .mapInArrow(fn, pass_schema)
+        return out.withColumn("_round", F.lit(number)).checkpoint(eager=True)
+
+    plain = ("false AS _mark", "CAST(NULL AS STRING) AS _state", "CAST(NULL AS STRING) AS _old")
+    out = run(data.selectExpr("*", "_chunk AS _from", *plain), 0)
+    rows = out.where("_kind = 0")
+    summary = out.where("_kind = 1")
+    rounds = runs = 0
+    while True:
+        length = 1 << max(0, rounds + 1 - SINGLE_ROUNDS)
+        broken = _broken_borders(summary, length)
+        count = broken.count()
+        if not count:
+            break
+        rounds += 1
+        marks = broken.selectExpr(*[KEY if f.name == KEY else _placeholder(f) for f in df.schema.fields],
+                                  "_chunk", "false AS _warm", "_from", "true AS _mark", "_state", "_old")
+        wanted = broken.select(KEY, "_chunk", "_from")
+        wanted = F.broadcast(wanted) if count <= MAX_BROADCAST_KEYS else wanted
+        again = data.where("NOT _warm").join(wanted, [KEY, "_chunk"]).selectExpr(
+            *data.columns, "_from", *plain)
+        out = run(again.unionByName(marks), rounds)
+        rows = rows.union(out.where("_kind = 0"))
+        done = out.where("_kind = 1")
+        runs += done.count()
+        summary = (summary.join(done.select(KEY, "_chunk"), [KEY, "_chunk"], "left_anti").select(*done.columns)
+                   .union(done).checkpoint(eager=True))
     LAST_RUN.clear()
-    LAST_RUN.update(rerun={r[KEY]: int(r["_from"]) for r in redo})
-    cols = out_schema.fieldNames()
+    LAST_RUN.update(rounds=rounds, rerun=runs)
+
+    if rounds:  # of a chunk that ran again the last run counts
+        last = summary.where("_round > 0").select(KEY, "_chunk", F.col("_round").alias("_last"))
+        last = F.broadcast(last) if runs <= MAX_BROADCAST_KEYS else last
+        rows = rows.join(last, [KEY, "_chunk"], "left").where("_round = coalesce(_last, 0)")
     if carries:
-        rows = fold.carry_fix(rows, carry)
-    if not redo:
-        return rows.select(*cols)
-
-    starts = {}
-    for r in redo:
-        st = from_state(r["_state"])
-        if carries:
-            st = fold.rerun_state(st, [r[f"_cin_{k}"] for k in range(len(fold.summary_starts()))])
-        starts[r[KEY]] = st
-    redo_df = spark.createDataFrame([(r[KEY], int(r["_from"])) for r in redo],
-                                    f"{KEY} string, _from long")
-    kept = (rows.join(F.broadcast(redo_df), KEY, "left")
-            .where(F.col("_from").isNull() | (F.col("_chunk") < F.col("_from"))).select(*cols))
-    suffix = (df.join(F.broadcast(redo_df), KEY, "inner")
-              .where(F.expr(f"{ORDER} div {span}") >= F.col("_from")).select(*df.columns))
-
-    def init_for(key):
-        return starts[key] if key in starts else fold.init_state()
-
-    rerun = device_fold(suffix, init_for, fold.step, out_schema, keyed_init=True, keep=keep)
-    return kept.unionByName(rerun)
+        rows = fold.carry_fix(rows, fold.carry_table(summary))
+    return rows.select(*out_schema.fieldNames())

@@ -140,16 +140,11 @@ class CleaningFold:
         return {"_w3_open": sum(1 << k for k, o in enumerate(s5) if o),
                 "_w3_start": [None if x is None else int(x[1]) for x in s3]}
 
-    def summary_starts(self):
-        return SENSORS
-
-    def rerun_state(self, state, starts):
-        """The exit state of a verified chunk, with the W3 starts carried over
-        the summaries, as the initial state of a sequential rerun."""
+    def restore_state(self, state):
+        """The reported exit state of a chunk as the state to go on from."""
         s1, s2, s3, s4, _ = state
         if s3 is not None:
-            s3 = [None if x is None else (x[0], int(st) if st is not None else int(x[1]))
-                  for x, st in zip(s3, starts)]
+            s3 = [None if x is None else (x[0], int(x[1])) for x in s3]
         return (s1, s2, s3, s4, None)
 
     def carry_table(self, summary: DataFrame) -> DataFrame:
