@@ -254,3 +254,17 @@ def test_flagship_plan_prunes_columns(spark):
     plan = pipeline_alerts(readings(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
     assert "MapInArrow" in plan and "BatchEvalPython" not in plan
+
+
+def test_one_parse_serves_good_and_bad(spark):
+    from tidewatch.operators.parse import parse_messages, readings_as_messages
+    from tidewatch.schema import READING_COLUMNS
+    from tidewatch.sources.tables import readings
+    raw = readings_as_messages(readings(spark, SF_SMALL), 50)
+    both = parse_messages(raw)
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1, plan
+    good = both.where("reason IS NULL").select(*READING_COLUMNS)
+    assert good.exceptAll(parse_readings(raw)).count() == 0 and good.count() == 988
+    bad = both.where("reason IS NOT NULL").select("seq", "value", "reason")
+    assert bad.exceptAll(quarantine(raw)).count() == 0 and bad.count() == 12

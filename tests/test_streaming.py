@@ -105,6 +105,7 @@ def test_stream_from_raw_messages_with_quarantine(spark, scratch):
         os.utime(f"{src}/m{i}.parquet", (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
     qs = start_pipeline(spark, file_messages(spark, src, max_files_per_trigger=1), out,
                         checkpoint_dir=ck, available_now=True, parse=True)
+    assert len(qs) == 1
     for q in qs:
         q.awaitTermination()
     dead = spark.read.parquet(f"{out}/quarantine")

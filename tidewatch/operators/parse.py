@@ -21,34 +21,37 @@ _NUMERIC = {"ts": "decimal(38,9)", **{s: "double" for s in SENSORS}}
 
 
 def _staged_sql() -> list[str]:
-    """Per field the typed value and its text form; ``device`` also its
-    variant type name (it must be a JSON string, not a number)."""
+    """Per field the typed value and its text form."""
     out = []
     for name in _FIELD_ORDER:
         if name in _NUMERIC:
             out.append(f"try_variant_get(_v, '$.{name}', '{_NUMERIC[name]}') AS _x_{name}")
-            out.append(f"schema_of_variant(try_variant_get(_v, '$.{name}', 'variant')) AS _k_{name}")
         out.append(f"try_variant_get(_v, '$.{name}', 'string') AS _t_{name}")
-    out.append("schema_of_variant(try_variant_get(_v, '$.device', 'variant')) AS _k_device")
     return out
 
 
+def _kind_sql(name: str) -> str:
+    return f"schema_of_variant(try_variant_get(_v, '$.{name}', 'variant'))"
+
+
 def _valid_sql(name: str) -> tuple[str, str]:
     """(value, valid) as SQL over the staged columns."""
     if name == "device":
-        return "_t_device", "coalesce(_k_device = 'STRING', false)"
+        return "_t_device", f"coalesce({_kind_sql('device')} = 'STRING', false)"
     if name in ("light", "motion"):
         # a JSON boolean reads as true/false; a string must read true/false
         return (f"lower(_t_{name}) = 'true'",
                 f"coalesce(lower(_t_{name}) IN ('true', 'false'), false)")
-    # a string long is plain digits, a string double has no spelled-out
-    # specials but these; numbers are truncated, and one beyond the range is
-    # NULL, never an error
-    spelled = ("^[+-]?[0-9]+$" if name == "ts" else
-               "^([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[+-]?Infinity|NaN)$")
-    val = "try_cast(_x_ts AS BIGINT)" if name == "ts" else f"_x_{name}"
-    return val, (f"({val} IS NOT NULL AND CASE WHEN _k_{name} = 'STRING' THEN _t_{name} RLIKE '{spelled}' "
-                 f"ELSE NOT coalesce(_k_{name} = 'BOOLEAN', false) END)")
+    if name == "ts":
+        # a string is plain digits; a number is truncated, and one beyond the range is NULL,
+        # never an error. Only a text that is not plain digits asks for its kind
+        return ("try_cast(_x_ts AS BIGINT)",
+                "(try_cast(_x_ts AS BIGINT) IS NOT NULL AND CASE WHEN _t_ts RLIKE '^[+-]?[0-9]+$' THEN true "
+                f"ELSE NOT coalesce({_kind_sql('ts')} IN ('STRING', 'BOOLEAN'), true) END)")
+    # a string spells a number or one of these specials; the text of a JSON number always
+    # does, that of a JSON boolean never
+    return (f"_x_{name}", f"(_x_{name} IS NOT NULL AND _t_{name} RLIKE "
+            "'^([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[+-]?Infinity|NaN)$')")
 
 
 def _parsed(raw: DataFrame) -> DataFrame:
@@ -71,6 +74,13 @@ def _parsed(raw: DataFrame) -> DataFrame:
         "seq", "value", f"inline(array(named_struct({fields}, 'reason', {reason})))")
 
 
+def parse_messages(raw: DataFrame) -> DataFrame:
+    """Every message once: the columns of a reading, ``value`` (the raw text) and ``reason``,
+    which is null for good messages and tags the bad ones, whose other fields do not count."""
+    return _parsed(raw).selectExpr(
+        *[f"false AS {c}" if c in ("rejected", "suspicious") else c for c in READING_COLUMNS], "value", "reason")
+
+
 def parse_readings(raw: DataFrame) -> DataFrame:
     """Good messages as readings (both flags false)."""
     return _parsed(raw).where("reason IS NULL").selectExpr(

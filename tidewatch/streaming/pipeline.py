@@ -8,7 +8,8 @@ that state is a small versioned table (one version per batch id) in the
 shared checkpoint folder. Batch N reads the newest version below N and writes
 version N, so a replayed batch starts from the same prior state, and every
 output folder is keyed by batch id, so a replay overwrites instead of
-duplicating.
+duplicating. Good and bad messages leave one parse under a tag and one query,
+so the dead letter shares the checkpoint of the other sinks.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.notify import build_notifications
-from ..operators.parse import parse_readings, quarantine
+from ..operators.parse import parse_messages
 from ..operators.thresholds import detect_anomalies_incremental, empty_edge_state
 from ..sinks.tables import (write_event_alerts, write_notifications, write_quarantine,
                             write_sensor_data, write_table)
 from ..sources.config import resolve_limits
+from ..schema import READING_COLUMNS
 from ..session import checkpoint_path
 from .processor import clean_stream
 
@@ -68,13 +70,18 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
                       state_dir: str | None = None, zone: str = "UTC",
                       debug_rows: int = 0):
     """The ``foreachBatch`` function for cleaned readings (``debug_rows``
-    also prints every cleaned reading of a batch: the debug print, K4)."""
+    also prints every cleaned reading of a batch: the debug print, K4). Bad
+    messages that come along under a ``reason`` go to the dead letter (K5)."""
     out = out_dir.rstrip("/")
     edges = EdgeStateTable(spark, state_dir or checkpoint_path(spark, "edge-state"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        arrived = batch.persist()
         try:
+            if "reason" in batch.columns:
+                write_quarantine(arrived.where("reason IS NOT NULL").select("seq", "value", "reason"),
+                                 f"{out}/quarantine", batch_id)
+                batch = arrived.where("reason IS NULL").select(*READING_COLUMNS)
             write_sensor_data(batch, f"{out}/sensor_data", batch_id)
             if debug_rows:
                 write_table(batch, "", "console")
@@ -91,7 +98,7 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
             finally:
                 alerts.unpersist()
         finally:
-            batch.unpersist()
+            arrived.unpersist()
 
     return handle
 
@@ -101,8 +108,8 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
                    checkpoint_dir: str | None = None, trigger_seconds: float | None = 10.0,
                    available_now: bool = False, parse: bool = True,
                    debug_rows: int = 0, **params) -> list[StreamingQuery]:
-    """Start the cleaning/alerting query (and, for raw messages, the dead-
-    letter query; ``debug_rows`` prints cleaned readings per batch, K4).
+    """Start the one query that parses, cleans and alerts, with all its sinks
+    under one checkpoint (``debug_rows`` prints cleaned readings per batch, K4).
     ``messages`` is a streaming (seq, value) frame, or a stream of typed
     readings when ``parse=False``."""
     ckpt = (checkpoint_dir or checkpoint_path(spark, "stream")).rstrip("/")
@@ -120,16 +127,9 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
             return writer.trigger(processingTime=f"{trigger_seconds} seconds")
         return writer
 
-    queries = []
-    readings = parse_readings(messages) if parse else messages
-    if parse:
-        dead = quarantine(messages)
-        queries.append(trig(dead.writeStream
-                            .foreachBatch(lambda df, bid: write_quarantine(df, f"{out}/quarantine", bid))
-                            .option("checkpointLocation", f"{ckpt}/quarantine")).start())
-    cleaned = clean_stream(readings, **params)
+    # every message is parsed once; good and bad ones travel under a tag
+    cleaned = clean_stream(parse_messages(messages) if parse else messages, **params)
     handler = make_batch_writer(spark, out, limits_loader, recipients_loader,
                                 state_dir=f"{ckpt}/edge-state", debug_rows=debug_rows)
-    queries.append(trig(cleaned.writeStream.foreachBatch(handler)
-                        .option("checkpointLocation", f"{ckpt}/clean")).start())
-    return queries
+    return [trig(cleaned.writeStream.foreachBatch(handler)
+                 .option("checkpointLocation", f"{ckpt}/clean")).start()]

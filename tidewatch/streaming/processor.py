@@ -50,23 +50,42 @@ _OUT = T.StructType([T.StructField(f.name, f.dataType, True) for f in READING.fi
                     + [T.StructField("_nan_bits", T.IntegerType(), False)])
 
 
-def _restore_nans(df: DataFrame) -> DataFrame:
+# Parsed messages (good and bad ones under a tag) keep two columns more.
+_TAGGED = T.StructType(_OUT.fields + [T.StructField("value", T.StringType()), T.StructField("reason", T.StringType())])
+
+# Bad messages only pass through the state operator: they are dealt over keys
+# of their own, which no device can have, and leave no state there.
+BAD_KEYS = 64
+_KEY = f"CASE WHEN reason IS NULL THEN device ELSE concat('\\u0000', seq % {BAD_KEYS}) END AS _key"
+
+
+def _restore_nans(df: DataFrame, *more: str) -> DataFrame:
     return df.selectExpr(*[
         f"CASE WHEN shiftright(_nan_bits, {SENSORS.index(c)}) & 1 = 1 "
         f"THEN CAST('NaN' AS DOUBLE) ELSE {c} END AS {c}" if c in SENSORS else c
-        for c in READING_COLUMNS])
+        for c in READING_COLUMNS], *more)
 
 
 def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataFrame:
-    """Streaming counterpart of ``clean_readings`` (same output columns)."""
+    """Streaming counterpart of ``clean_readings`` (same output columns).
+
+    Of parsed messages (with ``value`` and ``reason``, see ``parse_messages``) the
+    good ones are cleaned and the bad ones passed on under their tag, so that one
+    query, one parse and one checkpoint serve every sink."""
     ship_package(readings.sparkSession)
     fold = CleaningFold(**params)
-    columns = list(READING_COLUMNS)
+    tagged = "reason" in readings.columns
+    more = ("value", "reason") if tagged else ()
+    columns = [*READING_COLUMNS, *more]
 
     def process(key, batches, state):
         pdf = pd.concat(list(batches), ignore_index=True)
         if pdf.empty:
             return
+        if tagged and key[0] is not None and key[0].startswith("\0"):
+            kept = ("seq", *more)
+            yield pd.DataFrame({c: pdf[c] if c in kept else None for c in columns}).assign(_nan_bits=0)
+            return
         pdf = pdf.sort_values("seq", kind="stable").reset_index(drop=True)
         current = decode_state(state.get) if state.exists else fold.init_state()
         arrays = {c: pdf[c].to_numpy() for c in pdf.columns}
@@ -78,7 +97,7 @@ def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataF
             bits |= np.isnan(out[sensor].to_numpy(dtype=np.float64)).astype(np.int32) << k
         yield out.assign(_nan_bits=bits)
 
-    return _restore_nans(
-        with_outlier_verdict(readings.select(*READING_COLUMNS), bounds)
-        .groupBy("device")
-        .applyInPandasWithState(process, _OUT, STATE, "append", GroupStateTimeout.NoTimeout))
+    rows = with_outlier_verdict(readings.select(*columns), bounds)
+    keyed = rows.selectExpr("*", _KEY).groupBy("_key") if tagged else rows.groupBy("device")
+    return _restore_nans(keyed.applyInPandasWithState(
+        process, _TAGGED if tagged else _OUT, STATE, "append", GroupStateTimeout.NoTimeout), *more)
