@@ -14,10 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import outside_sql
-from ..schema import EVENT_END, EVENT_START, SENSORS
+from ..functions.expr import dlit, outside_sql
+from ..schema import DEFAULT_LIMITS, EVENT_END, EVENT_START, LIMIT_FIELDS, LIMITS, SENSORS
 from ..plans.skew import assign_chunks, resolve
 from ..sources.config import resolve_limits
+from .as_of import SPAN, as_of
 
 
 def exceeded_sql(limits) -> dict[str, str]:
@@ -87,7 +88,11 @@ def detect_anomalies(readings: DataFrame, limits=None, skew=None) -> DataFrame:
     then a window over chunks). Exact, and no task holds a whole device.
     """
     kept = _kept(readings, limits)
-    hot = resolve(kept, skew)
+    return _detect(kept, resolve(kept, skew))
+
+
+def _detect(kept: DataFrame, hot) -> DataFrame:
+    """Alerts from readings that carry their verdicts ``exc_<sensor>``."""
     if not hot.any:
         with_prev = kept.selectExpr("*", *_lags("device", "false"))
         return _edges_to_alerts(with_prev, lambda s: f"prev_{s}")
@@ -105,6 +110,30 @@ def detect_anomalies(readings: DataFrame, limits=None, skew=None) -> DataFrame:
     return _edges_to_alerts(joined, lambda s: f"coalesce(prev_{s}, carry_{s}, false)")
 
 
+def limits_log(changes: DataFrame) -> DataFrame:
+    """(from_seq, rec) from a change log of limits records (``seq`` and the
+    fields of a record); a field that is missing or null reads as 0.0."""
+    fields = ", ".join(f"'{f}', coalesce(CAST({f} AS DOUBLE), 0.0D)" if f in changes.columns else f"'{f}', 0.0D"
+                       for f in LIMITS.fieldNames())
+    return changes.selectExpr("CAST(seq AS BIGINT) AS from_seq", f"named_struct({fields}) AS rec")
+
+
+def detect_anomalies_as_of(readings: DataFrame, changes: DataFrame, skew=None, span: int = SPAN) -> DataFrame:
+    """W4 under limits that change over time: each reading is held against the
+    limits in force at its ``seq`` (T7; the default limits before the first
+    change), and the verdict of a device's previous reading is the one taken
+    then, under the limits of that time. Plan: the as-of join's one exchange,
+    then that of ``detect_anomalies``; hot devices are split as there."""
+    rows = as_of(readings.where("NOT rejected").select(*_KEPT), limits_log(changes), span=span)
+    exc = []
+    for s in SENSORS:
+        low, high = (f"coalesce(rec.{f}, {dlit(d)})" for f, d in zip(LIMIT_FIELDS[s], DEFAULT_LIMITS[s]))
+        exc.append(f"NOT isnan({s}) AND ((NOT isnan({low}) AND {s} < {low}) OR "
+                   f"(NOT isnan({high}) AND {s} > {high})) AS exc_{s}")
+    kept = rows.selectExpr(*_KEPT, *exc)
+    return _detect(kept, resolve(kept, skew))
+
+
 def empty_edge_state(spark) -> DataFrame:
     return spark.createDataFrame(
         [], "device string, " + ", ".join(f"exc_{s} boolean" for s in SENSORS))

@@ -8,16 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import oracle as O
-from ..operators.notify import build_notifications
+from ..operators.notify import build_notifications, notifications_as_of
 from ..operators.outliers import flag_outliers
 from ..operators.parse import parse_readings, quarantine, readings_as_messages
 from ..operators.project import to_event_alerts, to_sensor_data
 from ..operators.spikes import flag_spikes
 from ..operators.stuck import flag_stuck_values
-from ..operators.thresholds import detect_anomalies
+from ..operators.thresholds import detect_anomalies, detect_anomalies_as_of
 from ..operators.timestamps import repair_timestamps
 from ..sources.config import limits_frame, limits_from_record
-from ..sources.tables import readings
+from ..sources.tables import LIMITS_EVERY, RECIPIENTS_EVERY, limit_changes, readings, recipient_changes
 from .pipeline import clean_readings, pipeline_alerts
 from .skew import SkewPlan, find_hot
 
@@ -110,6 +110,22 @@ def _q_notifications(spark, sf):
     return build_notifications(_alerts(spark, sf), RECIPIENTS)
 
 
+# Places of the order per chunk of the as-of joins (small, as the tables are).
+AS_OF_SPAN = 4096
+
+
+def _q_alerts_limit_changes(spark, sf):
+    """Limits that change over time: the cleaned readings as-of joined with
+    the change log."""
+    r, hot = _source(spark, sf)
+    return detect_anomalies_as_of(clean_readings(r, skew=hot), limit_changes(spark, sf), skew=hot, span=AS_OF_SPAN)
+
+
+def _q_notifications_at_time(spark, sf):
+    """Each alert to the recipients of its time."""
+    return notifications_as_of(_alerts(spark, sf), recipient_changes(spark, sf), span=AS_OF_SPAN)
+
+
 def _q_clean_hot(spark, sf):
     r, hot = _source(spark, sf, HOT_EVERY, HOT_PLAN)
     return clean_readings(r, skew=hot)
@@ -141,6 +157,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sensor_data_rows": _q_sensor_data,
     "event_alert_rows": _q_event_alerts,
     "notifications": _q_notifications,
+    "detect_anomalies_limit_changes": _q_alerts_limit_changes,
+    "notifications_at_time": _q_notifications_at_time,
     "clean_readings_hot_device": _q_clean_hot,
     "detect_anomalies_hot_device": _q_alerts_hot,
 }
@@ -171,6 +189,10 @@ def oracle_queries() -> dict[str, str]:
             q, O.detect_anomalies(q, O.clean_readings(q, r(q))))),
         "notifications": _sql(lambda q: O.notifications(
             q, O.detect_anomalies(q, O.clean_readings(q, r(q))), RECIPIENTS)),
+        "detect_anomalies_limit_changes": _sql(
+            lambda q: O.detect_anomalies_as_of(q, O.clean_readings(q, r(q)), LIMITS_EVERY)),
+        "notifications_at_time": _sql(lambda q: O.notifications_as_of(
+            q, O.detect_anomalies(q, O.clean_readings(q, r(q))), RECIPIENTS_EVERY)),
         "clean_readings_hot_device": _sql(
             lambda q: O.clean_readings(q, r(q, hot_every=HOT_EVERY))),
         "detect_anomalies_hot_device": _sql(

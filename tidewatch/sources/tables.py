@@ -51,3 +51,24 @@ def readings(spark: SparkSession, sf_dir: str, devices: int = DEVICES,
              hot_every: int | None = None) -> DataFrame:
     return readings_from_events(load_table(spark, sf_dir, "events"), devices, hot_every)
 
+
+
+# Change logs derived from the events: a limits record with every 250th event
+# (some fields null), an entry of the recipients' list with every 125th.
+LIMITS_EVERY, RECIPIENTS_EVERY = 250, 125
+
+
+def limit_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = f"(event_id div {LIMITS_EVERY})"
+    return load_table(spark, sf_dir, "events").where(f"event_id % {LIMITS_EVERY} = 0").selectExpr(
+        "event_id AS seq", "0.0D AS coLower", f"4.5D + ({k} % 3) * 0.25D AS coUpper",
+        "0.0D AS humidityLower", f"50.0D + ({k} % 4) * 10.0D AS humidityUpper",
+        f"CASE WHEN {k} % 5 <> 0 THEN 150.0D + ({k} % 3) * 20.0D END AS lpgUpper",
+        f"4.0D + ({k} % 6) * 0.5D AS smokeUpper", f"26.0D + ({k} % 5) * 1.0D AS temperatureUpper")
+
+
+def recipient_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = f"(event_id div {RECIPIENTS_EVERY})"
+    return load_table(spark, sf_dir, "events").where(f"event_id % {RECIPIENTS_EVERY} = 0").selectExpr(
+        "event_id AS seq", f"concat('user', CAST({k} % 7 AS STRING), '@example.com') AS email",
+        f"CASE WHEN {k} % 3 = 2 THEN 'remove' ELSE 'add' END AS op")
