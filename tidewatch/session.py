@@ -45,6 +45,9 @@ def get_session(master: str | None = None, app: str = "tidewatch",
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -56,8 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir:
         if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        conf_dir = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        app = spark.sparkContext.applicationId  # one folder for all sessions of the application
+        if app not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
+        conf_dir = _LOCAL_FOLDERS[app]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir
