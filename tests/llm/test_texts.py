@@ -14,7 +14,6 @@ def test_pack_covers_every_id(docs):
     from tokenizers import Tokenizer
     path = queries.tokenizer("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     texts = ODD + [f"text {i} " * (i * 7 % 400) for i in range(80)]
     rows = packing.pack(docs(texts), path, buffer=16).collect()
     pieces, seqs = defaultdict(list), defaultdict(list)
@@ -159,7 +158,6 @@ def test_packing_ids_of_every_latin_character():
     from tokenizers import Tokenizer
     path = queries.tokenizer("byte_bpe_50k.json")
     own, tok = packing.Encoder(path), Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     assert own.merger is not None
     for c in map(chr, range(0x260)):
         for t in (c, f"a {c}{c} b1{c}2 'll{c}", f"  {c}\n{c} x{c}", f"<|endoftext|>{c}", c * 401):
@@ -241,3 +239,13 @@ def test_search_of_the_query_takes_every_twentieth_row(spark, monkeypatch):
         want = _bm25([x.text for x in rows], r.text, 10)
         assert [d for d, _ in got[r.doc_id]] == [rows[i].doc_id for i, _ in want]
         assert np.allclose([s for _, s in got[r.doc_id]], [s for _, s in want])
+
+
+def test_every_given_text_has_the_ids_of_the_unchanged_tokenizer():
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+    path = queries.tokenizer("byte_bpe_50k.json")
+    own, tok = packing.Encoder(path), Tokenizer.from_file(path)
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()
+    for t in [*texts, "hello <|endoftext|> x", "<|endoftext|>", "a  <|endoftext|>\n b"]:
+        assert own.encode(t) == np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()

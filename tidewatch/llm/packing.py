@@ -65,14 +65,15 @@ class Encoder:
     very long words or gaps goes to tiktoken over the same file, which gives the same ids
     for a third of the time. In other text a space that stands before a non-space always
     begins a token, so it is cut there and the ids of the parts remembered (at most ``keep``
-    of them; a matter of speed alone)."""
+    of them; a matter of speed alone). Text that spells an added token goes whole to the
+    tokenizer."""
 
     def __init__(self, path: str, end: int | None = 1, keep: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.merger = _merger(path)
         self.known: dict[str, bytes] = {}
         self.keep, self.end = keep, b"" if end is None else end.to_bytes(4, "little")
@@ -82,6 +83,8 @@ class Encoder:
 
     def encode(self, text: str | None) -> bytes:
         text = text or ""
+        if any(t in text for t in self.added):  # its spelling is one id, as the tokenizer has it
+            return self._raw([text])[0] + self.end
         if self.merger and not _ODD.search(text) and max(map(len, text.split(" "))) <= LONG:
             return array("I", self.merger.encode_ordinary(text)).tobytes() + self.end
         # runs of white space belong together: only a lone space between others is a border
