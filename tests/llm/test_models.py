@@ -13,6 +13,35 @@ def test_language_held_out(spark):
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.95
 
 
+def test_language_ridge_equals_brute_force():
+    texts = [f"{a} {b} text {i}" for i, (a, b) in enumerate([("der", "hund"), ("the", "cat"), ("le", "chat")] * 7)]
+    langs = ["de", "en", "fr"] * 7
+    model = language_id.fit_rows(texts, langs, max_n=3, buckets=1 << 12, landmarks=12, ridge=1e-2)
+    sets = [set(np.flatnonzero(language_id.presence(t, 3, 1 << 12))) for t in texts]
+
+    def kernel(a, b):
+        return len(a & b) / (len(a) * len(b)) ** 0.5
+
+    marks = sets[:12]  # dealt over the languages in turn, as the rows are
+    k = np.array([[kernel(a, b) for b in marks] for a in sets])
+    kmm = np.array([[kernel(a, b) for b in marks] for a in marks])
+    y = np.where(np.array(langs)[:, None] == np.array(["de", "en", "fr"])[None, :], 1.0, -1.0)
+    w = np.linalg.solve(k.T @ k + 1e-2 * len(texts) * kmm + 1e-8 * np.eye(12), k.T @ y)
+    assert model.languages == ["de", "en", "fr"] and np.allclose(model.weights, w, rtol=1e-3, atol=1e-3)
+
+
+def test_many_languages_and_rows_are_all_learned(spark):
+    rows = [(None if i % 9 == 0 else i // 3, " ".join([f"lang{i % 70}word"] * 3) + f" {i % 4}", f"l{i % 70:02d}", 1)
+            for i in range(560)]
+    rows += rows[:70] + [(1, "x" * 30_000, "long", 1), (2, None, "l00", 1), (3, "no", None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, th int")
+    model = language_id.fit(df, buckets=1 << 12, max_n=3, rows=210)
+    assert model.languages == [f"l{i:02d}" for i in range(70)] and len(model.landmarks) == 210
+    got = language_id.identify(spark.createDataFrame([(i, f"lang{i}word", "") for i in range(70)],
+                                                     "doc_id long, text string, lang string"), model).collect()
+    assert sum(r.lang_pred == f"l{r.doc_id:02d}" for r in got) >= 60
+
+
 def test_language_edges(docs):
     model = language_id.fit_rows(["the cat is here", "der hund ist da"] * 3, ["en", "de"] * 3)
     rows = language_id.identify(docs(ODD), model).orderBy("doc_id").collect()

@@ -10,16 +10,19 @@ texts at a time.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from tidewatch.llm.common import map_arrow
+from tidewatch.llm.common import cut, map_arrow
 
 UNDETERMINED = "und"
-#: Fitting uses at most this many labelled texts of a language and landmarks in all.
-TRAIN_PER_LANGUAGE, LANDMARKS, TRAIN_BYTES = 150, 128, 20_000
+#: Fitting uses at most this many labelled texts of a language and in all, of at most so many
+#: bytes; this many landmarks, or four a language where that is more.
+TRAIN_PER_LANGUAGE, TRAIN_ROWS, TRAIN_BYTES, LANDMARKS = 150, 3000, 20_000, 128
 _BLOCK = 1 << 20
 _CODEC = np.uint64(0x9E3779B97F4A7C15)
 
@@ -43,11 +46,20 @@ def presence(text: str, max_n: int = 4, buckets: int = 1 << 16) -> np.ndarray:
 @dataclass
 class Model:
     languages: list[str]
-    landmarks: np.ndarray  # landmark x bucket, rows scaled by 1 / sqrt(|G(z)|)
+    bits: np.ndarray  # landmark x bucket / 8: the presence vectors, packed
     weights: np.ndarray  # landmark x language
     max_n: int
     buckets: int
 
+    @cached_property
+    def landmarks(self) -> np.ndarray:
+        """landmark x bucket, rows scaled by 1 / sqrt(|G(z)|); made where it is used."""
+        marks = np.unpackbits(self.bits, axis=1, count=self.buckets).astype(np.float32)
+        return marks / np.sqrt(np.maximum(marks.sum(axis=1, keepdims=True), 1))
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "landmarks"}
+
     def kernel(self, grams: np.ndarray) -> np.ndarray:
         size = np.sqrt(np.maximum(grams.sum(axis=1), 1)).astype(np.float32)
         return (grams.astype(np.float32) @ self.landmarks.T) / size[:, None]
@@ -63,29 +75,35 @@ def fit_rows(texts: list[str], langs: list[str], max_n: int = 4, buckets: int =
     grams = np.array([presence(t, max_n, buckets) for t in texts]).reshape(len(texts), buckets)
     y = np.array([names.index(x) for x in langs], dtype=int)
     turn = sorted(range(len(y)), key=lambda i: (int((y[:i] == y[i]).sum()), y[i]))
-    marks = grams[turn[:landmarks]].astype(np.float32)
-    model = Model(names, marks / np.sqrt(np.maximum(marks.sum(axis=1, keepdims=True), 1)),
-                  np.zeros((len(marks), len(names)), np.float32), max_n, buckets)
+    marks = np.packbits(grams[turn[:max(landmarks, 4 * len(names))]], axis=1)
+    model = Model(names, marks, np.zeros((len(marks), len(names)), np.float32), max_n, buckets)
     if len(names):
-        k = model.kernel(grams).astype(np.float64)
-        kmm = model.kernel(marks > 0).astype(np.float64)
+        k = np.concatenate([model.kernel(grams[i:i + 64]) for i in range(0, len(grams), 64)]).astype(np.float64)
+        kmm = k[turn[:len(marks)]]
         target = np.where(y[:, None] == np.arange(len(names))[None, :], 1.0, -1.0)
         a = k.T @ k + ridge * len(y) * kmm + 1e-8 * np.eye(len(kmm))
         model.weights = np.linalg.solve(a, k.T @ target).astype(np.float32)
     return model
 
 
-def fit(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, **options) -> Model:
+def fit(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, rows: int = TRAIN_ROWS,
+        max_bytes: int = TRAIN_BYTES, **options) -> Model:
     """Fit on a bounded sample of (doc_id, text, lang): of each language the rows with the
-    smallest hash of doc_id, at most ``per_language`` of them with texts of at most
-    ``TRAIN_BYTES`` bytes. At most 64 languages, the commonest."""
-    rows = labelled.where(f"lang IS NOT NULL AND text IS NOT NULL AND octet_length(text) <= {TRAIN_BYTES}")
-    langs = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()]
-    taken = []
-    for lang in langs:
-        taken += rows.where(F.col("lang") == lang).orderBy(
-            F.xxhash64("doc_id"), "doc_id", "text").select("text", "lang").limit(per_language).collect()
-    return fit_rows([r.text for r in taken], [r.lang for r in taken], **options)
+    smallest hash of doc_id among those of at most ``max_bytes`` bytes, ``per_language`` of them
+    but together no more than ``rows`` (one a language at least). Every language is learned. Ids
+    and hashes alone are ranked; the texts are then read for the chosen ones. Equal rows count
+    once."""
+    usable = labelled.where(f"lang IS NOT NULL AND text IS NOT NULL AND octet_length(text) <= {max_bytes}")
+    keys = usable.selectExpr("lang", "doc_id", "xxhash64(doc_id) AS h", "xxhash64(text) AS th").distinct()
+    place = W.partitionBy("lang").orderBy("h", "doc_id", "th")
+    chosen = cut(keys.withColumn("place", F.row_number().over(place)).where(f"place <= {int(per_language)}"), "chosen")
+    languages = chosen.select("lang").distinct().count()
+    each = max(1, min(per_language, rows // max(1, languages)))
+    wanted = chosen.where(f"place <= {each}").selectExpr("lang AS _l", "doc_id AS _d", "th AS _t", "place AS _p")
+    taken = usable.join(F.broadcast(wanted), F.expr("lang = _l AND doc_id <=> _d AND xxhash64(text) = _t")).select(
+        "lang", "_p", "text").distinct().collect()  # at most ``rows`` texts, or one a language
+    taken = sorted(taken, key=lambda r: (r["lang"], r["_p"], r["text"]))
+    return fit_rows([r["text"] for r in taken], [r["lang"] for r in taken], **options)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
