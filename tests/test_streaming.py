@@ -172,3 +172,33 @@ def test_crash_mid_batch_then_restart(spark, scratch, monkeypatch):
     assert ea.count() == ba.count()
     assert ea.exceptAll(ba).count() == 0 and ba.exceptAll(ea).count() == 0
     assert spark.read.parquet(f"{out}/notifications").count() == ba.count()
+
+
+def test_edge_state_is_a_log_of_changes(spark, scratch):
+    """Rows written follow the devices seen; replays, compaction and clean-up change nothing."""
+    from tidewatch.operators.thresholds import empty_edge_state
+    from tidewatch.streaming.pipeline import EdgeStateTable
+    table = EdgeStateTable(spark, f"{scratch}/edges", compact_every=3)
+    schema = empty_edge_state(spark).schema
+
+    def rows(names, on):
+        return spark.createDataFrame([(n, on, False, False, False, False) for n in names], schema)
+
+    def state(below):
+        return {r.device: r.exc_co for r in table.read_before(below).collect()}
+
+    table.write(rows([f"d{i}" for i in range(50)], True), 0)
+    want = {f"d{i}": True for i in range(50)}
+    assert state(0) == {} and state(1) == want
+    for batch in range(1, 12):
+        seen = {f"d{batch}": False, f"new{batch}": True}
+        before = state(batch)
+        assert before == want
+        for _ in range(2):  # the second time is a replay
+            table.write(rows([f"d{batch}"], False).union(rows([f"new{batch}"], True)), batch)
+            assert spark.read.parquet(f"{scratch}/edges/delta={batch}").count() == 2
+            assert state(batch) == before
+        want = {**want, **seen}
+    assert state(12) == want
+    kept = sorted(os.listdir(f"{scratch}/edges"))
+    assert sum(k.startswith("base=") for k in kept) == 2 and sum(k.startswith("delta=") for k in kept) <= 6

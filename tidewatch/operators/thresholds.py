@@ -146,18 +146,16 @@ def detect_anomalies_incremental(readings: DataFrame, prior_state: DataFrame,
     ``prior_state`` (device, exc_<sensor>...) holds the verdicts as they were
     taken when each device's last reading was checked, under the limits of
     that time; the first reading of a device in this slice compares against
-    it (``false`` when the device is new). Returns the alerts and the new
-    state (prior state overwritten by the last verdicts of this slice).
+    it (``false`` when the device is new). Returns the alerts and the changes of
+    state: the last verdicts of the devices with a checked reading in this slice.
     """
     kept = _kept(readings, limits)
     with_prev = kept.selectExpr("*", *_lags("device", None))
     prior = prior_state.selectExpr("device", *[f"exc_{s} AS st_{s}" for s in SENSORS])
     joined = with_prev.join(prior, "device", "left")
     alerts = _edges_to_alerts(joined, lambda s: f"coalesce(prev_{s}, st_{s}, false)")
-    last = (kept.groupBy("device")
-            .agg(F.expr("max_by(struct(" + ", ".join(f"exc_{s}" for s in SENSORS) + "), seq)")
-                 .alias("l"))
-            .selectExpr("device", *[f"l.exc_{s} AS n_{s}" for s in SENSORS]))
-    new_state = (prior_state.join(last, "device", "full_outer")
-                 .selectExpr("device", *[f"coalesce(n_{s}, exc_{s}) AS exc_{s}" for s in SENSORS]))
-    return alerts, new_state
+    changes = (kept.groupBy("device")
+               .agg(F.expr("max_by(struct(" + ", ".join(f"exc_{s}" for s in SENSORS) + "), seq)")
+                    .alias("l"))
+               .selectExpr("device", *[f"l.exc_{s} AS exc_{s}" for s in SENSORS]))
+    return alerts, changes

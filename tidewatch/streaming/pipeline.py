@@ -4,9 +4,9 @@ sensor_data, limits check, event_alerts, notifications (T5-T7, K1-K5).
 Limits are re-read at every micro-batch inside ``foreachBatch`` (a stream-
 static join would keep serving the limits it saw first), so a change is
 visible from the next batch on, while the per-device edge state survives it:
-that state is a small versioned table (one version per batch id) in the
-shared checkpoint folder. Batch N reads the newest version below N and writes
-version N, so a replayed batch starts from the same prior state, and every
+that state is a log of changes, keyed by batch id and compacted now and then,
+in the shared checkpoint folder. Batch N reads what lies below N and writes the
+devices it saw, so a replayed batch starts from the same prior state, and every
 output folder is keyed by batch id, so a replay overwrites instead of
 duplicating. Good and bad messages leave one parse under a tag and one query,
 so the dead letter shares the checkpoint of the other sinks.
@@ -15,8 +15,10 @@ so the dead letter shares the checkpoint of the other sinks.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.notify import build_notifications
@@ -30,7 +32,8 @@ from ..session import checkpoint_path
 from .processor import clean_stream
 
 
-def _versions(spark: SparkSession, folder: str) -> list[int]:
+def _versions(spark: SparkSession, folder: str, kind: str) -> list[int]:
+    """Completed folders ``<kind>=<batch id>``, by batch id."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -39,28 +42,56 @@ def _versions(spark: SparkSession, folder: str) -> list[int]:
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
+        if name.startswith(f"{kind}=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[len(kind) + 1:]))
     return sorted(out)
 
 
 class EdgeStateTable:
-    """Versioned (device, exc_<sensor>...) table for W4 across micro-batches."""
+    """(device, exc_<sensor>...) for W4 across micro-batches, as a log of changes.
 
-    def __init__(self, spark: SparkSession, folder: str, keep: int = 3):
-        self.spark, self.folder, self.keep = spark, folder.rstrip("/"), keep
+    Batch N writes the last verdicts of the devices it saw (``delta=N``); after
+    ``compact_every`` deltas also the whole state up to N (``base=N``). The state
+    before N is the newest base below N with the deltas after it, the newest
+    entry of a device counting. A replayed batch reads only what lies below it
+    and overwrites its own folders. The last two bases and the deltas since the
+    older one are kept."""
+
+    def __init__(self, spark: SparkSession, folder: str, compact_every: int = 16):
+        self.spark, self.folder, self.compact_every = spark, folder.rstrip("/"), int(compact_every)
+
+    def _parts(self, below: int) -> tuple[int | None, list[int]]:
+        bases = [v for v in _versions(self.spark, self.folder, "base") if v < below]
+        base = bases[-1] if bases else None
+        deltas = [v for v in _versions(self.spark, self.folder, "delta")
+                  if v < below and (base is None or v > base)]
+        return base, deltas
 
     def read_before(self, batch_id: int) -> DataFrame:
-        older = [v for v in _versions(self.spark, self.folder) if v < batch_id]
-        if not older:
+        base, deltas = self._parts(batch_id)
+        schema = empty_edge_state(self.spark).schema
+        frames = [self.spark.read.schema(schema).parquet(f"{self.folder}/{kind}={v}").withColumn("_v", F.lit(v))
+                  for kind, v in [("base", base)] * (base is not None) + [("delta", v) for v in deltas]]
+        if not frames:
             return empty_edge_state(self.spark)
-        return self.spark.read.parquet(f"{self.folder}/v={older[-1]}")
-
-    def write(self, state: DataFrame, batch_id: int) -> None:
-        state.write.mode("overwrite").parquet(f"{self.folder}/v={batch_id}")
+        log = reduce(DataFrame.union, frames)
+        verdicts = ", ".join(c for c in schema.fieldNames() if c != "device")
+        return log.groupBy("device").agg(F.expr(f"max_by(struct({verdicts}), _v)").alias("s")).select("device", "s.*")
+
+    def write(self, changes: DataFrame, batch_id: int) -> None:
+        """``changes``: one row per device seen in the batch."""
+        changes.write.mode("overwrite").parquet(f"{self.folder}/delta={batch_id}")
+        if len(self._parts(batch_id + 1)[1]) >= self.compact_every:
+            self.read_before(batch_id + 1).write.mode("overwrite").parquet(f"{self.folder}/base={batch_id}")
+            bases = _versions(self.spark, self.folder, "base")
+            if len(bases) > 1:
+                self._drop([("base", v) for v in bases[:-2]]
+                           + [("delta", v) for v in _versions(self.spark, self.folder, "delta") if v <= bases[-2]])
+
+    def _drop(self, parts: list[tuple[str, int]]) -> None:
         jvm = self.spark._jvm
-        for v in _versions(self.spark, self.folder)[:-self.keep]:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/v={v}")
+        for kind, v in parts:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{kind}={v}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -86,7 +117,7 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
             if debug_rows:
                 write_table(batch, "", "console")
             limits = resolve_limits(limits_loader(spark) if limits_loader else None)
-            alerts, new_state = detect_anomalies_incremental(
+            alerts, changes = detect_anomalies_incremental(
                 batch, edges.read_before(batch_id), limits)
             alerts.persist()
             try:
@@ -94,7 +125,7 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
                 recipients = recipients_loader(spark) if recipients_loader else None
                 write_notifications(build_notifications(alerts, recipients, zone),
                                     f"{out}/notifications", batch_id)
-                edges.write(new_state, batch_id)
+                edges.write(changes, batch_id)
             finally:
                 alerts.unpersist()
         finally:
