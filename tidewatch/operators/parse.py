@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..schema import READING_COLUMNS, SENSORS
+from ..schema import MESSAGE_PLACE, READING_COLUMNS, SENSORS
 
 _MALFORMED = "malformed"
 _FIELD_ORDER = ("ts", "device", "co", "humidity", "light", "lpg", "motion", "smoke", "temp")
@@ -54,13 +54,20 @@ def _valid_sql(name: str) -> tuple[str, str]:
             "'^([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[+-]?Infinity|NaN)$')")
 
 
+def _place(raw: DataFrame) -> list[str]:
+    """Where a message came from, if the source says so: with ``seq``, which then is an offset
+    within it, the order of a device's messages."""
+    return [c for c in MESSAGE_PLACE if c in raw.columns]
+
+
 def _parsed(raw: DataFrame) -> DataFrame:
     """Parse once, read each field once, then decide. The decision is emitted
     through a one-element ``inline`` so that a later filter on ``reason``
     cannot be pushed below it and re-inline the parse into the predicate
     (which would repeat the parse per reference and outgrow codegen)."""
-    staged = (raw.selectExpr("seq", "value", "try_parse_json(value) AS _v")
-              .selectExpr("seq", "value", "_v", *_staged_sql()))
+    place = _place(raw)
+    staged = (raw.selectExpr("seq", *place, "value", "try_parse_json(value) AS _v")
+              .selectExpr("seq", *place, "value", "_v", *_staged_sql()))
     checked = {n: _valid_sql(n) for n in _FIELD_ORDER}
     all_ok = " AND ".join(checked[n][1] for n in _FIELD_ORDER)
     # the whole-object check only runs for messages that already failed
@@ -71,20 +78,23 @@ def _parsed(raw: DataFrame) -> DataFrame:
               + " END")
     fields = ", ".join(f"'{n}', {checked[n][0]}" for n in _FIELD_ORDER)
     return staged.selectExpr(
-        "seq", "value", f"inline(array(named_struct({fields}, 'reason', {reason})))")
+        "seq", *place, "value", f"inline(array(named_struct({fields}, 'reason', {reason})))")
 
 
 def parse_messages(raw: DataFrame) -> DataFrame:
-    """Every message once: the columns of a reading, ``value`` (the raw text) and ``reason``,
-    which is null for good messages and tags the bad ones, whose other fields do not count."""
+    """Every message once: the columns of a reading, ``topic`` and ``partition`` where the source
+    has them, ``value`` (the raw text) and ``reason``, which is null for good messages and tags
+    the bad ones, whose other fields do not count."""
     return _parsed(raw).selectExpr(
-        *[f"false AS {c}" if c in ("rejected", "suspicious") else c for c in READING_COLUMNS], "value", "reason")
+        *[f"false AS {c}" if c in ("rejected", "suspicious") else c for c in READING_COLUMNS], *_place(raw),
+        "value", "reason")
 
 
 def parse_readings(raw: DataFrame) -> DataFrame:
-    """Good messages as readings (both flags false)."""
+    """Good messages as readings (both flags false), with ``topic`` and ``partition`` where the
+    source has them."""
     return _parsed(raw).where("reason IS NULL").selectExpr(
-        *[f"false AS {c}" if c in ("rejected", "suspicious") else c for c in READING_COLUMNS])
+        *[f"false AS {c}" if c in ("rejected", "suspicious") else c for c in READING_COLUMNS], *_place(raw))
 
 
 def quarantine(raw: DataFrame) -> DataFrame:

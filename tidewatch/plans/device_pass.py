@@ -21,11 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..schema import MESSAGE_PLACE
 from ..session import ship_package
 
 
 def device_ordered(df: DataFrame, key: str = "device", order: str = "seq") -> DataFrame:
-    return df.repartition(key).sortWithinPartitions(key, order)
+    """By key, then by the place a message came from (where the rows name it), then by offset."""
+    place = [c for c in MESSAGE_PLACE if c in df.columns]
+    return df.repartition(key).sortWithinPartitions(key, *place, order)
 
 
 def batch_arrays(rb: pa.RecordBatch) -> dict[str, np.ndarray]:

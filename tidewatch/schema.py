@@ -97,3 +97,6 @@ RAW_MESSAGE = T.StructType([
     T.StructField("seq", T.LongType(), True),
     T.StructField("value", T.StringType(), True),
 ])
+
+# Where a message came from; offsets (``seq``) are an order within one such place only.
+MESSAGE_PLACE = ("topic", "partition")

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..plans.pipeline import CleaningFold, with_outlier_verdict
-from ..schema import PHYSICAL_BOUNDS, READING, READING_COLUMNS, SENSORS
+from ..schema import MESSAGE_PLACE, PHYSICAL_BOUNDS, READING, READING_COLUMNS, SENSORS
 from ..session import ship_package
 
 STATE = T.StructType([
@@ -70,13 +70,14 @@ def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataF
     """Streaming counterpart of ``clean_readings`` (same output columns).
 
     Of parsed messages (with ``value`` and ``reason``, see ``parse_messages``) the
-    good ones are cleaned and the bad ones passed on under their tag, so that one
+    good ones are cleaned in the order of (topic, partition, seq), as far as the source names them, and the bad ones passed on under their tag, so that one
     query, one parse and one checkpoint serve every sink."""
     ship_package(readings.sparkSession)
     fold = CleaningFold(**params)
     tagged = "reason" in readings.columns
     more = ("value", "reason") if tagged else ()
     columns = [*READING_COLUMNS, *more]
+    place = [c for c in MESSAGE_PLACE if c in readings.columns]
 
     def process(key, batches, state):
         pdf = pd.concat(list(batches), ignore_index=True)
@@ -86,7 +87,7 @@ def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataF
             kept = ("seq", *more)
             yield pd.DataFrame({c: pdf[c] if c in kept else None for c in columns}).assign(_nan_bits=0)
             return
-        pdf = pdf.sort_values("seq", kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values([*place, "seq"], kind="stable").reset_index(drop=True)
         current = decode_state(state.get) if state.exists else fold.init_state()
         arrays = {c: pdf[c].to_numpy() for c in pdf.columns}
         changed, current = fold.step(arrays, current)
@@ -97,7 +98,7 @@ def clean_stream(readings: DataFrame, bounds=PHYSICAL_BOUNDS, **params) -> DataF
             bits |= np.isnan(out[sensor].to_numpy(dtype=np.float64)).astype(np.int32) << k
         yield out.assign(_nan_bits=bits)
 
-    rows = with_outlier_verdict(readings.select(*columns), bounds)
+    rows = with_outlier_verdict(readings.select(*columns, *place), bounds)
     keyed = rows.selectExpr("*", _KEY).groupBy("_key") if tagged else rows.groupBy("device")
     return _restore_nans(keyed.applyInPandasWithState(
         process, _TAGGED if tagged else _OUT, STATE, "append", GroupStateTimeout.NoTimeout), *more)
