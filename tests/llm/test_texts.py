@@ -143,7 +143,7 @@ def test_pii(docs):
         d = [int(c) for c in s if c.isdigit()][::-1]
         return sum(d[::2] + [x * 2 - 9 * (x > 4) for x in d[1::2]]) % 10 == 0
     cards = [p.value for p in rows[0].pii if p.kind == "card"]
-    assert luhn(cards[0]) and not luhn(cards[1])
+    assert len(cards) == 1 and luhn(cards[0]) and "4111 1111 1111 1112" in out
     assert pii.pseudonymise(docs([]), "k").count() == 0
 
 

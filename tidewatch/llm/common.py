@@ -24,6 +24,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apart(docs: DataFrame, operator) -> DataFrame:
+    """``operator`` on ``docs`` whose columns beside doc_id and text go by names that no operator
+    uses; they get their own back. A result that adds a column must not bear one of theirs."""
+    names = {c if c in ("doc_id", "text") else f"__column_{i}": c for i, c in enumerate(docs.columns)}
+    out = operator(docs.toDF(*names))
+    return out.toDF(*[names.get(c, c) for c in out.columns])
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with small batches and this package on the workers."""
     ship_package(df.sparkSession)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidewatch.llm.common import cut
+from tidewatch.llm.common import apart, cut
 
 _HAS_WORD = r"'[^\\x20\\x09-\\x0D]'"
 _WORDS = r"filter(split(line, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
@@ -96,9 +96,13 @@ def line_dedup(docs: DataFrame, min_words: int = 10) -> DataFrame:
 
     Null text stays null with zero lines; empty text stays empty. Rows equal in doc_id and
     text are one document at one place: each keeps the same lines. A null doc_id sorts
-    first. Extra columns pass through; columns of the three names are replaced.
+    first. An empty table gives no rows. Extra columns pass through whatever their names; columns
+    of the three names are replaced.
     """
-    docs = docs.drop("n_lines", "n_equal", "n_near")
+    return apart(docs.drop("n_lines", "n_equal", "n_near"), lambda d: _without_copies(d, min_words))
+
+
+def _without_copies(docs: DataFrame, min_words: int) -> DataFrame:
     marks = cut(line_marks(docs.select("doc_id", "text"), min_words), "marks") \
         .groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(
         F.collect_set(F.expr("CASE WHEN NOT near THEN pos END")).alias("_f"),

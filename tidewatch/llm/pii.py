@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import apart
+
 ROUNDS = 8
 #: 1900-01-01 to 2099-12-31 has 73049 = 17 x 4297 days: the two halves of the date network.
 DAY_ONE, DAYS = "1900-01-01", (17, 4297)
@@ -162,14 +164,21 @@ def _replace(h: str, key: str) -> str:
             f"WHEN 'card' THEN {_card(v, key)} WHEN 'secret' THEN {_chars(v, key)} ELSE {v} END")
 
 
-def pseudonymise(docs: DataFrame, key: str, luhn: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, luhn: bool = True) -> DataFrame:
     """All columns of ``docs`` with the values in ``text`` replaced, plus ``pii`` (array of
     struct<kind, value>: the pseudonyms in order; kind null: looked like one, not valid,
-    left alone). ``luhn``: numbers are cards only where the check holds. Null text stays null
-    with an empty array; extra columns pass through, a column named ``pii`` is replaced."""
+    left alone). Numbers are cards only where the Luhn check holds (``luhn`` False takes every
+    card-like number). Equal values get equal pseudonyms in every row. Null text stays null with
+    an empty array; null ids and repeated rows stay as they are; texts are replaced whole,
+    whatever their length; an empty table gives no rows. Extra columns pass through whatever
+    their names, a column named ``pii`` is replaced."""
+    return apart(docs.drop("pii"), lambda d: _replaced(d, key, luhn))
+
+
+def _replaced(docs: DataFrame, key: str, luhn: bool) -> DataFrame:
     any_ = _lit("|".join(_ROWS.values()) if luhn else ANY)
     parts = _parts("m") if luhn else f"array(struct(m AS v, {_kind('m')} AS kind))"
-    found = docs.drop("pii").withColumn("_h", F.expr(
+    found = docs.withColumn("_h", F.expr(
         f"transform(regexp_extract_all(coalesce(text, ''), {any_}, 0), m -> {parts})"))
     moved = found.withColumn("_p", F.expr(
         f"transform(_h, g -> transform(g, h -> struct(h.kind AS kind, {_replace('h', _lit(key))} AS value)))"))
@@ -177,4 +186,4 @@ def pseudonymise(docs: DataFrame, key: str, luhn: bool = False) -> DataFrame:
         "flatten(transform(_p, g -> filter(g, p -> size(g) = 1 OR p.kind IS NOT NULL)))")).withColumn("text", F.expr(
         f"CASE WHEN size(_p) = 0 THEN text ELSE array_join(flatten(zip_with(split(text, {any_}, -1), _p, "
         f"(s, g) -> CASE WHEN g IS NULL THEN array(s) ELSE concat(array(s), transform(g, p -> p.value)) END)), '') END")) \
-        .drop("_h", "_p").select(*[c for c in docs.columns if c != "pii"], "pii")
+        .select(*docs.columns, "pii")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import cut, map_arrow
+from tidewatch.llm.common import apart, cut, map_arrow
 from tidewatch.llm.graph import components
 
 BLOCK = 1 << 16
@@ -110,7 +110,13 @@ def simhash_components(docs: DataFrame, width: int = 3, max_bits: int = 3) -> Da
 def near_dedup(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     """Keep one row of every component, all columns: the least by (doc_id, hash of the text,
     hash of the row), a null doc_id last. Rows of other components stay, whatever their ids:
-    several rows may share an id or have none. Of rows equal in every column one stays."""
+    several rows may share an id or have none. Of rows equal in every column one stays. Null
+    and wordless texts are one component; an empty table gives no rows; extra columns pass
+    through whatever their names."""
+    return apart(docs, lambda d: _survivors(d, width, max_bits))
+
+
+def _survivors(docs: DataFrame, width: int, max_bits: int) -> DataFrame:
     plain = ", ".join(f"`{c}`" for c, t in docs.dtypes if "map<" not in t and "variant" not in t)
     hashes = "xxhash64(text) AS _th", f"xxhash64({plain}) AS _rh"
     fps, named = _named(docs.selectExpr("cast(doc_id AS long) AS doc_id", *hashes, "text"), width, max_bits)
