@@ -2,14 +2,17 @@
 
 Each stage works on all that the one before it kept and is written as Parquet below
 ``spark.checkpoint.dir``. Null texts have no language and go in the first stage; an empty
-table gives no rows; extra columns pass through every stage but the last."""
+table gives no rows; extra columns, whatever their names, pass through every stage but the last.
+Repeated rows are one place to the line stage and one document to the near-duplicate stage,
+which keeps of a group the row least by doc_id, then by its hashes; texts are worked on whole,
+whatever their length."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import language_id, line_dedup, packing, pii, queries, simhash_dedup
-from tidewatch.llm.common import cut, table
+from tidewatch.llm.common import apart, cut, table
 from tidewatch.session import ensure_checkpoint_dir
 
 
@@ -21,7 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines seen earlier go; ``n_chars`` follows the text."""
-    out = line_dedup.line_dedup(docs).drop("n_lines", "n_equal", "n_near")
+    out = apart(docs, lambda d: line_dedup.line_dedup(d).select(*d.columns))
     return out.selectExpr(*["cast(length(text) AS bigint) AS n_chars" if c == "n_chars" else f"`{c}`"
                             for c in docs.columns])
 
@@ -33,7 +36,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values are replaced; texts keep their lengths."""
-    return pii.pseudonymise(docs, queries.PII_KEY, luhn=True).select(*docs.columns)
+    return apart(docs, lambda d: pii.pseudonymise(d, queries.PII_KEY, luhn=True).select(*d.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
