@@ -267,23 +267,27 @@ def run_batch(readings: DataFrame, limits=None, **params) -> tuple[DataFrame, Da
 
 
 def write_batch(readings: DataFrame, out_dir: str, limits=None, recipients=None,
-                zone: str = "UTC", fmt: str = "parquet", **params) -> None:
+                zone: str = "UTC", fmt: str = "parquet", sinks: dict[str, dict] | None = None,
+                batch_id: int | None = None, **params) -> None:
     """The batch job: sensor_data (K1), event_alerts (K2) and notifications
     (K3) from one pass. The pass output is persisted (memory, spilling to
     disk) while the three tables are written; a lost executor's partitions
-    are recomputed from lineage."""
+    are recomputed from lineage. ``sinks`` gives an output a format and writer
+    options of its own ({"sensor_data": {"fmt": "jdbc", "url": .., "dbtable": ..}});
+    with ``batch_id`` a second run replaces the rows of the first."""
     from pyspark import StorageLevel
 
     from ..operators.notify import build_notifications
-    from ..sinks.tables import write_event_alerts, write_notifications, write_sensor_data
+    from ..sinks.tables import sink_options, write_event_alerts, write_notifications, write_sensor_data
 
+    to = sink_options(sinks, fmt)
     both = clean_and_detect(readings, limits, **params).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out = out_dir.rstrip("/")
-        write_sensor_data(both.select(*readings.columns), f"{out}/sensor_data", fmt=fmt)
+        write_sensor_data(both.select(*readings.columns), f"{out}/sensor_data", batch_id, **to["sensor_data"])
         alerts = alerts_from_edges(both)
-        write_event_alerts(alerts, f"{out}/event_alerts", fmt=fmt)
+        write_event_alerts(alerts, f"{out}/event_alerts", batch_id, **to["event_alerts"])
         write_notifications(build_notifications(alerts, recipients, zone),
-                            f"{out}/notifications", fmt=fmt)
+                            f"{out}/notifications", batch_id, **to["notifications"])
     finally:
         both.unpersist()

@@ -4,8 +4,8 @@ Every sink is an append of one DataFrame. In a stream each write happens
 inside ``foreachBatch`` under the micro-batch id: parquet output goes to a
 ``batch_id=<id>`` folder written with mode overwrite, so a replayed batch
 replaces its own earlier output instead of duplicating it. JDBC output
-(the original target was a PostgreSQL table) uses Spark's JDBC writer; rows
-carry ``seq`` so the target can deduplicate on (device, seq).
+(the original target was a PostgreSQL table) goes through a staging table and
+one transaction, which replaces the batch likewise (``sinks/jdbc.py``).
 """
 
 from __future__ import annotations
@@ -13,14 +13,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.project import to_event_alerts, to_sensor_data
+from .jdbc import replace_batch
+
+OUTPUTS = ("sensor_data", "event_alerts", "notifications", "quarantine")
+
+
+def sink_options(sinks: dict[str, dict] | None, fmt: str = "parquet") -> dict[str, dict]:
+    """Of each output the format and writer options: those of ``sinks``, by
+    the output's name, else ``fmt`` without options."""
+    unknown = set(sinks or {}) - set(OUTPUTS)
+    if unknown:
+        raise ValueError(f"no such output: {', '.join(sorted(unknown))}")
+    return {name: {"fmt": fmt, **(sinks or {}).get(name, {})} for name in OUTPUTS}
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", batch_id: int | None = None,
                 **options) -> None:
-    """Append ``df`` to a table folder; with ``batch_id`` the write is
-    idempotent per batch."""
+    """Append ``df`` to a table folder, or to the table named by the option
+    ``dbtable``; with ``batch_id`` the write is idempotent per batch."""
     if fmt == "jdbc":
-        df.write.format("jdbc").options(**options).mode("append").save()
+        if batch_id is None:
+            df.write.format("jdbc").options(**options).mode("append").save()
+        else:
+            replace_batch(df, batch_id, options)
         return
     if fmt == "console":
         for line in df.toJSON().toLocalIterator():  # every row, a partition at a time

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.notify import build_notifications
 from ..operators.parse import parse_messages
 from ..operators.thresholds import detect_anomalies_incremental, empty_edge_state
-from ..sinks.tables import (write_event_alerts, write_notifications, write_quarantine,
+from ..sinks.tables import (sink_options, write_event_alerts, write_notifications, write_quarantine,
                             write_sensor_data, write_table)
 from ..sources.config import resolve_limits
 from ..schema import READING_COLUMNS
@@ -99,11 +99,15 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
                       limits_loader: Callable[[SparkSession], object] | None = None,
                       recipients_loader: Callable[[SparkSession], object] | None = None,
                       state_dir: str | None = None, zone: str = "UTC",
-                      debug_rows: int = 0):
+                      debug_rows: int = 0, sinks: dict[str, dict] | None = None):
     """The ``foreachBatch`` function for cleaned readings (``debug_rows``
     also prints every cleaned reading of a batch: the debug print, K4). Bad
-    messages that come along under a ``reason`` go to the dead letter (K5)."""
+    messages that come along under a ``reason`` go to the dead letter (K5).
+    ``sinks`` gives an output a format and writer options of its own
+    ({"sensor_data": {"fmt": "jdbc", "url": .., "dbtable": ..}}); the others
+    are Parquet folders."""
     out = out_dir.rstrip("/")
+    to = sink_options(sinks)
     edges = EdgeStateTable(spark, state_dir or checkpoint_path(spark, "edge-state"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -111,9 +115,9 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
         try:
             if "reason" in batch.columns:
                 write_quarantine(arrived.where("reason IS NOT NULL").select("seq", "value", "reason"),
-                                 f"{out}/quarantine", batch_id)
+                                 f"{out}/quarantine", batch_id, **to["quarantine"])
                 batch = arrived.where("reason IS NULL").select(*READING_COLUMNS)
-            write_sensor_data(batch, f"{out}/sensor_data", batch_id)
+            write_sensor_data(batch, f"{out}/sensor_data", batch_id, **to["sensor_data"])
             if debug_rows:
                 write_table(batch, "", "console")
             limits = resolve_limits(limits_loader(spark) if limits_loader else None)
@@ -121,10 +125,10 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
                 batch, edges.read_before(batch_id), limits)
             alerts.persist()
             try:
-                write_event_alerts(alerts, f"{out}/event_alerts", batch_id)
+                write_event_alerts(alerts, f"{out}/event_alerts", batch_id, **to["event_alerts"])
                 recipients = recipients_loader(spark) if recipients_loader else None
                 write_notifications(build_notifications(alerts, recipients, zone),
-                                    f"{out}/notifications", batch_id)
+                                    f"{out}/notifications", batch_id, **to["notifications"])
                 edges.write(changes, batch_id)
             finally:
                 alerts.unpersist()
@@ -138,9 +142,11 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
                    limits_loader=None, recipients_loader=None,
                    checkpoint_dir: str | None = None, trigger_seconds: float | None = 10.0,
                    available_now: bool = False, parse: bool = True,
-                   debug_rows: int = 0, **params) -> list[StreamingQuery]:
+                   debug_rows: int = 0, sinks: dict[str, dict] | None = None,
+                   **params) -> list[StreamingQuery]:
     """Start the one query that parses, cleans and alerts, with all its sinks
-    under one checkpoint (``debug_rows`` prints cleaned readings per batch, K4).
+    under one checkpoint (``debug_rows`` prints cleaned readings per batch, K4;
+    ``sinks``: see ``make_batch_writer``).
     ``messages`` is a streaming (seq, value) frame, or a stream of typed
     readings when ``parse=False``."""
     ckpt = (checkpoint_dir or checkpoint_path(spark, "stream")).rstrip("/")
@@ -161,6 +167,6 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
     # every message is parsed once; good and bad ones travel under a tag
     cleaned = clean_stream(parse_messages(messages) if parse else messages, **params)
     handler = make_batch_writer(spark, out, limits_loader, recipients_loader,
-                                state_dir=f"{ckpt}/edge-state", debug_rows=debug_rows)
+                                state_dir=f"{ckpt}/edge-state", debug_rows=debug_rows, sinks=sinks)
     return [trig(cleaned.writeStream.foreachBatch(handler)
                  .option("checkpointLocation", f"{ckpt}/clean")).start()]
