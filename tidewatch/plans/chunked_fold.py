@@ -121,7 +121,9 @@ def _chunk_pass(batches, fold, arrow_schema, to_state, from_state, keep=None):
                 continue
             if mark[s]:
                 if arrays["_state"][s] is not None:
-                    state = restore(from_state(arrays["_state"][s]))
+                    given = from_state(arrays["_state"][s])
+                    # as a chunk reported it, or as it was kept from an earlier slice
+                    state = fold.resume_state(**given) if isinstance(given, dict) else restore(given)
                 old = arrays["_old"][s]
             if not warm[s] and entry is None:
                 entry = to_state(view(state))
@@ -188,6 +190,41 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
     ``fold`` may carry part of its state across borders itself instead of
     having it verified (``verify_view``, ``open_chunk``, ``summary_extra``,
     ``carry_table``, ``carry_fix``, ``restore_state``; see ``CleaningFold``)."""
+    return _chunked(df, fold, hot, schema, warm, to_state, from_state, keep)[0]
+
+
+def chunked_fold_states(df: DataFrame, fold, hot: HotSet, schema: T.StructType | None = None,
+                        prior: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The same for one slice of an unbounded input: each device's first chunk
+    starts from its row of ``prior`` (device, state, starts; none: from the
+    empty state), and (device, state, starts, last) after the slice come back
+    as a second frame, one row a device of ``df``. Devices that are not in the
+    slice are left out before the pass."""
+    rows, summary = _chunked(df, fold, hot, schema, prior=prior)
+    return rows, fold.end_states(summary)
+
+
+def _flagged(df: DataFrame, hot: HotSet, warm_len: str) -> DataFrame:
+    if not hot.any:
+        return df.sparkSession.createDataFrame([], f"{KEY} string, _hot boolean, _warm_len bigint")
+    return hot.devices.selectExpr(KEY, "true AS _hot", f"CAST({warm_len} AS BIGINT) AS _warm_len")
+
+
+def _prior_marks(df: DataFrame, flagged: DataFrame, prior: DataFrame, span: int) -> DataFrame:
+    """The mark row that opens each device's first chunk with its earlier state."""
+    first = df.join(flagged, KEY).groupBy(KEY).agg(F.min(F.expr(f"{ORDER} div {span}")).alias("_first"))
+    seen = prior.join(df.select(KEY).distinct(), KEY, "left_semi").join(first, KEY, "left")
+    at = "CAST(coalesce(_first, 0) AS BIGINT)"
+    return seen.selectExpr(*[KEY if f.name == KEY else _placeholder(f) for f in df.schema.fields],
+                           f"{at} AS _chunk", "false AS _warm", f"{at} AS _from", "true AS _mark",
+                           "concat('{\"state\":', state, ',\"starts\":', coalesce(to_json(starts), 'null'), '}') AS _state",
+                           "CAST(NULL AS STRING) AS _old")
+
+
+def _chunked(df: DataFrame, fold, hot: HotSet, schema: T.StructType | None = None,
+             warm: int | None = None, to_state=_state_text, from_state=_state_from_text,
+             keep=None, prior: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows, and the chunk summaries after the last repair."""
     out_schema = schema if schema is not None else df.schema
     span = int(hot.plan.span)
     spark = df.sparkSession
@@ -196,7 +233,7 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
     carries = getattr(fold, "carries_starts", False)
 
     warm_len = str(int(warm)) if warm is not None else "warm"
-    flagged = hot.devices.selectExpr(KEY, "true AS _hot", f"CAST({warm_len} AS BIGINT) AS _warm_len")
+    flagged = _flagged(df, hot, warm_len)
     flagged = F.broadcast(flagged) if hot.count <= MAX_BROADCAST_KEYS else flagged
     data = (df.join(flagged, KEY, "left")
             .selectExpr(*df.columns,
@@ -225,7 +262,10 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
         return out.withColumn("_round", F.lit(number)).checkpoint(eager=True)
 
     plain = ("false AS _mark", "CAST(NULL AS STRING) AS _state", "CAST(NULL AS STRING) AS _old")
-    out = run(data.selectExpr("*", "_chunk AS _from", *plain), 0)
+    opening = data.selectExpr("*", "_chunk AS _from", *plain)
+    if prior is not None:
+        opening = opening.unionByName(_prior_marks(df, flagged, prior, span))
+    out = run(opening, 0)
     rows = out.where("_kind = 0")
     summary = out.where("_kind = 1")
     rounds = runs = 0
@@ -257,4 +297,4 @@ def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType |
         rows = rows.join(last, [KEY, "_chunk"], "left").where("_round = coalesce(_last, 0)")
     if carries:
         rows = fold.carry_fix(rows, fold.carry_table(summary))
-    return rows.select(*out_schema.fieldNames())
+    return rows.select(*out_schema.fieldNames()), summary

@@ -26,6 +26,7 @@ from ..schema import (PHYSICAL_BOUNDS, SENSORS, SPIKE_THRESHOLD, SPIKE_WINDOW,
 from ..sources.config import resolve_limits
 from .chunked_fold import chunked_device_fold
 from .device_pass import device_fold
+from .expiry import ExpiringFold
 from .skew import SkewPlan, resolve
 
 
@@ -147,22 +148,50 @@ class CleaningFold:
             s3 = [None if x is None else (x[0], int(x[1])) for x in s3]
         return (s1, s2, s3, s4, None)
 
-    def carry_table(self, summary: DataFrame) -> DataFrame:
-        """(device, _chunk, _cin_<k>): the true W3 start entering each chunk.
-        A chunk's exit start is exact when a run restarted inside it (or it is
-        the device's first chunk); otherwise it continues the one entering it."""
+    def resume_state(self, state, starts):
+        """The state a device was left in by an earlier slice (``end_states``)."""
+        s1, s2, s3, s4, s5 = self.restore_state(state)
+        if s3 is not None and starts is not None:
+            s3 = [x if x is None or t is None else (x[0], int(t)) for x, t in zip(s3, starts)]
+        return (s1, s2, s3, s4, s5)
+
+    def anew(self, state):
+        """The empty state where ``state`` was; what follows began inside its chunk."""
+        return (*self.init_state()[:4], None if state[4] is None else [False] * len(SENSORS))
+
+    @staticmethod
+    def _true_ends(summary: DataFrame, *more: str) -> DataFrame:
+        """Per chunk the true W3 starts ``_out_<k>`` it ends with. A chunk's exit
+        start is exact when a run restarted inside it (or it is the device's
+        first chunk); otherwise it continues the one entering it."""
         over = "OVER (PARTITION BY device ORDER BY _chunk)"
         upto = ("OVER (PARTITION BY device ORDER BY _chunk "
                 "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-        n = len(SENSORS)
-        ends = summary.selectExpr(
+        return summary.selectExpr(
             "device", "_chunk", f"row_number() {over} = 1 AS _first",
-            "_w3_open", "_w3_start").selectExpr(
-            "device", "_chunk",
+            "_w3_open", "_w3_start", *more).selectExpr(
+            "device", "_chunk", *more,
             *[f"last(CASE WHEN _first OR shiftright(_w3_open, {k}) & 1 = 0 "
-              f"THEN _w3_start[{k}] END, true) {upto} AS _out_{k}" for k in range(n)])
-        return ends.selectExpr("device", "_chunk",
-                               *[f"lag(_out_{k}) {over} AS _cin_{k}" for k in range(n)])
+              f"THEN _w3_start[{k}] END, true) {upto} AS _out_{k}" for k in range(len(SENSORS))])
+
+    def carry_table(self, summary: DataFrame) -> DataFrame:
+        """(device, _chunk, _cin_<k>): the true W3 start entering each chunk."""
+        over = "OVER (PARTITION BY device ORDER BY _chunk)"
+        return self._true_ends(summary).selectExpr(
+            "device", "_chunk", *[f"lag(_out_{k}) {over} AS _cin_{k}" for k in range(len(SENSORS))])
+
+    def end_states(self, summary: DataFrame, last: str | None = None) -> DataFrame:
+        """(device, state, starts, last): what each device's last chunk ended
+        in, with the true W3 starts; ``last`` is a summary field or null."""
+        kept = "_exit_full AS state", f"{last or 'CAST(NULL AS BIGINT)'} AS last"
+        if self.carries_starts:
+            ends = self._true_ends(summary, "_exit_full", *([last] if last else []))
+            starts = "array(" + ", ".join(f"_out_{k}" for k in range(len(SENSORS))) + ")"
+        else:
+            ends, starts = summary, "CAST(NULL AS ARRAY<BIGINT>)"
+        return (ends.selectExpr("device", "_chunk", *kept, f"{starts} AS starts")
+                .groupBy("device").agg(F.expr("max_by(struct(state, starts, last), _chunk)").alias("s"))
+                .select("device", "s.*"))
 
     def carry_fix(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
         """Decide the first-run readings with the carried start (the local
@@ -175,6 +204,12 @@ class CleaningFold:
         return joined.withColumn("suspicious", F.expr(f"suspicious OR ({fixes})"))
 
 
+def cleaning_fold(expire_after: int | None = None, **params):
+    """The fold of the chain, with expiring state if asked for."""
+    fold = CleaningFold(**params)
+    return fold if expire_after is None else ExpiringFold(fold, expire_after)
+
+
 def with_outlier_verdict(readings: DataFrame, bounds=PHYSICAL_BOUNDS) -> DataFrame:
     return readings.withColumn("_outlier", outlier_condition(bounds))
 
@@ -184,7 +219,7 @@ def clean_readings(readings: DataFrame, *, ts_window: int = TS_WINDOW,
                    spike_window: int = SPIKE_WINDOW,
                    spike_threshold: float = SPIKE_THRESHOLD,
                    stuck_ms: int = STUCK_DURATION_MS, stuck: str = "pass",
-                   skew=SkewPlan()) -> DataFrame:
+                   skew=SkewPlan(), expire_after: int | None = None) -> DataFrame:
     """Cleaned readings: timestamps repaired, ``rejected`` and ``suspicious``
     set. Same columns as the input.
 
@@ -195,16 +230,21 @@ def clean_readings(readings: DataFrame, *, ts_window: int = TS_WINDOW,
     split into seq-range chunks: W1 and W2 run as a verified speculative
     chunked fold (``plans.chunked_fold``) and W3 as chunked windows with an
     exact carry; no task then holds a whole hot device.
+
+    ``expire_after``: a device that is silent for more than so many places of
+    ``seq`` starts anew (``plans.expiry``; not with ``stuck="window"``).
     """
+    if expire_after is not None and stuck != "pass":
+        raise ValueError("expire_after needs stuck='pass'")
     hot = resolve(readings, skew)
     if hot.any:
-        fold = CleaningFold(ts_window=ts_window, ts_ratio=ts_ratio, spike_window=spike_window,
-                            spike_threshold=spike_threshold, stuck_ms=stuck_ms)
+        fold = cleaning_fold(expire_after, ts_window=ts_window, ts_ratio=ts_ratio, spike_window=spike_window,
+                             spike_threshold=spike_threshold, stuck_ms=stuck_ms)
         return chunked_device_fold(with_outlier_verdict(readings, bounds), fold, hot,
                                    schema=readings.schema)
-    fold = CleaningFold(ts_window=ts_window, ts_ratio=ts_ratio, spike_window=spike_window,
-                        spike_threshold=spike_threshold,
-                        stuck_ms=stuck_ms if stuck == "pass" else None)
+    fold = cleaning_fold(expire_after, ts_window=ts_window, ts_ratio=ts_ratio, spike_window=spike_window,
+                         spike_threshold=spike_threshold,
+                         stuck_ms=stuck_ms if stuck == "pass" else None)
     out = device_fold(with_outlier_verdict(readings, bounds), fold.init_state, fold.step,
                       schema=readings.schema)
     if stuck != "pass":
@@ -236,7 +276,9 @@ def clean_and_detect(readings: DataFrame, limits=None, *, bounds=PHYSICAL_BOUNDS
 
     ``edges_only`` keeps only readings with an edge, inside the Python pass,
     so the other readings never travel back to the JVM, and only the columns
-    that W1-W4 and the alerts use: the others are never read or shuffled."""
+    that W1-W4 and the alerts use: the others are never read or shuffled.
+    ``expire_after`` as in ``clean_readings``; an expired device has no open
+    anomaly either."""
     lim = resolve_limits(limits)
     hot = resolve(readings, skew)
     if edges_only:
@@ -245,7 +287,7 @@ def clean_and_detect(readings: DataFrame, limits=None, *, bounds=PHYSICAL_BOUNDS
     schema = T.StructType(list(readings.schema.fields) + edge_fields)
     pre = with_outlier_verdict(readings, bounds)
     keep = _has_edge if edges_only else None
-    fold = CleaningFold(stuck_ms=stuck_ms, limits=lim, **params)
+    fold = cleaning_fold(stuck_ms=stuck_ms, limits=lim, **params)
     if hot.any:
         return chunked_device_fold(pre, fold, hot, schema=schema, keep=keep)
     return device_fold(pre, fold.init_state, fold.step, schema=schema, keep=keep)

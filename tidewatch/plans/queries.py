@@ -143,6 +143,21 @@ def _q_quarantine(spark, sf):
     return quarantine(readings_as_messages(readings(spark, sf), DAMAGE_EVERY)).select("seq", "reason")
 
 
+# Devices of the parsed feed speak every 20 places; where one of their messages
+# was set aside they were silent for 40, and their state is gone.
+EXPIRE_AFTER = 30
+
+
+def _q_clean_expiry(spark, sf):
+    r = parse_readings(readings_as_messages(readings(spark, sf), DAMAGE_EVERY))
+    return clean_readings(r, expire_after=EXPIRE_AFTER)
+
+
+def _q_alerts_expiry(spark, sf):
+    r = parse_readings(readings_as_messages(readings(spark, sf), DAMAGE_EVERY))
+    return pipeline_alerts(r, expire_after=EXPIRE_AFTER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readings_from_events": _q_readings,
     "parse_readings": _q_parse,
@@ -159,17 +174,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notifications": _q_notifications,
     "detect_anomalies_limit_changes": _q_alerts_limit_changes,
     "notifications_at_time": _q_notifications_at_time,
+    "clean_readings_expiry": _q_clean_expiry,
+    "detect_anomalies_expiry": _q_alerts_expiry,
     "clean_readings_hot_device": _q_clean_hot,
     "detect_anomalies_hot_device": _q_alerts_hot,
 }
 
 
-def _streamed(table: str, *columns: str):
-    """A sink of the streaming job after a bounded run with restarts."""
+# Of a micro-batch of the hot feed, a device with a fifth of the readings (and
+# at least 100) is split into chunks of 256 seq values.
+HOT_SLICE_PLAN = SkewPlan(min_rows=100, span=256, min_share=0.2, warm_rows=32)
+
+
+def _streamed(table: str, *columns: str, hot_every=None, **slices):
+    """A sink of the streaming job after a bounded run with restarts; with
+    ``slices`` in the form that splits devices and expires states."""
     def query(spark, sf):
         from ..streaming.replay import replayed_table
+        from .slices import SliceCleaning
 
-        out = replayed_table(spark, sf, table, DAMAGE_EVERY, recipients_loader=lambda s: RECIPIENTS)
+        out = replayed_table(spark, sf, table, DAMAGE_EVERY, hot_every=hot_every,
+                             recipients_loader=lambda s: RECIPIENTS,
+                             slices=SliceCleaning(**slices) if slices else None)
         return out.select(*columns) if columns else out
 
     return query
@@ -181,6 +207,9 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_event_alerts": _streamed("event_alerts"),
     "stream_notifications": _streamed("notifications"),
     "stream_quarantine": _streamed("quarantine", "seq", "reason"),
+    "stream_sensor_data_hot_device": _streamed("sensor_data", hot_every=HOT_EVERY, plan=HOT_SLICE_PLAN),
+    "stream_event_alerts_hot_device": _streamed("event_alerts", hot_every=HOT_EVERY, plan=HOT_SLICE_PLAN),
+    "stream_event_alerts_expiry": _streamed("event_alerts", expire_after=EXPIRE_AFTER),
 }
 
 
@@ -193,6 +222,15 @@ def _sql(build) -> str:
 def oracle_queries() -> dict[str, str]:
     r = O.readings
 
+    def hot_stream(q):
+        return O.clean_readings(q, O.parsed(q, r(q, hot_every=HOT_EVERY), DAMAGE_EVERY))
+
+    def lives(q):  # every life of a device a device of its own
+        return O.clean_readings(q, O.lives(q, O.parsed(q, r(q), DAMAGE_EVERY), EXPIRE_AFTER))
+
+    def expiry_alerts(q):
+        return O.of_devices(q, O.detect_anomalies(q, lives(q)), "deviceId")
+
     def streamed_alerts(q):
         return O.detect_anomalies(q, O.clean_readings(q, O.parsed(q, r(q), DAMAGE_EVERY)))
 
@@ -202,6 +240,11 @@ def oracle_queries() -> dict[str, str]:
         "stream_event_alerts": _sql(lambda q: O.event_alert_rows(q, streamed_alerts(q))),
         "stream_notifications": _sql(lambda q: O.notifications(q, streamed_alerts(q), RECIPIENTS)),
         "stream_quarantine": _sql(lambda q: O.quarantined(q, r(q), DAMAGE_EVERY)),
+        "stream_sensor_data_hot_device": _sql(lambda q: O.sensor_data_rows(q, hot_stream(q))),
+        "stream_event_alerts_hot_device": _sql(lambda q: O.event_alert_rows(q, O.detect_anomalies(q, hot_stream(q)))),
+        "stream_event_alerts_expiry": _sql(lambda q: O.event_alert_rows(q, expiry_alerts(q))),
+        "clean_readings_expiry": _sql(lambda q: O.of_devices(q, lives(q), "device")),
+        "detect_anomalies_expiry": _sql(expiry_alerts),
         "readings_from_events": _sql(lambda q: r(q)),
         "parse_readings": _sql(lambda q: O.parsed(q, r(q), DAMAGE_EVERY)),
         "parse_quarantine": _sql(lambda q: O.quarantined(q, r(q), DAMAGE_EVERY)),

@@ -15,6 +15,7 @@ so the dead letter shares the checkpoint of the other sinks.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.notify import build_notifications
 from ..operators.parse import parse_messages
-from ..operators.thresholds import detect_anomalies_incremental, empty_edge_state
+from ..operators.thresholds import alerts_from_edges, detect_anomalies_incremental, empty_edge_state
+from ..plans.slices import STATE as SLICE_STATE, SliceCleaning
 from ..sinks.tables import (sink_options, write_event_alerts, write_notifications, write_quarantine,
                             write_sensor_data, write_table)
 from ..sources.config import resolve_limits
@@ -47,18 +49,22 @@ def _versions(spark: SparkSession, folder: str, kind: str) -> list[int]:
     return sorted(out)
 
 
-class EdgeStateTable:
-    """(device, exc_<sensor>...) for W4 across micro-batches, as a log of changes.
+class StateLog:
+    """A state of one row a device (``schema``, with ``device``) across
+    micro-batches, as a log of changes.
 
-    Batch N writes the last verdicts of the devices it saw (``delta=N``); after
-    ``compact_every`` deltas also the whole state up to N (``base=N``). The state
+    Batch N writes the rows of the devices it saw (``delta=N``); after
+    ``compact_every`` deltas also the whole state up to N (``base=N``), less what
+    ``alive`` leaves out. The state
     before N is the newest base below N with the deltas after it, the newest
     entry of a device counting. A replayed batch reads only what lies below it
     and overwrites its own folders. The last two bases and the deltas since the
     older one are kept."""
 
-    def __init__(self, spark: SparkSession, folder: str, compact_every: int = 16):
+    def __init__(self, spark: SparkSession, folder: str, schema, compact_every: int = 16,
+                 alive: Callable[[DataFrame], DataFrame] = lambda df: df):
         self.spark, self.folder, self.compact_every = spark, folder.rstrip("/"), int(compact_every)
+        self.empty, self.alive = spark.createDataFrame([], schema), alive
 
     def _parts(self, below: int) -> tuple[int | None, list[int]]:
         bases = [v for v in _versions(self.spark, self.folder, "base") if v < below]
@@ -69,20 +75,20 @@ class EdgeStateTable:
 
     def read_before(self, batch_id: int) -> DataFrame:
         base, deltas = self._parts(batch_id)
-        schema = empty_edge_state(self.spark).schema
+        schema = self.empty.schema
         frames = [self.spark.read.schema(schema).parquet(f"{self.folder}/{kind}={v}").withColumn("_v", F.lit(v))
                   for kind, v in [("base", base)] * (base is not None) + [("delta", v) for v in deltas]]
         if not frames:
-            return empty_edge_state(self.spark)
+            return self.empty
         log = reduce(DataFrame.union, frames)
-        verdicts = ", ".join(c for c in schema.fieldNames() if c != "device")
-        return log.groupBy("device").agg(F.expr(f"max_by(struct({verdicts}), _v)").alias("s")).select("device", "s.*")
+        rest = ", ".join(c for c in schema.fieldNames() if c != "device")
+        return log.groupBy("device").agg(F.expr(f"max_by(struct({rest}), _v)").alias("s")).select("device", "s.*")
 
     def write(self, changes: DataFrame, batch_id: int) -> None:
         """``changes``: one row per device seen in the batch."""
         changes.write.mode("overwrite").parquet(f"{self.folder}/delta={batch_id}")
         if len(self._parts(batch_id + 1)[1]) >= self.compact_every:
-            self.read_before(batch_id + 1).write.mode("overwrite").parquet(f"{self.folder}/base={batch_id}")
+            self.alive(self.read_before(batch_id + 1)).write.mode("overwrite").parquet(f"{self.folder}/base={batch_id}")
             bases = _versions(self.spark, self.folder, "base")
             if len(bases) > 1:
                 self._drop([("base", v) for v in bases[:-2]]
@@ -95,12 +101,21 @@ class EdgeStateTable:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class EdgeStateTable(StateLog):
+    """(device, exc_<sensor>...): the last verdicts of W4."""
+
+    def __init__(self, spark: SparkSession, folder: str, compact_every: int = 16):
+        super().__init__(spark, folder, empty_edge_state(spark).schema, compact_every)
+
+
 def make_batch_writer(spark: SparkSession, out_dir: str,
                       limits_loader: Callable[[SparkSession], object] | None = None,
                       recipients_loader: Callable[[SparkSession], object] | None = None,
                       state_dir: str | None = None, zone: str = "UTC",
-                      debug_rows: int = 0, sinks: dict[str, dict] | None = None):
-    """The ``foreachBatch`` function for cleaned readings (``debug_rows``
+                      debug_rows: int = 0, sinks: dict[str, dict] | None = None,
+                      slices: SliceCleaning | None = None):
+    """The ``foreachBatch`` function for cleaned readings (with ``slices``: for
+    readings that it cleans itself, from the states it keeps; ``debug_rows``
     also prints every cleaned reading of a batch: the debug print, K4). Bad
     messages that come along under a ``reason`` go to the dead letter (K5).
     ``sinks`` gives an output a format and writer options of its own
@@ -108,7 +123,9 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
     are Parquet folders."""
     out = out_dir.rstrip("/")
     to = sink_options(sinks)
-    edges = EdgeStateTable(spark, state_dir or checkpoint_path(spark, "edge-state"))
+    folder = state_dir or checkpoint_path(spark, "edge-state")
+    states = EdgeStateTable(spark, folder) if slices is None else StateLog(
+        spark, folder, SLICE_STATE, alive=slices.alive)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         arrived = batch.persist()
@@ -116,20 +133,24 @@ def make_batch_writer(spark: SparkSession, out_dir: str,
             if "reason" in batch.columns:
                 write_quarantine(arrived.where("reason IS NOT NULL").select("seq", "value", "reason"),
                                  f"{out}/quarantine", batch_id, **to["quarantine"])
-                batch = arrived.where("reason IS NULL").select(*READING_COLUMNS)
+                batch = arrived.where("reason IS NULL").drop("value", "reason")
+            limits = resolve_limits(limits_loader(spark) if limits_loader else None)
+            if slices is None:
+                alerts, changes = detect_anomalies_incremental(batch, states.read_before(batch_id), limits)
+            else:
+                batch, changes = slices.run(batch, states.read_before(batch_id), limits)
+                alerts = alerts_from_edges(batch)
+            batch = batch.select(*READING_COLUMNS)
             write_sensor_data(batch, f"{out}/sensor_data", batch_id, **to["sensor_data"])
             if debug_rows:
                 write_table(batch, "", "console")
-            limits = resolve_limits(limits_loader(spark) if limits_loader else None)
-            alerts, changes = detect_anomalies_incremental(
-                batch, edges.read_before(batch_id), limits)
             alerts.persist()
             try:
                 write_event_alerts(alerts, f"{out}/event_alerts", batch_id, **to["event_alerts"])
                 recipients = recipients_loader(spark) if recipients_loader else None
                 write_notifications(build_notifications(alerts, recipients, zone),
                                     f"{out}/notifications", batch_id, **to["notifications"])
-                edges.write(changes, batch_id)
+                states.write(changes, batch_id)
             finally:
                 alerts.unpersist()
         finally:
@@ -143,12 +164,17 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
                    checkpoint_dir: str | None = None, trigger_seconds: float | None = 10.0,
                    available_now: bool = False, parse: bool = True,
                    debug_rows: int = 0, sinks: dict[str, dict] | None = None,
-                   **params) -> list[StreamingQuery]:
+                   slices: SliceCleaning | None = None, **params) -> list[StreamingQuery]:
     """Start the one query that parses, cleans and alerts, with all its sinks
     under one checkpoint (``debug_rows`` prints cleaned readings per batch, K4;
     ``sinks``: see ``make_batch_writer``).
     ``messages`` is a streaming (seq, value) frame, or a stream of typed
-    readings when ``parse=False``."""
+    readings when ``parse=False``.
+
+    ``slices`` cleans each micro-batch as a slice instead of in Spark's keyed
+    state: a device that holds much of a micro-batch is split over tasks, and
+    states can expire. A started job keeps to the form it began with, as the
+    states of the two are not exchanged."""
     ckpt = (checkpoint_dir or checkpoint_path(spark, "stream")).rstrip("/")
     out = out_dir.rstrip("/")
     # keyed state for many devices lives off-heap in RocksDB unless the
@@ -165,8 +191,13 @@ def start_pipeline(spark: SparkSession, messages: DataFrame, out_dir: str, *,
         return writer
 
     # every message is parsed once; good and bad ones travel under a tag
-    cleaned = clean_stream(parse_messages(messages) if parse else messages, **params)
+    rows = parse_messages(messages) if parse else messages
+    if slices is not None:
+        slices, cleaned = replace(slices, params={**slices.params, **params}), rows
+    else:
+        cleaned = clean_stream(rows, **params)
     handler = make_batch_writer(spark, out, limits_loader, recipients_loader,
-                                state_dir=f"{ckpt}/edge-state", debug_rows=debug_rows, sinks=sinks)
+                                state_dir=f"{ckpt}/{'edge' if slices is None else 'slice'}-state",
+                                debug_rows=debug_rows, sinks=sinks, slices=slices)
     return [trig(cleaned.writeStream.foreachBatch(handler)
                  .option("checkpointLocation", f"{ckpt}/clean")).start()]

@@ -23,19 +23,21 @@ SLICES = 3
 STATE_ROWS = 2_000_000  # readings of a slice per partition of the state
 
 
-def replay(spark: SparkSession, sf_dir: str, damage_every: int, slices: int = SLICES, **options) -> str:
-    """Run the job over all readings; the folder of its sinks' tables."""
+def replay(spark: SparkSession, sf_dir: str, damage_every: int, restarts: int = SLICES,
+           hot_every: int | None = None, **options) -> str:
+    """Run the job over all readings (``hot_every``: see ``readings_from_events``); the folder
+    of its sinks' tables."""
     base = checkpoint_path(spark, f"replay-{uuid.uuid4().hex}")
     # a session of its own: the state's partitions and store are the job's, not the caller's
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", "UTC")
-    source = readings(own, sf_dir)
+    source = readings(own, sf_dir, hot_every=hot_every)
     rows, first, last = source.agg(F.count("*"), F.min("seq"), F.max("seq")).first()
-    own.conf.set("spark.sql.shuffle.partitions", str(max(8, -(-rows // (slices * STATE_ROWS)))))
+    own.conf.set("spark.sql.shuffle.partitions", str(max(8, -(-rows // (restarts * STATE_ROWS)))))
     messages = readings_as_messages(source, damage_every)
     first, last = first or 0, last or 0
-    step = (last - first) // slices + 1
-    for i in range(slices):
+    step = (last - first) // restarts + 1
+    for i in range(restarts):
         low = first + i * step
         messages.where(f"seq >= {low} AND seq < {low + step}").write.mode("append").parquet(f"{base}/in")
         for query in start_pipeline(own, file_messages(own, f"{base}/in"), f"{base}/out",
