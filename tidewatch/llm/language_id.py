@@ -23,6 +23,7 @@ UNDETERMINED = "und"
 #: Fitting uses at most this many labelled texts of a language and in all, of at most so many
 #: bytes; this many landmarks, or four a language where that is more.
 TRAIN_PER_LANGUAGE, TRAIN_ROWS, TRAIN_BYTES, LANDMARKS = 150, 3000, 20_000, 128
+RANKERS = 64
 _BLOCK = 1 << 20
 _CODEC = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,8 +96,13 @@ def fit(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, rows: int =
     once."""
     usable = labelled.where(f"lang IS NOT NULL AND text IS NOT NULL AND octet_length(text) <= {max_bytes}")
     keys = usable.selectExpr("lang", "doc_id", "xxhash64(doc_id) AS h", "xxhash64(text) AS th").distinct()
-    place = W.partitionBy("lang").orderBy("h", "doc_id", "th")
-    chosen = cut(keys.withColumn("place", F.row_number().over(place)).where(f"place <= {int(per_language)}"), "chosen")
+    # ranked in RANKERS groups of input partitions first: a language's last ranking, one task, sees
+    # RANKERS x per_language ids however many partitions there are
+    place = F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id", "th"))
+    ahead = F.row_number().over(W.partitionBy("lang", "part").orderBy("h", "doc_id", "th"))
+    some = keys.withColumn("part", F.spark_partition_id() % RANKERS).withColumn("place", ahead).where(
+        f"place <= {int(per_language)}").drop("part")
+    chosen = cut(some.withColumn("place", place).where(f"place <= {int(per_language)}"), "chosen")
     languages = chosen.select("lang").distinct().count()
     each = max(1, min(per_language, rows // max(1, languages)))
     wanted = chosen.where(f"place <= {each}").selectExpr("lang AS _l", "doc_id AS _d", "th AS _t", "place AS _p")
