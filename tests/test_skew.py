@@ -99,6 +99,21 @@ def test_only_chunks_whose_entry_changed_run_again(spark, broken):
         assert chunked_fold.LAST_RUN["rounds"] < len(broken)
 
 
+def test_rounds_do_not_grow_with_the_broken_borders(spark):
+    """A sum that nothing resets: every third border is broken, and each depends on all before it."""
+    from tidewatch.schema import READING
+    span, chunks = 20, 60
+    stamps = [7 if i % (3 * span) == 10 else 0 for i in range(span * chunks)]
+    df = spark.createDataFrame([(i, ts, "h", 1.0, 1.0, False, 1.0, False, 1.0, 1.0, False, False)
+                                for i, ts in enumerate(stamps)], READING)
+    hot = find_hot(df, SkewPlan(min_rows=10, span=span, warm_rows=5))
+    got = chunked_fold.chunked_device_fold(df, count_fold(), hot)
+    ran = dict(chunked_fold.LAST_RUN)
+    assert sorted((r.seq, r.ts) for r in got.select("seq", "ts").collect()) == [
+        (i, sum(stamps[:i + 1])) for i in range(len(stamps))]
+    assert ran["rounds"] <= chunked_fold.SINGLE_ROUNDS + 3  # blocks of 4, 16, 64; one a border before
+
+
 def test_three_broken_borders_of_a_hot_device(spark):
     """The cleaning fold: spikes and stamps that differ before three borders only."""
     from tidewatch.schema import READING

@@ -17,10 +17,12 @@ once, each from the end state its predecessor has now (of adjacent ones the
 first, as the others depend on it). A chunk that ends as it
 did before breaks nothing further; one that ends differently breaks the next
 border, which is the next round's. The rounds stop when no border is broken.
-Where that has not come after a few rounds, a broken border's task goes on
-through 2, 4, 8, ... chunks, and stops as soon as one ends as before: only
-chunks whose start state changed are ever run again, and a state that never
-settles costs what an unsplit fold costs, in a logarithmic number of rounds.
+Where that has not come after a few rounds, a device's chunks are taken in
+blocks of 4, 16, 64, ...: the first broken border of a block goes on to the
+block's end, through the broken ones behind it, and skips from a chunk that ends
+as before to the next broken border. A block as long as the device leaves none
+broken, so that a state that never settles costs what an unsplit fold costs a
+round, in a logarithmic number of rounds, however many borders are broken.
 
 The pass runs on Arrow batches (NaN readings stay NaN). Its output is
 materialised once with ``checkpoint()`` in the shared
@@ -45,8 +47,10 @@ from .skew import MAX_BROADCAST_KEYS, HotSet
 KEY = "device"
 ORDER = "seq"
 
-# Rounds that rerun one chunk behind each broken border; later ones double.
+# Rounds that rerun one chunk behind each broken border; the blocks of later
+# ones grow by a factor.
 SINGLE_ROUNDS = 3
+BLOCK_GROWTH = 4
 
 # What the last call did: the rounds and the chunk runs of the repair (for
 # tests and run reports).
@@ -69,9 +73,10 @@ def _chunk_pass(batches, fold, arrow_schema, to_state, from_state, keep=None):
     """Fold over (device, _from, _chunk, _mark, seq)-sorted batches. Emits the
     real rows (``_kind`` 0) and, per chunk, one summary row (``_kind`` 1) with
     the entry and exit states. Warm rows advance the state only. In a repair,
-    every chunk opens with a mark row: the first of a border holds the state to
-    start from, each holds the end state its chunk had before; a chunk that
-    ends so again closes the border, and the chunks after it are skipped."""
+    every chunk opens with a mark row: those of broken borders hold the state
+    their predecessor ended in, each holds the end state its chunk had before. A
+    chunk that ends so again settles the run: what follows is skipped up to the
+    next broken border, which starts from the state it holds."""
     at, border, state, entry, old, settled = None, None, None, None, None, False
     summaries: list[dict] = []
     names = arrow_schema.names
@@ -110,18 +115,24 @@ def _chunk_pass(batches, fold, arrow_schema, to_state, from_state, keep=None):
         real = ~warm & ~mark
         for s, e in zip(starts, ends):
             g = (dev[s], int(first[s]), int(chunk[s]))
+            given = arrays["_state"][s] if mark[s] else None
             if g != at:
                 settled = close() or settled
-                if g[:2] != border:
-                    border, settled, state = g[:2], False, fold.init_state()
+                opens = g[:2] != border
+                if opens:
+                    border, state = g[:2], fold.init_state()
+                if given is None or not (opens or settled):
+                    given = None  # under way: the state at hand is the later one
+                if opens or given is not None:
+                    settled = False
                 at, entry, old = g, None, None
             if settled:
                 entry = None
                 real[s:e] = False
                 continue
             if mark[s]:
-                if arrays["_state"][s] is not None:
-                    given = from_state(arrays["_state"][s])
+                if given is not None:
+                    given = from_state(given)
                     # as a chunk reported it, or as it was kept from an earlier slice
                     state = fold.resume_state(**given) if isinstance(given, dict) else restore(given)
                 old = arrays["_old"][s]
@@ -162,21 +173,19 @@ def _placeholder(field: T.StructField) -> str:
 
 
 def _broken_borders(summary: DataFrame, length: int) -> DataFrame:
-    """(device, _chunk, _from, _state, _old): for every chunk whose entry state
-    differs from its predecessor's exit (of adjacent ones the first: the others
-    wait for what it ends in), it and what follows up to ``length`` chunks or the
-    next such chunk; ``_state`` on the first only."""
+    """(device, _chunk, _from, _state, _old): of every block of ``length`` chunks of
+    a device the first one whose entry state differs from its predecessor's exit
+    (of adjacent ones the first, the others wait for what it ends in), and what
+    follows it in the block; ``_state``, the predecessor's, on the broken ones."""
     by = f"(PARTITION BY {KEY} ORDER BY _chunk)"
-    upto = f"(PARTITION BY {KEY} ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     return (summary.selectExpr(KEY, "_chunk", "_entry", "_exit AS _old", f"lag(_exit) OVER {by} AS _prev",
-                               f"lag(_exit_full) OVER {by} AS _state")
+                               f"lag(_exit_full) OVER {by} AS _state",
+                               f"(row_number() OVER {by} - 1) div {int(length)} AS _block")
             .selectExpr("*", "coalesce(_entry <> _prev, false) AS _broken")
             .selectExpr("*", f"_broken AND NOT lag(_broken, 1, false) OVER {by} AS _head")
-            .selectExpr("*", f"last(CASE WHEN _head THEN _chunk END, true) OVER {upto} AS _from")
-            .where("_from IS NOT NULL")
-            .selectExpr(KEY, "_chunk", "_from", "CASE WHEN _head THEN _state END AS _state", "_old",
-                        f"row_number() OVER (PARTITION BY {KEY}, _from ORDER BY _chunk) AS _nth")
-            .where(f"_nth <= {int(length)}").drop("_nth"))
+            .selectExpr("*", f"min(CASE WHEN _head THEN _chunk END) OVER (PARTITION BY {KEY}, _block) AS _from")
+            .where("_chunk >= _from")
+            .selectExpr(KEY, "_chunk", "_from", "CASE WHEN _broken THEN _state END AS _state", "_old"))
 
 
 def chunked_device_fold(df: DataFrame, fold, hot: HotSet, schema: T.StructType | None = None,
@@ -270,10 +279,11 @@ def _chunked(df: DataFrame, fold, hot: HotSet, schema: T.StructType | None = Non
     summary = out.where("_kind = 1")
     rounds = runs = 0
     while True:
-        length = 1 << max(0, rounds + 1 - SINGLE_ROUNDS)
-        broken = _broken_borders(summary, length)
+        length = BLOCK_GROWTH ** max(0, rounds + 1 - SINGLE_ROUNDS)
+        broken = _broken_borders(summary, length).persist()
         count = broken.count()
         if not count:
+            broken.unpersist()
             break
         rounds += 1
         marks = broken.selectExpr(*[KEY if f.name == KEY else _placeholder(f) for f in df.schema.fields],
@@ -283,6 +293,7 @@ def _chunked(df: DataFrame, fold, hot: HotSet, schema: T.StructType | None = Non
         again = data.where("NOT _warm").join(wanted, [KEY, "_chunk"]).selectExpr(
             *data.columns, "_from", *plain)
         out = run(again.unionByName(marks), rounds)
+        broken.unpersist()
         rows = rows.union(out.where("_kind = 0"))
         done = out.where("_kind = 1")
         runs += done.count()
